@@ -14,9 +14,9 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerline.functions import rlp
 from ledgerline.functions.hexes import pad_hex, strip_0x
 from ledgerline.functions.keccak import keccak256
+from ledgerline.functions.rlp import decode_flat_list, encode_bytes, encode_int, encode_list
 
 BLOOM_BYTES = 256
 
@@ -47,15 +47,15 @@ def _bytes(text) -> bytes:
 
 
 def _encode(nonce, gas_price, gas_limit, to, value_hex, data, v, r, s) -> bytes:
-    signature = [] if v is None else [rlp.encode_int(_number(x)) for x in (v, r, s)]
-    return rlp.encode_list(
+    signature = [] if v is None else [encode_int(_number(x)) for x in (v, r, s)]
+    return encode_list(
         [
-            rlp.encode_int(_number(nonce)),
-            rlp.encode_int(_number(gas_price)),
-            rlp.encode_int(_number(gas_limit)),
-            rlp.encode_bytes(_bytes(to)),
-            rlp.encode_int(int(value_hex or "0", 16)),
-            rlp.encode_bytes(_bytes(data)),
+            encode_int(_number(nonce)),
+            encode_int(_number(gas_price)),
+            encode_int(_number(gas_limit)),
+            encode_bytes(_bytes(to)),
+            encode_int(int(value_hex or "0", 16)),
+            encode_bytes(_bytes(data)),
             *signature,
         ]
     )
@@ -65,7 +65,7 @@ def _decode(text) -> tuple:
     if text is None:
         return (None,) * 12
     try:
-        items = rlp.decode_flat_list(_bytes(text))
+        items = decode_flat_list(_bytes(text))
         if len(items) not in (6, 9):
             raise ValueError(f"expected 6 or 9 values, got {len(items)}")
         numbers = [int.from_bytes(items[i], "big") for i in (0, 1, 2, 4)]

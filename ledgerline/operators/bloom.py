@@ -4,14 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.functions.codec import logs_bloom
+from ledgerline.functions.codec import BLOOM_BYTES, logs_bloom
 
-HEX_DIGITS = 512
-LIMB_DIGITS = 15  # 60 bits, so a limb is a non-negative LONG
-STARTS = list(range(0, HEX_DIGITS, LIMB_DIGITS))
+EMPTY_BLOOM = "00" * BLOOM_BYTES
 
 
 def bloom_build(txs: DataFrame, logs: str = "logs") -> DataFrame:
@@ -19,20 +17,19 @@ def bloom_build(txs: DataFrame, logs: str = "logs") -> DataFrame:
     return txs.withColumn("logs_bloom", logs_bloom(F.col(logs)))
 
 
-def bloom_or(txs: DataFrame, by: str | Sequence[str], bloom: str = "logs_bloom") -> DataFrame:
-    """Bitwise OR of all blooms per key.
+def bloom_union(bloom: str = "logs_bloom") -> Column:
+    """Aggregate: bitwise OR of all blooms of a group, 512 zeros for none.
 
-    The bloom is read as 35 limbs in the same row and each limb has its own
-    ``bit_or``. All buffers are LONG, so it stays a hash aggregation with map-side
-    combine: a busy block shuffles one row per task, not its transactions.
+    The engine's bitmap aggregate works on bytes and combines map-side, so a busy
+    block shuffles one bitmap per task. Its buffer is longer than a bloom; the bloom
+    is the first part.
     """
+    bits = F.bitmap_or_agg(F.unhex(F.when(F.col(bloom) != "", F.col(bloom))))
+    return F.lower(F.hex(F.substring(bits, 1, BLOOM_BYTES)))
+
+
+def bloom_or(txs: DataFrame, by: str | Sequence[str], bloom: str = "logs_bloom") -> DataFrame:
+    """Bitwise OR of all blooms per key, for keys with at least one."""
     keys = [by] if isinstance(by, str) else list(by)
-    limbs = [
-        F.bit_or(F.conv(F.substring(bloom, start + 1, LIMB_DIGITS), 16, 10).cast("bigint")).alias(f"_{start}")
-        for start in STARTS
-    ]
-    digits = [
-        F.lpad(F.lower(F.hex(f"_{start}")), min(LIMB_DIGITS, HEX_DIGITS - start), "0") for start in STARTS
-    ]
     with_logs = txs.where(F.col(bloom).isNotNull() & (F.col(bloom) != ""))
-    return with_logs.groupBy(*keys).agg(*limbs).select(*keys, F.concat(*digits).alias("logs_bloom"))
+    return with_logs.groupBy(*keys).agg(bloom_union(bloom).alias("logs_bloom"))

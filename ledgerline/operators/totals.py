@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline import constants as K
-from ledgerline.operators.bloom import bloom_or
+from ledgerline.operators.bloom import EMPTY_BLOOM, bloom_union
 from ledgerline.operators.ordered import left_join_skewed, running_totals
 from ledgerline.operators.scans import bounded, with_segment
 
@@ -62,12 +62,15 @@ def with_running_gas(
     return totals.withColumn("gasusedblock", F.col("gasusedblock").cast(txs.schema[gas].dataType))
 
 
-def tx_totals(txs: DataFrame, by: str = "block", size: Column | None = None) -> DataFrame:
-    """Gas, size and count per block that has transactions."""
+def tx_totals(
+    txs: DataFrame, by: str = "block", size: Column | None = None, bloom: bool = False
+) -> DataFrame:
+    """Gas, size and count per block that has transactions, and its bloom if wanted."""
     return txs.groupBy(by).agg(
         F.sum("gasused").alias("gas_used"),
         F.sum(F.lit(0) if size is None else size).cast("bigint").alias("size"),
         F.count(F.lit(1)).alias("tx_count"),
+        *([bloom_union().alias("logs_bloom")] if bloom else []),
     )
 
 
@@ -101,9 +104,8 @@ def assemble_blocks(
     """
     kept = [name for name in (*HEADER, *CARRIED) if name in headers.columns]
     numbered = headers.select(*kept, (F.col("block_num") - delta).alias("evm_block_num"))
-    totals = tx_totals(txs, "block", size).withColumnRenamed("block", "evm_block_num")
-    blooms = bloom_or(txs, "block").withColumnRenamed("block", "evm_block_num")
-    joined = numbered.join(totals, "evm_block_num", "left").join(blooms, "evm_block_num", "left")
+    totals = tx_totals(txs, "block", size, bloom=True).withColumnRenamed("block", "evm_block_num")
+    joined = numbered.join(totals, "evm_block_num", "left")
 
     def carried(name: str, default) -> Column:
         value = F.col(name) if name in headers.columns else F.lit(None)
@@ -121,7 +123,7 @@ def assemble_blocks(
         F.coalesce(F.col("gas_used"), F.lit(0)).cast("decimal(38,0)").alias("gas_used"),
         F.lit(K.BLOCK_GAS_LIMIT).cast("decimal(38,0)").alias("gas_limit"),
         F.coalesce(F.col("size"), F.lit(0)).cast("bigint").alias("size"),
-        F.coalesce(F.col("logs_bloom"), F.lit("0" * 512)).alias("logs_bloom"),
+        F.coalesce(F.col("logs_bloom"), F.lit(EMPTY_BLOOM)).alias("logs_bloom"),
         F.coalesce(F.col("tx_count"), F.lit(0)).alias("tx_count"),
     )
     return with_segment(record, "block_num", per_segment)
@@ -177,19 +179,17 @@ def reindex_blocks(
         F.coalesce(F.col("transactions_root"), F.lit(K.EMPTY_ROOT)).alias("transactions_root"),
         "size",
     )
-    totals = tx_totals(ranged, "block").select(
-        F.col("block").alias("evm_block_num"), "gas_used", "tx_count"
+    totals = tx_totals(ranged, "block", bloom=True).select(
+        F.col("block").alias("evm_block_num"), "gas_used", "tx_count", "logs_bloom"
     )
-    blooms = bloom_or(ranged, "block").withColumnRenamed("block", "evm_block_num")
     new_blocks = (
         source.join(totals, "evm_block_num", "left")
-        .join(blooms, "evm_block_num", "left")
         .select(
             *[name for name in source.columns if name != "size"],
             F.coalesce(F.col("gas_used"), F.lit(0)).cast("decimal(38,0)").alias("gas_used"),
             F.lit(K.BLOCK_GAS_LIMIT).cast("decimal(38,0)").alias("gas_limit"),
             "size",
-            F.coalesce(F.col("logs_bloom"), F.lit("0" * 512)).alias("logs_bloom"),
+            F.coalesce(F.col("logs_bloom"), F.lit(EMPTY_BLOOM)).alias("logs_bloom"),
             F.coalesce(F.col("tx_count"), F.lit(0)).alias("tx_count"),
         )
     )
