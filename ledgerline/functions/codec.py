@@ -8,7 +8,6 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -16,7 +15,7 @@ from pyspark.sql import types as T
 
 from ledgerline.functions.hexes import pad_hex, strip_0x
 from ledgerline.functions.keccak import keccak256
-from ledgerline.functions.rlp import decode_flat_list, encode_bytes, encode_int, encode_list
+from ledgerline.functions.rlp import decode_flat_list, encode_item, encode_list, encode_number
 
 BLOOM_BYTES = 256
 
@@ -32,32 +31,40 @@ LEGACY = T.StructType(
 DIGEST = T.StructType([T.StructField("hash", T.StringType()), T.StructField("size", T.LongType())])
 
 
-def _number(text) -> int:
-    """Integer of decimal text or ``0x`` text."""
-    text = str(text)
-    if text.startswith("0x"):
-        return int(text[2:] or "0", 16)
-    return int(text)
+def _digits(text: str) -> str:
+    """Hex digits of decimal text or ``0x`` text."""
+    return text[2:].lower() if text.startswith("0x") else f"{int(text):x}"
 
 
-def _bytes(text) -> bytes:
-    if text is None:
-        return b""
+def _bytes(text: str) -> bytes:
     return bytes.fromhex(text[2:] if text.startswith("0x") else text)
 
 
+def _data(text: str | None) -> str:
+    if text is None:
+        return ""
+    return (text[2:] if text.startswith("0x") else text).lower()
+
+
+def _rows(parts: pd.DataFrame):
+    """Rows of an all-text frame; NULL is None there."""
+    return zip(*[parts[name].tolist() for name in parts.columns])
+
+
 def _encode(nonce, gas_price, gas_limit, to, value_hex, data, v, r, s) -> bytes:
-    signature = [] if v is None else [encode_int(_number(x)) for x in (v, r, s)]
-    return encode_list(
-        [
-            encode_int(_number(nonce)),
-            encode_int(_number(gas_price)),
-            encode_int(_number(gas_limit)),
-            encode_bytes(_bytes(to)),
-            encode_int(int(value_hex or "0", 16)),
-            encode_bytes(_bytes(data)),
-            *signature,
-        ]
+    signature = () if v is None else (v, r, s)
+    return bytes.fromhex(
+        encode_list(
+            [
+                encode_number(_digits(nonce)),
+                encode_number(_digits(gas_price)),
+                encode_number(_digits(gas_limit)),
+                encode_item(_data(to)),
+                encode_number(value_hex.lower()),
+                encode_item(_data(data)),
+                *[encode_number(_digits(part)) for part in signature],
+            ]
+        )
     )
 
 
@@ -101,20 +108,18 @@ def _decode_udf(raw: pd.Series) -> pd.DataFrame:
 
 @F.pandas_udf(T.StringType())
 def _encode_udf(parts: pd.DataFrame) -> pd.Series:
-    rows = parts.astype(object).where(parts.notna(), None).itertuples(index=False, name=None)
-    return pd.Series(["0x" + _encode(*row).hex() for row in rows], dtype=object)
+    return pd.Series(["0x" + _encode(*row).hex() for row in _rows(parts)], dtype=object)
 
 
 @F.pandas_udf(DIGEST)
 def _digest_udf(parts: pd.DataFrame) -> pd.DataFrame:
-    rows = parts.astype(object).where(parts.notna(), None).itertuples(index=False, name=None)
     messages, at = [], []
     hashes, sizes = [None] * len(parts), [None] * len(parts)
-    for i, row in enumerate(rows):
+    for i, row in enumerate(_rows(parts)):
         try:
             messages.append(_encode(*row))
             at.append(i)
-        except (ValueError, OverflowError):
+        except (ValueError, TypeError, OverflowError):
             continue  # a field that is no number has no hash; the validators name it
     for i, message, digest in zip(at, messages, keccak256(messages)):
         hashes[i], sizes[i] = "0x" + digest.hex(), len(message)
@@ -128,28 +133,31 @@ def _keccak_udf(data: pd.Series) -> pd.Series:
     return pd.Series([next(digests).hex() if p else None for p in present], dtype=object)
 
 
-def _bloom_bits(item: bytes) -> list[int]:
-    """The three bit numbers an item's digest sets."""
-    return [int.from_bytes(item[i : i + 2], "big") % (8 * BLOOM_BYTES) for i in (0, 2, 4)]
+def _bloom_mask(digest: bytes) -> int:
+    """The three bits an item's digest sets."""
+    mask = 0
+    for i in (0, 2, 4):
+        mask |= 1 << (int.from_bytes(digest[i : i + 2], "big") % (8 * BLOOM_BYTES))
+    return mask
 
 
 @F.pandas_udf(T.StringType())
 def _bloom_udf(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
     # Contracts and topics repeat a lot: each distinct one is hashed once per batch.
     for items in batches:
-        distinct = sorted({item for row in items if row is not None for item in row if item is not None})
+        rows = items.tolist()
+        distinct = list({item for row in rows if row is not None for item in row if item is not None})
         digests = keccak256([bytes.fromhex(item) for item in distinct])
-        bits = {item: _bloom_bits(digest) for item, digest in zip(distinct, digests)}
+        masks = {item: _bloom_mask(digest) for item, digest in zip(distinct, digests)}
         out = []
-        for row in items:
+        for row in rows:
             if row is None or len(row) == 0:
                 out.append(None)
                 continue
-            bloom = np.zeros(BLOOM_BYTES, dtype=np.uint8)
+            bloom = 0
             for item in row:
-                for bit in bits.get(item, ()):
-                    bloom[BLOOM_BYTES - 1 - bit // 8] |= 1 << (bit % 8)
-            out.append(bloom.tobytes().hex())
+                bloom |= masks.get(item, 0)
+            out.append(f"{bloom:0{2 * BLOOM_BYTES}x}")
         yield pd.Series(out, dtype=object)
 
 

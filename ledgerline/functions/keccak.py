@@ -1,8 +1,7 @@
 """Keccak-256 of many messages at once, on NumPy 64-bit lanes.
 
-Spark has no Keccak. The state of all messages of an Arrow batch is one
-``(messages, 25)`` array, so a permutation round is a handful of array operations
-for the whole batch.
+Spark has no Keccak. Each of the 25 state lanes is one array over all messages of an
+Arrow batch, so a permutation round is a handful of array operations for the batch.
 """
 
 from __future__ import annotations
@@ -10,6 +9,7 @@ from __future__ import annotations
 import numpy as np
 
 RATE = 136  # bytes absorbed per permutation for a 256-bit digest
+CHUNK_BYTES = 32 * 2**20  # padded bytes hashed together
 
 
 def _round_constants() -> list[int]:
@@ -45,8 +45,8 @@ def _rotate(lane: np.ndarray, bits: int) -> np.ndarray:
     return (lane << np.uint64(bits)) | (lane >> np.uint64(64 - bits))
 
 
-def _permute(state: np.ndarray) -> np.ndarray:
-    lanes = [state[:, i] for i in range(25)]
+def _permute(lanes: list) -> list:
+    """One permutation of 25 lanes, each an array over the messages."""
     for constant in IOTA:
         parity = [lanes[x] ^ lanes[x + 5] ^ lanes[x + 10] ^ lanes[x + 15] ^ lanes[x + 20] for x in range(5)]
         theta = [parity[(x - 1) % 5] ^ _rotate(parity[(x + 1) % 5], 1) for x in range(5)]
@@ -57,7 +57,14 @@ def _permute(state: np.ndarray) -> np.ndarray:
             moved[i] ^ (~moved[i - i % 5 + (i + 1) % 5] & moved[i - i % 5 + (i + 2) % 5]) for i in range(25)
         ]
         lanes[0] = lanes[0] ^ constant
-    return np.stack(lanes, axis=1)
+    return lanes
+
+
+def _chunks(groups: dict[int, list[int]]):
+    for blocks, members in groups.items():
+        width = max(1, CHUNK_BYTES // (blocks * RATE))
+        for start in range(0, len(members), width):
+            yield blocks, members[start : start + width]
 
 
 def keccak256(messages: list[bytes]) -> list[bytes]:
@@ -66,19 +73,23 @@ def keccak256(messages: list[bytes]) -> list[bytes]:
     groups: dict[int, list[int]] = {}
     for i, message in enumerate(messages):
         groups.setdefault(len(message) // RATE + 1, []).append(i)
-    for blocks, members in groups.items():
-        padded = np.zeros((len(members), blocks * RATE), dtype=np.uint8)
+    for blocks, members in _chunks(groups):
+        size = blocks * RATE
+        data = bytearray(size * len(members))
         for row, i in enumerate(members):
-            message = messages[i]
-            padded[row, : len(message)] = np.frombuffer(message, dtype=np.uint8)
-            padded[row, len(message)] ^= 0x01
-        padded[:, -1] ^= 0x80
-        words = padded.view("<u8").reshape(len(members), blocks, RATE // 8)
-        state = np.zeros((len(members), 25), dtype=np.uint64)
+            message, at = messages[i], row * size
+            data[at : at + len(message)] = message
+            data[at + len(message)] ^= 0x01
+            data[at + size - 1] ^= 0x80
+        words = np.frombuffer(data, dtype="<u8").reshape(len(members), blocks, RATE // 8)
+        zero = np.zeros(len(members), dtype=np.uint64)
+        lanes = [zero] * 25
         for block in range(blocks):
-            state[:, : RATE // 8] ^= words[:, block, :]
-            state = _permute(state)
-        out = np.ascontiguousarray(state[:, :4]).astype("<u8").tobytes()
+            taken = np.ascontiguousarray(words[:, block, :].T)
+            lanes = _permute(
+                [lanes[i] ^ taken[i] if i < RATE // 8 else lanes[i] for i in range(25)]
+            )
+        out = np.stack(lanes[:4], axis=1).astype("<u8").tobytes()
         for row, i in enumerate(members):
             digests[i] = out[row * 32 : row * 32 + 32]
     return digests

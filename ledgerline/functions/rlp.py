@@ -3,26 +3,36 @@
 from __future__ import annotations
 
 
-def _header(length: int, offset: int) -> bytes:
-    if length < 56:
-        return bytes([offset + length])
-    size = length.to_bytes((length.bit_length() + 7) // 8, "big")
-    return bytes([offset + 55 + len(size)]) + size
+# Everything is put together as hex text: columns hold hex, and joining text is cheap.
+_ITEM = [f"{0x80 + n:02x}" for n in range(56)]
+
 
+def _long_header(length: int, offset: int) -> str:
+    size = f"{length:x}"
+    size = size if len(size) % 2 == 0 else "0" + size
+    return f"{offset + 55 + len(size) // 2:02x}{size}"
 
-def encode_bytes(item: bytes) -> bytes:
-    if len(item) == 1 and item[0] < 0x80:
-        return item
-    return _header(len(item), 0x80) + item
+
+def encode_item(digits: str) -> str:
+    """Byte string, given and returned as hex."""
+    length = len(digits) // 2
+    if length == 1 and digits < "80":
+        return digits
+    if length < 56:
+        return _ITEM[length] + digits
+    return _long_header(length, 0x80) + digits
 
 
-def encode_int(number: int) -> bytes:
-    return encode_bytes(number.to_bytes((number.bit_length() + 7) // 8, "big"))
+def encode_number(digits: str) -> str:
+    """Integer given as hex digits, leading zeros allowed."""
+    digits = digits.lstrip("0")
+    return encode_item(digits if len(digits) % 2 == 0 else "0" + digits)
 
 
-def encode_list(encoded: list[bytes]) -> bytes:
-    body = b"".join(encoded)
-    return _header(len(body), 0xC0) + body
+def encode_list(items: list[str]) -> str:
+    body = "".join(items)
+    length = len(body) // 2
+    return (f"{0xC0 + length:02x}" if length < 56 else _long_header(length, 0xC0)) + body
 
 
 def _span(data: bytes, at: int) -> tuple[int, int, bool]:

@@ -4,21 +4,36 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerline.functions import text as X
 
 
-def _text(name: str) -> Column:
-    return F.col(name).cast("string")
+# Types whose every non-NULL value is a valid integer, or a valid time.
+INTEGERS = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+TIMES = (T.TimestampType, T.TimestampNTZType, T.DateType)
 
 
-def _require(name: str, check) -> Column:
-    """Name of the rule if the value is absent or wrong."""
-    return F.when(~F.coalesce(check(_text(name)), F.lit(False)), F.lit(name))
+class _Rules:
+    """Rules on the columns of one schema. A column that is typed already only needs
+    a value; text has to have the right form."""
 
+    def __init__(self, schema: T.StructType):
+        self.types = {field.name: field.dataType for field in schema}
 
-def _optional(name: str, check) -> Column:
-    return F.when(F.col(name).isNotNull() & ~F.coalesce(check(_text(name)), F.lit(False)), F.lit(name))
+    def _right(self, name: str, check) -> Column:
+        kind = self.types[name]
+        whole = isinstance(kind, INTEGERS) or (isinstance(kind, T.DecimalType) and kind.scale == 0)
+        if (check is X.is_integer and whole) or (check is X.is_timestamp and isinstance(kind, TIMES)):
+            return F.col(name).isNotNull()
+        return F.coalesce(check(F.col(name).cast("string")), F.lit(False))
+
+    def require(self, name: str, check) -> Column:
+        """Name of the rule if the value is absent or wrong."""
+        return F.when(~self._right(name, check), F.lit(name))
+
+    def optional(self, name: str, check) -> Column:
+        return F.when(F.col(name).isNotNull() & ~self._right(name, check), F.lit(name))
 
 
 def _present(name: str) -> Column:
@@ -33,38 +48,38 @@ def _violations(rules: list[Column]) -> Column:
     return F.array_compact(F.array(*rules))
 
 
-def transaction_rules(strict: bool = False) -> Column:
-    rules = [
-        _require("ts", X.is_timestamp),
-        _require("trx_id", X.is_bare_hash),
-        _present("action_ordinal"),
-        _require("hash", lambda c: X.is_hash(c, strict)),
-        _optional("from", X.is_address),
-        _optional("to", X.is_address),
-        _present("trx_index"),
-        _present("block"),
-        _require("block_hash", X.is_bare_hash),
-        _require("input_data", X.is_hex),
-        _require("input_trimmed", X.is_hex),
-        _require("value_hex", X.is_bare_hex),
-        _require("value_d", _amount),
-        *[
-            _require(name, X.is_integer)
-            for name in ("nonce", "gas_price", "gas_limit", "gasused", "gasusedblock", "charged_gas_price")
-        ],
-        _present("status"),
-        _present("itxs"),
-        _present("epoch"),
-        _require("createdaddr", lambda c: (c == "") | X.is_bare_address(c)),
-        _present("output"),
-        _optional("logs_bloom", X.is_bare_hex),
-        _require("v", X.is_integer),
-        _require("r", X.is_hex),
-        _require("s", X.is_hex),
-    ]
-    return _violations(rules)
+def transaction_rules(schema: T.StructType, strict: bool = False) -> Column:
+    rules = _Rules(schema)
+    return _violations(
+        [
+            rules.require("ts", X.is_timestamp),
+            rules.require("trx_id", X.is_bare_hash),
+            _present("action_ordinal"),
+            rules.require("hash", lambda c: X.is_hash(c, strict)),
+            rules.optional("from", X.is_address),
+            rules.optional("to", X.is_address),
+            _present("trx_index"),
+            _present("block"),
+            rules.require("block_hash", X.is_bare_hash),
+            rules.require("input_data", X.is_hex),
+            rules.require("input_trimmed", X.is_hex),
+            rules.require("value_hex", X.is_bare_hex),
+            rules.require("value_d", _amount),
+            *[rules.require(name, X.is_integer) for name in INTEGER_FIELDS],
+            _present("status"),
+            _present("itxs"),
+            _present("epoch"),
+            rules.require("createdaddr", lambda c: (c == "") | X.is_bare_address(c)),
+            _present("output"),
+            rules.optional("logs_bloom", X.is_bare_hex),
+            rules.require("v", X.is_integer),
+            rules.require("r", X.is_hex),
+            rules.require("s", X.is_hex),
+        ]
+    )
 
 
+INTEGER_FIELDS = ("nonce", "gas_price", "gas_limit", "gasused", "gasusedblock", "charged_gas_price")
 IDENTITY = {
     "ts": X.is_timestamp,
     "native_hash": X.is_bare_hash,
@@ -80,38 +95,43 @@ BODY = {
 }
 
 
-def genesis_rules() -> Column:
+def genesis_rules(schema: T.StructType) -> Column:
     """The six identity fields, which a genesis block has too."""
+    rules = _Rules(schema)
     return _violations(
         [_present("block_num"), _present("evm_block_num")]
-        + [_require(name, check) for name, check in IDENTITY.items()]
+        + [rules.require(name, check) for name, check in IDENTITY.items()]
     )
 
 
-def block_rules() -> Column:
+def block_rules(schema: T.StructType) -> Column:
+    rules = _Rules(schema)
     return _violations(
         [_present("block_num"), _present("evm_block_num")]
-        + [_require(name, check) for name, check in {**IDENTITY, **BODY}.items()]
+        + [rules.require(name, check) for name, check in {**IDENTITY, **BODY}.items()]
     )
 
 
 def validate_tx(df: DataFrame, strict: bool = False) -> DataFrame:
     """Adds ``violations``, the broken rules; an empty array is a valid row."""
-    return df.withColumn("violations", transaction_rules(strict))
+    return df.withColumn("violations", transaction_rules(df.schema, strict))
 
 
 def validate_blocks(df: DataFrame, genesis_ok: bool = True) -> DataFrame:
     """Adds ``violations`` and ``shape``: block, genesis (only with ``genesis_ok``) or invalid."""
-    full = df.withColumns({"violations": block_rules(), "_genesis": F.size(genesis_rules()) == 0})
+    full = df.withColumns(
+        {"violations": block_rules(df.schema), "_genesis": F.size(genesis_rules(df.schema)) == 0}
+    )
     shape = F.when(F.size("violations") == 0, "block")
     if genesis_ok:
         shape = shape.when(F.col("_genesis"), "genesis")
     return full.withColumn("shape", shape.otherwise("invalid")).drop("_genesis")
 
 
-def is_storable(kind: str) -> Column:
-    """Whether a row may be stored. Blocks only need the identity fields."""
-    return F.size(transaction_rules() if kind == "transaction" else genesis_rules()) == 0
+def with_storable(df: DataFrame, kind: str) -> DataFrame:
+    """Adds ``storable``. Blocks only need the identity fields for it."""
+    rules = transaction_rules(df.schema) if kind == "transaction" else genesis_rules(df.schema)
+    return df.withColumn("storable", F.size(rules) == 0)
 
 
 def split_valid(df: DataFrame) -> tuple[DataFrame, DataFrame]:

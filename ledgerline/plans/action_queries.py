@@ -166,7 +166,7 @@ def validate_blocks(spark, folder):
     (V.V_BLOCKS,),
 )
 def storable_blocks(spark, folder):
-    return _rough_blocks(spark, folder).select("block_num", validate.is_storable("block").alias("storable"))
+    return validate.with_storable(_rough_blocks(spark, folder), "block").select("block_num", "storable")
 
 
 @query(
