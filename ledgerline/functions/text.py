@@ -49,7 +49,7 @@ def name_to_uint64(name: Column) -> Column:
     known = F.regexp_replace(name, "[^1-5a-z]", ".")
     digits = F.translate(F.rpad(F.substring(known, 1, 12), 12, "."), K.NAME_ALPHABET, K.BASE32_DIGITS)
     last = F.instr(F.lit(K.NAME_ALPHABET), F.substring(F.rpad(known, 13, "."), 13, 1)) - 1
-    head = F.conv(digits, 32, 10).cast("decimal(18,0)") * F.lit(16).cast("decimal(2,0)")
+    head = F.conv(digits, 32, 10).cast("decimal(19,0)") * F.lit(16).cast("decimal(2,0)")
     return (head + last.bitwiseAND(F.lit(15)).cast("decimal(2,0)")).cast("decimal(20,0)")
 
 

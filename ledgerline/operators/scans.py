@@ -17,18 +17,18 @@ def in_range(
     column: str,
     lo: int | None,
     hi: int | None,
-    per_segment: int = K.BLOCKS_PER_SEGMENT,
+    per_segment: int | None = None,
     shift: int = 0,
 ) -> DataFrame:
     """Rows with ``lo <= column <= hi``.
 
-    A ``segment`` column gets its own bounds, so partitions are pruned from the file
-    listing and row groups by the range itself. ``shift`` is what the column lacks to
-    the native number that segments are cut by.
+    Row groups are skipped by the range itself. With ``per_segment``, the size the
+    table's ``segment`` is cut by, partitions are pruned from the file listing too.
+    ``shift`` is what the column lacks to the native number that segments count.
     """
-    low = None if lo is None else (lo + shift) // per_segment
-    high = None if hi is None else (hi + shift) // per_segment
-    parted = "segment" in df.columns
+    parted = per_segment is not None and "segment" in df.columns
+    low = (lo + shift) // per_segment if parted and lo is not None else None
+    high = (hi + shift) // per_segment if parted and hi is not None else None
     if lo is not None:
         df = df.where(F.col(column) >= lo)
         df = df.where(F.col("segment") >= low) if parted else df
@@ -38,9 +38,15 @@ def in_range(
     return df
 
 
-def bounded(df: DataFrame, start: int, stop: int | None = None, column: str = "block_num") -> DataFrame:
+def bounded(
+    df: DataFrame,
+    start: int | None,
+    stop: int | None = None,
+    column: str = "block_num",
+    per_segment: int | None = None,
+) -> DataFrame:
     """Blocks before ``start`` are skipped; ``stop`` counts only when positive."""
-    return in_range(df, column, start, stop if stop and stop > 0 else None)
+    return in_range(df, column, start, stop if stop and stop > 0 else None, per_segment)
 
 
 def block_range(

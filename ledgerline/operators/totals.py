@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ledgerline import constants as K
 from ledgerline.operators.bloom import EMPTY_BLOOM, bloom_union
 from ledgerline.operators.ordered import left_join_skewed, running_totals
-from ledgerline.operators.scans import bounded, with_segment
+from ledgerline.operators.scans import in_range, with_segment
 
 
 HEADER = ("block_num", "ts", "native_hash")
@@ -163,10 +163,16 @@ def reindex_blocks(
     """A range of blocks and their transactions, with number, gas, bloom and count
     computed anew. Hashes, roots and sizes are carried and linked.
     """
-    wanted = bounded(blocks, lo if lo is not None else 0, hi)
-    low = None if lo is None else lo - delta
-    ranged = txs if low is None else txs.where(F.col("block") >= low)
-    ranged = ranged if hi is None or hi <= 0 else ranged.where(F.col("block") <= hi - delta)
+    hi = hi if hi and hi > 0 else None
+    wanted = in_range(blocks, "block_num", lo, hi, per_segment)
+    ranged = in_range(
+        txs,
+        "block",
+        None if lo is None else lo - delta,
+        None if hi is None else hi - delta,
+        per_segment,
+        shift=delta,
+    )
 
     source = wanted.select(
         "block_num",

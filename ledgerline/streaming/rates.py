@@ -48,12 +48,13 @@ def stalls(df: DataFrame, seconds: int, position: str = "arrival_seq", ts: str =
     )
 
 
-def activity_sessions(stream: DataFrame, seconds: int, ts: str = "ts") -> DataFrame:
-    """Streaming form: spans of arrivals; a stall lies between one and the next."""
+def activity_sessions(stream: DataFrame, chain: str, seconds: int, ts: str = "ts") -> DataFrame:
+    """Streaming form: spans of arrivals per chain; a stall lies between one and the next."""
     return (
-        stream.groupBy(F.session_window(ts, f"{seconds} seconds"))
+        stream.groupBy(chain, F.session_window(ts, f"{seconds} seconds"))
         .agg(F.count(F.lit(1)).alias("n"))
         .select(
+            chain,
             F.unix_seconds(F.col("session_window.start")).alias("active_from"),
             F.unix_seconds(F.col("session_window.end")).alias("quiet_at"),
             "n",
