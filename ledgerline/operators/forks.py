@@ -88,9 +88,5 @@ def without_discarded(df: DataFrame, forks: DataFrame, column: str = "block_num"
 
     Everything above the lowest ``last_non_forked`` of the log goes.
     """
-    floor = forks.agg(F.min("last_non_forked").alias("_floor"))
-    return (
-        df.crossJoin(F.broadcast(floor))  # one row
-        .where(F.col("_floor").isNull() | (F.col(column) <= F.col("_floor")))
-        .drop("_floor")
-    )
+    floor = forks.agg(F.min("last_non_forked").alias("floor")).first().floor
+    return df if floor is None else df.where(F.col(column) <= floor)

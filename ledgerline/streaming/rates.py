@@ -72,9 +72,9 @@ def eta(df: DataFrame, target: int, per_second: float | None = None, column: str
         rate = F.lit(float(per_second))
     else:
         at = F.unix_seconds(F.col(ts).cast("timestamp"))
-        newest = df.agg(F.max(column).alias("last"), F.max(at).alias("newest"))
-        recent = df.select(at.alias("at")).join(F.broadcast(newest), F.col("at") > F.col("newest") - 10, "right")
-        top = recent.groupBy("last").agg(F.count("at").alias("recent"))
+        newest = df.agg(F.max(at).alias("newest")).first().newest
+        recent = F.count(F.when(at > F.lit(newest) - 10, 1))
+        top = df.agg(F.max(column).alias("last"), recent.alias("recent"))
         rate = F.col("recent") / 10
     left = F.lit(target) - F.col("last")
     return top.select(
@@ -100,7 +100,9 @@ def resume_point(
         F.max("block_num").alias("last"), F.max_by("evm_prev_hash", "block_num").alias("last_parent")
     )
     first_gap = gaps.agg(F.min("last_before").alias("gap"))
-    one = last.crossJoin(first_gap)  # one row each
+    one = last.unionByName(first_gap, allowMissingColumns=True).agg(
+        F.max("last").alias("last"), F.max("last_parent").alias("last_parent"), F.max("gap").alias("gap")
+    )
     resumable = F.col("last").isNotNull() & ~F.col("last_parent").isin(K.ZERO_HASH, K.ZERO_HASH[2:])
     has_gap = F.col("gap").isNotNull()
     if purge_gaps:
