@@ -52,6 +52,8 @@ def _rows(parts: pd.DataFrame):
 
 
 def _encode(nonce, gas_price, gas_limit, to, value_hex, data, v, r, s) -> bytes:
+    if None in (nonce, gas_price, gas_limit, value_hex):
+        raise ValueError("missing field")
     signature = () if v is None else (v, r, s)
     return bytes.fromhex(
         encode_list(
@@ -108,7 +110,9 @@ def _decode_udf(raw: pd.Series) -> pd.DataFrame:
 
 @F.pandas_udf(T.StringType())
 def _encode_udf(parts: pd.DataFrame) -> pd.Series:
-    return pd.Series(["0x" + _encode(*row).hex() for row in _rows(parts)], dtype=object)
+    return pd.Series(
+        [None if row[0] is None else "0x" + _encode(*row).hex() for row in _rows(parts)], dtype=object
+    )
 
 
 @F.pandas_udf(DIGEST)
@@ -167,7 +171,10 @@ def decode_legacy(raw: Column) -> Column:
 
 
 def encode_legacy(nonce, gas_price, gas_limit, to, value_hex, data, v=None, r=None, s=None) -> Column:
-    """Hex text of the serialized transaction; without V, R, S the unsigned form."""
+    """Hex text of the serialized transaction; without V, R, S the unsigned form.
+
+    A row without nonce gives NULL.
+    """
     return _encode_udf(_parts(nonce, gas_price, gas_limit, to, value_hex, data, v, r, s))
 
 

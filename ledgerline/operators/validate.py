@@ -45,12 +45,18 @@ def _amount(text: Column) -> Column:
 
 
 def _violations(rules: list[Column]) -> Column:
-    return F.array_compact(F.array(*rules))
+    # Joining text skips NULLs in generated code; only bad rows are split into an array.
+    broken = F.concat_ws(",", *rules)
+    return F.when(broken == "", F.array().cast("array<string>")).otherwise(F.split(broken, ","))
 
 
-def transaction_rules(schema: T.StructType, strict: bool = False) -> Column:
+def _valid(rules: list[Column]) -> Column:
+    return F.concat_ws(",", *rules) == ""
+
+
+def transaction_rules(schema: T.StructType, strict: bool = False) -> list[Column]:
     rules = _Rules(schema)
-    return _violations(
+    return (
         [
             rules.require("ts", X.is_timestamp),
             rules.require("trx_id", X.is_bare_hash),
@@ -95,32 +101,28 @@ BODY = {
 }
 
 
-def genesis_rules(schema: T.StructType) -> Column:
+def genesis_rules(schema: T.StructType) -> list[Column]:
     """The six identity fields, which a genesis block has too."""
     rules = _Rules(schema)
-    return _violations(
-        [_present("block_num"), _present("evm_block_num")]
-        + [rules.require(name, check) for name, check in IDENTITY.items()]
-    )
+    return [_present("block_num"), _present("evm_block_num")] + [
+        rules.require(name, check) for name, check in IDENTITY.items()
+    ]
 
 
-def block_rules(schema: T.StructType) -> Column:
+def block_rules(schema: T.StructType) -> list[Column]:
     rules = _Rules(schema)
-    return _violations(
-        [_present("block_num"), _present("evm_block_num")]
-        + [rules.require(name, check) for name, check in {**IDENTITY, **BODY}.items()]
-    )
+    return genesis_rules(schema) + [rules.require(name, check) for name, check in BODY.items()]
 
 
 def validate_tx(df: DataFrame, strict: bool = False) -> DataFrame:
     """Adds ``violations``, the broken rules; an empty array is a valid row."""
-    return df.withColumn("violations", transaction_rules(df.schema, strict))
+    return df.withColumn("violations", _violations(transaction_rules(df.schema, strict)))
 
 
 def validate_blocks(df: DataFrame, genesis_ok: bool = True) -> DataFrame:
     """Adds ``violations`` and ``shape``: block, genesis (only with ``genesis_ok``) or invalid."""
     full = df.withColumns(
-        {"violations": block_rules(df.schema), "_genesis": F.size(genesis_rules(df.schema)) == 0}
+        {"violations": _violations(block_rules(df.schema)), "_genesis": _valid(genesis_rules(df.schema))}
     )
     shape = F.when(F.size("violations") == 0, "block")
     if genesis_ok:
@@ -131,7 +133,7 @@ def validate_blocks(df: DataFrame, genesis_ok: bool = True) -> DataFrame:
 def with_storable(df: DataFrame, kind: str) -> DataFrame:
     """Adds ``storable``. Blocks only need the identity fields for it."""
     rules = transaction_rules(df.schema) if kind == "transaction" else genesis_rules(df.schema)
-    return df.withColumn("storable", F.size(rules) == 0)
+    return df.withColumn("storable", _valid(rules))
 
 
 def split_valid(df: DataFrame) -> tuple[DataFrame, DataFrame]:

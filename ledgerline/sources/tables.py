@@ -1,8 +1,8 @@
 """Segment-partitioned Parquet tables: create-only append, range delete, purge, load.
 
-Parquet has no row delete. Deletes rewrite the one segment their edge cuts and drop
-whole segments beyond it; rows are staged in the shared folder before they replace
-what they were read from, and every step can be repeated after a lost job.
+Parquet has no row delete. Deletes drop whole segments and, in the segment their edge
+cuts, rewrite only the files that hold rows of the range. The rows that stay are
+written before the old files go, and a lost job is finished by the next one.
 """
 
 from __future__ import annotations
@@ -22,6 +22,7 @@ from ledgerline.session import shared_folder
 BLOCK_ORDER = ("segment", "block_num")
 TRANSACTION_ORDER = ("segment", "block", "trx_index")
 ROWS_PER_FILE = 5_000_000
+_REPLACE = "_replace-"
 
 
 @contextmanager
@@ -129,6 +130,7 @@ def append_create_only(
 ) -> None:
     """Append rows whose keys must all be new. Only the segments of the batch are read."""
     spark = new.sparkSession
+    _finish_replacing(spark, path)
     target = read_table(spark, path, schema)
     touched = [row.segment for row in new.select("segment").distinct().collect()]
     clashes = key_clashes(new, target.where(F.col("segment").isin(touched)), key).limit(5).collect()
@@ -202,21 +204,62 @@ def without_range(df: DataFrame, column: str, lo: int, hi: int | None = None) ->
     return df.where(kept if hi is None else kept | (F.col(column) > hi))
 
 
-def _rewrite_segments(
-    spark: SparkSession, path: str, segments: Sequence[int], column: str, lo: int, hi: int | None, order
+def _replace_rows(
+    spark: SparkSession, path: str, segment: int, column: str, lo: int, hi: int | None, order
 ) -> None:
-    """Replace segments by their rows outside the range, by way of a staged copy."""
-    staged = f"{shared_folder(spark)}/staged-{uuid.uuid4().hex}"
-    kept = without_range(
-        spark.read.parquet(path).where(F.col("segment").isin(list(segments))), column, lo, hi
-    )
-    write_table(kept, staged, order)
-    survivors = stored_segments(spark, staged)
-    if survivors:
-        write_table(spark.read.parquet(staged), path, order, mode="overwrite")
-    drop_segments(spark, path, [segment for segment in segments if segment not in survivors])
-    fs, folder = _fs(spark, staged)
-    fs.delete(folder, True)
+    """Delete a number range from one segment by rewriting only the files it touches.
+
+    Files are sorted by number, so a fork near the head touches the newest few. Their
+    other rows are written beside the table first; a marker then names the files they
+    replace, and from there on the exchange can be finished by any later run.
+    """
+    rows = spark.read.parquet(path).where(F.col("segment") == segment)
+    gone = rows.where(F.col(column) >= lo)
+    gone = gone if hi is None else gone.where(F.col(column) <= hi)
+    touched = [row[0] for row in gone.select("_metadata.file_path").distinct().collect()]
+    if not touched:
+        return
+    job = f"{path}/{_REPLACE}{uuid.uuid4().hex}"
+    kept = without_range(spark.read.parquet(*touched), column, lo, hi)
+    keys = [name for name in order if name != "segment"]
+    fs, marker = _fs(spark, f"{job}/READY")
+    if kept.isEmpty():
+        fs.mkdirs(_fs(spark, f"{job}/rows")[1])
+    else:
+        kept.repartitionByRange(*keys).sortWithinPartitions(*keys).write.parquet(f"{job}/rows")
+    out = fs.create(marker, True)
+    out.write(bytearray("\n".join([str(segment), *touched]), "utf-8"))
+    out.close()
+    _finish_replacing(spark, path)
+
+
+def _finish_replacing(spark: SparkSession, path: str) -> None:
+    """Finish marked exchanges of files and forget unmarked ones. Safe to repeat."""
+    fs, target = _fs(spark, path)
+    if not fs.exists(target):
+        return
+    for status in fs.listStatus(target):
+        job = status.getPath().toString()
+        if not status.getPath().getName().startswith(_REPLACE):
+            continue
+        marker = _fs(spark, f"{job}/READY")[1]
+        if fs.exists(marker):
+            lines = spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(
+                fs.open(marker), "utf-8"
+            ).split("\n")
+            for old in lines[1:]:
+                fs.delete(_fs(spark, old)[1], False)
+            folder = f"{path}/segment={lines[0]}"
+            for part in fs.listStatus(_fs(spark, f"{job}/rows")[1]):
+                name = part.getPath().getName()
+                if name.endswith(".parquet"):
+                    fs.rename(part.getPath(), _fs(spark, f"{folder}/{name}")[1])
+            left = _fs(spark, folder)[1]
+            if fs.exists(left) and not any(
+                part.getPath().getName().endswith(".parquet") for part in fs.listStatus(left)
+            ):
+                fs.delete(left, True)
+        fs.delete(_fs(spark, job)[1], True)
 
 
 def delete_range(
@@ -234,6 +277,7 @@ def delete_range(
     Segments inside the range are dropped; only the two at its ends are rewritten.
     ``shift`` is native number minus ``column``.
     """
+    _finish_replacing(spark, path)
     first, last = lo // per_segment, hi // per_segment
     touched = [segment for segment in stored_segments(spark, path) if first <= segment <= last]
     whole = [
@@ -242,9 +286,9 @@ def delete_range(
         if lo <= segment * per_segment and (segment + 1) * per_segment - 1 <= hi
     ]
     drop_segments(spark, path, whole)
-    edges = [segment for segment in touched if segment not in whole]
-    if edges:
-        _rewrite_segments(spark, path, edges, column, lo - shift, hi - shift, order)
+    for segment in touched:
+        if segment not in whole:
+            _replace_rows(spark, path, segment, column, lo - shift, hi - shift, order)
 
 
 def purge_segments_after(
@@ -266,14 +310,11 @@ def purge_from(
     order: Sequence[str] = BLOCK_ORDER,
 ) -> None:
     """Delete everything from native block ``number`` on. Repeating it is harmless."""
+    _finish_replacing(spark, path)
     purge_segments_after(spark, path, number, per_segment)
     edge = number // per_segment
     if edge in stored_segments(spark, path):
-        beyond = spark.read.parquet(path).where(
-            (F.col("segment") == edge) & (F.col(column) >= number - shift)
-        )
-        if not beyond.isEmpty():
-            _rewrite_segments(spark, path, [edge], column, number - shift, None, order)
+        _replace_rows(spark, path, edge, column, number - shift, None, order)
 
 
 def purge_chain_from(

@@ -1,3 +1,5 @@
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -84,9 +86,39 @@ def test_delete_touches_every_segment_of_the_range(spark, chain):
     assert stored(spark, chain + "/transactions") == sorted([5, 6, 7, 32, 33, 34] * 2)
 
 
-def test_nothing_staged_is_left_behind(spark, chain):
-    import os
+def test_only_the_files_of_the_range_are_rewritten(spark, folder):
+    path = folder + "/t"
+    for lo in (0, 3, 6):
+        tables.write_table(blocks(spark, lo, lo + 2), path, tables.BLOCK_ORDER, files=1)
+    before = set(os.listdir(path + "/segment=0"))
+    tables.purge_from(spark, path, 7, per_segment=PER)
+    after = set(os.listdir(path + "/segment=0"))
+    assert len([f for f in before & after if f.endswith(".parquet")]) == 2
+    assert stored(spark, path) == list(range(7))
+
 
+@pytest.mark.parametrize("step", ["before marker", "before moving", "half moved"])
+def test_a_lost_purge_is_finished_by_the_next_job(spark, folder, monkeypatch, step):
+    path = folder + "/t"
+    tables.write_table(blocks(spark, 0, 9), path, tables.BLOCK_ORDER, files=2)
+    monkeypatch.setattr(tables, "_finish_replacing", lambda *a: None)
+    tables.purge_from(spark, path, 2, per_segment=PER)
+    monkeypatch.undo()
+    assert stored(spark, path) == list(range(10))
+    job = next(f for f in os.listdir(path) if f.startswith("_replace-"))
+    if step == "before marker":
+        os.remove(f"{path}/{job}/READY")
+        tables._finish_replacing(spark, path)
+        assert stored(spark, path) == list(range(10))
+    if step == "half moved":
+        for line in open(f"{path}/{job}/READY").read().split("\n")[1:]:
+            os.remove(line.removeprefix("file://").removeprefix("file:"))
+    tables.purge_from(spark, path, 2, per_segment=PER)
+    assert stored(spark, path) == [0, 1]
+    assert not [f for f in os.listdir(path) if f.startswith("_replace-")]
+
+
+def test_nothing_staged_is_left_behind(spark, chain):
     tables.purge_chain_from(spark, chain, 17, 2, PER)
     shared = spark.conf.get("spark.checkpoint.dir")
     assert not [name for name in os.listdir(shared) if name.startswith("staged-")]

@@ -133,6 +133,8 @@ def test_targets_and_errors(spark):
         6: "amount out of range",
         8: "failed to get eth addr for nobody, int: 11317340220547923968",
     }
+    everything = T.translate(T.accepted(frame(spark, rows)), accounts(spark), 2)
+    assert sum(r.hash is None for r in everything.collect()) == 6
     info = json.loads(bad.where("action_seq = 2").first().info)
     assert info["nativeBlockHash"] == BLOCK_ID and info["block_num"] == 48 and info["tx"]["memo"] == "0xshort"
 
