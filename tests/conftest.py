@@ -20,7 +20,7 @@ def spark():
         **{
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
-            "spark.sql.shuffle.partitions": "8",
+            "spark.sql.shuffle.partitions": "4",
             "spark.driver.memory": "8g",
             "spark.checkpoint.dir": f"{shared}/checkpoints",
         },
