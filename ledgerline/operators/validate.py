@@ -56,33 +56,31 @@ def _valid(rules: list[Column]) -> Column:
 
 def transaction_rules(schema: T.StructType, strict: bool = False) -> list[Column]:
     rules = _Rules(schema)
-    return (
-        [
-            rules.require("ts", X.is_timestamp),
-            rules.require("trx_id", X.is_bare_hash),
-            _present("action_ordinal"),
-            rules.require("hash", lambda c: X.is_hash(c, strict)),
-            rules.optional("from", X.is_address),
-            rules.optional("to", X.is_address),
-            _present("trx_index"),
-            _present("block"),
-            rules.require("block_hash", X.is_bare_hash),
-            rules.require("input_data", X.is_hex),
-            rules.require("input_trimmed", X.is_hex),
-            rules.require("value_hex", X.is_bare_hex),
-            rules.require("value_d", _amount),
-            *[rules.require(name, X.is_integer) for name in INTEGER_FIELDS],
-            _present("status"),
-            _present("itxs"),
-            _present("epoch"),
-            rules.require("createdaddr", lambda c: (c == "") | X.is_bare_address(c)),
-            _present("output"),
-            rules.optional("logs_bloom", X.is_bare_hex),
-            rules.require("v", X.is_integer),
-            rules.require("r", X.is_hex),
-            rules.require("s", X.is_hex),
-        ]
-    )
+    return [
+        rules.require("ts", X.is_timestamp),
+        rules.require("trx_id", X.is_bare_hash),
+        _present("action_ordinal"),
+        rules.require("hash", lambda c: X.is_hash(c, strict)),
+        rules.optional("from", X.is_address),
+        rules.optional("to", X.is_address),
+        _present("trx_index"),
+        _present("block"),
+        rules.require("block_hash", X.is_bare_hash),
+        rules.require("input_data", X.is_hex),
+        rules.require("input_trimmed", X.is_hex),
+        rules.require("value_hex", X.is_bare_hex),
+        rules.require("value_d", _amount),
+        *[rules.require(name, X.is_integer) for name in INTEGER_FIELDS],
+        _present("status"),
+        _present("itxs"),
+        _present("epoch"),
+        rules.require("createdaddr", lambda c: (c == "") | X.is_bare_address(c)),
+        _present("output"),
+        rules.optional("logs_bloom", X.is_bare_hex),
+        rules.require("v", X.is_integer),
+        rules.require("r", X.is_hex),
+        rules.require("s", X.is_hex),
+    ]
 
 
 INTEGER_FIELDS = ("nonce", "gas_price", "gas_limit", "gasused", "gasusedblock", "charged_gas_price")
