@@ -44,3 +44,11 @@ def ascii_lower(text: Column) -> Column:
     """A-Z in lower case, every other letter as it is."""
     ascii_only = F.length(text) == F.octet_length(text)
     return F.when(ascii_only, F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))
+
+
+def broadcast_if_small(df: DataFrame, rows: int) -> DataFrame:
+    """``df`` marked for broadcast if it holds at most ``rows`` rows; else it is shuffled as usual.
+
+    Call it on narrow, staged tables only: the count is a job of its own.
+    """
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from ledgerline.llm import bpe
+from ledgerline.llm import bpe, neardup
 from ledgerline.llm.common import read
 from ledgerline.llm.registry import query
 
@@ -22,3 +22,9 @@ def bpe_round_trip(spark, folder):
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " ").cast("binary"), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+@query("op7_near_duplicates")
+def near_duplicates(spark, folder):
+    """Components of documents that share four fifths of their word pairs."""
+    return neardup.near_duplicates(read(spark, folder, "documents").select("doc_id", "text"), k=2)
