@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from ledgerline.llm import bpe, neardup
+from ledgerline.llm import bpe, decontaminate, neardup, secrets
 from ledgerline.llm.common import read
 from ledgerline.llm.registry import query
 
@@ -28,3 +28,62 @@ def bpe_round_trip(spark, folder):
 def near_duplicates(spark, folder):
     """Components of documents that share four fifths of their word pairs."""
     return neardup.near_duplicates(read(spark, folder, "documents").select("doc_id", "text"), k=2)
+
+
+@query(
+    "op1_decontaminate",
+    r"""
+WITH items AS (
+  SELECT item_id, ws, least(len(ws), 13) AS k FROM (
+    SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+      'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM benchmark) WHERE len(ws) > 0),
+windows AS (
+  SELECT DISTINCT item_id, k, array_to_string(ws[i:i + k - 1], ' ') AS w
+  FROM (SELECT *, unnest(generate_series(1, len(ws) - k + 1)) AS i FROM items)),
+docs AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents),
+own AS (
+  SELECT doc_id, k, i, array_to_string(ws[i:i + k - 1], ' ') AS w
+  FROM (SELECT doc_id, ws, k, unnest(generate_series(1, len(ws) - k + 1)) AS i FROM docs, (SELECT DISTINCT k FROM windows))),
+hits AS (SELECT o.doc_id, o.i, o.k, n.item_id FROM own o JOIN windows n ON o.k = n.k AND o.w = n.w),
+covered AS (
+  SELECT doc_id, count(DISTINCT j) AS n_hit
+  FROM (SELECT doc_id, unnest(generate_series(i, i + k - 1)) AS j FROM hits) GROUP BY doc_id),
+listed AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hits) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(ws) AS contaminated
+FROM docs d LEFT JOIN covered USING (doc_id) LEFT JOIN listed USING (doc_id)
+""",
+)
+def decontaminated(spark, folder):
+    """Benchmark windows in every whole text."""
+    found = decontaminate.hits(
+        read(spark, folder, "documents").select("doc_id", "text"), read(spark, folder, "benchmark"), item_id="item_id"
+    )
+    return found.select(
+        F.col("id").alias("doc_id"),
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
+        decontaminate.is_contaminated(5).alias("contaminated"),
+    )
+
+
+@query("op4_secrets")
+def secret_spans(spark, folder):
+    """Patterns and character models over every whole text; the models learn from labelled strings of the table."""
+    docs = read(spark, folder, "documents").select("doc_id", "text")
+    found = secrets.scan(docs, secrets.train(secrets.labelled_strings(docs)))
+    count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long")
+    return found.select(
+        "doc_id",
+        count(0).alias("n_assign"),
+        count(1).alias("n_access"),
+        count(2).alias("n_hex"),
+        F.sha2(secrets.as_text(F.col("base")).cast("binary"), 256).alias("base_sha256"),
+        secrets.as_text(F.col("spans")).alias("spans"),
+    )
