@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from ledgerline.llm import bpe, decontaminate, neardup, secrets
+from ledgerline.llm import bpe, decontaminate, langid, neardup, secrets
 from ledgerline.llm.common import read
 from ledgerline.llm.registry import query
 
@@ -87,3 +87,13 @@ def secret_spans(spark, folder):
         F.sha2(secrets.as_text(F.col("base")).cast("binary"), 256).alias("base_sha256"),
         secrets.as_text(F.col("spans")).alias("spans"),
     )
+
+
+@query("op5_languages")
+def languages(spark, folder):
+    """Language of every whole text, learned from the labels of documents that aren't held out."""
+    docs = read(spark, folder, "documents").select("doc_id", "text", "lang")
+    apart = langid.held_out(F.col("doc_id"))
+    model = langid.train(docs.where(~apart))
+    found = langid.identify(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", apart.alias("held_out"), "lang_pred", "score")
