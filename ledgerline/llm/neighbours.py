@@ -185,6 +185,15 @@ def _matrix(column: pd.Series) -> np.ndarray:
     return np.stack(column.to_list()).astype(np.float64) if len(column) else np.zeros((0, 1))
 
 
+def _lists(values) -> pd.Series:
+    """A column of lists, of that kind even if empty."""
+    values = list(values)
+    out = np.empty(len(values), object)
+    for at, value in enumerate(values):
+        out[at] = value
+    return pd.Series(out)
+
+
 FOUND = "query array<double>, bound double, best array<struct<score:double,ids:array<bigint>>>"
 
 
@@ -200,7 +209,7 @@ def _search_cells(index: DataFrame, asked: DataFrame, space: Space, k: int, poin
     def run(_, rows: pd.DataFrame, asks: pd.DataFrame) -> pd.DataFrame:
         if not len(rows) or not len(asks):
             empty = [[] for _ in range(len(asks))]
-            return pd.DataFrame({"query": asks["query"], "bound": asks["bound"], "best": empty})
+            return pd.DataFrame({"query": _lists(asks["query"]), "bound": asks["bound"].astype(float), "best": _lists(empty)})
         rows = rows.iloc[rows["ids"].map(lambda i: i[0]).argsort(kind="stable")]
         vectors, queries = _matrix(rows["vector"]), _matrix(asks["query"])
         ids = rows["ids"].to_list()
@@ -209,7 +218,7 @@ def _search_cells(index: DataFrame, asked: DataFrame, space: Space, k: int, poin
             [{"score": s, "ids": ids[r]} for r, s in zip(own, of, strict=True) if r >= 0]
             for own, of in zip(found.tolist(), scores.tolist(), strict=True)
         ]
-        return pd.DataFrame({"query": list(queries), "bound": asks["bound"], "best": best})
+        return pd.DataFrame({"query": _lists(queries), "bound": asks["bound"], "best": _lists(best)})
 
     return index.groupBy("cell", "part").cogroup(asked.groupBy("cell", "part")).applyInPandas(run, FOUND)
 
@@ -261,7 +270,7 @@ def nearest(
             may = gap2(own, low, high) <= reach[:, None]
             may[np.arange(len(q)), space.cell(own)] = False
             at, cell = np.nonzero(may)
-            yield pd.DataFrame({"cell": cell, "query": [q[i] for i in at], "bound": worst[at]})
+            yield pd.DataFrame({"cell": cell, "query": _lists(q[i] for i in at), "bound": worst[at]})
 
     index = staged(index.mapInPandas(cells, "vector array<double>, ids array<bigint>, cell long"), "cells")
     asked = _usable(queries, id, vector).where(length_of).select(F.col("id").alias("query_id"), F.col("vector").alias("query")).distinct()
