@@ -5,8 +5,9 @@ A document is the set of its distinct shingles of ``k`` words. Two documents are
 Jaccard similarity of their sets reaches ``percent`` / 100. Documents with equal sets form a
 class, and only classes are compared. Classes that share a band form a bucket:
 
-1. every class is checked against the least class of its bucket, which ties large groups
-   together in a number of pairs that grows with the group, not with its square;
+1. in a few rounds one class of each component of a bucket is checked against one class of the bucket's
+   commonest component (at first every class is a component), and what links is tied together. Large groups
+   come together in a number of pairs that grows with the group, not with its square;
 2. buckets that still hold several components are searched whole: each class outside the
    bucket's commonest component against all classes of other components, in blocks. Only
    pairs that stay plausible leave a block.
@@ -41,6 +42,8 @@ BANDS, ROWS = 32, 5
 HASHES = BANDS * ROWS
 #: Hashes compared before a pair is judged again.
 STEP = 32
+#: Rounds that tie groups together: buckets of a class that count, and which class stands for a component.
+ROUNDS = [(4, ("least", "least")), (BANDS, ("least", "least")), (BANDS, ("largest", "largest")), (BANDS, ("least", "largest"))]
 #: Classes of one side of a block.
 BLOCK = 512
 #: Up to so many ids (8 bytes each) are sent to every executor to select texts; beyond, both sides shuffle.
@@ -291,19 +294,20 @@ def near_duplicates(
     class_of = able.groupBy("set_key").agg(F.min("id").alias("id"))
     classes = staged(able.join(class_of, ["set_key", "id"], "left_semi").select("id", "n", "sketch", "bands"), "classes")
 
-    bands = classes.select("id", F.explode("bands").alias("bucket"))
-    hubs = bands.groupBy("bucket").agg(F.min("id").alias("hub"), F.max("id").alias("last")).where("hub < last").drop("last")
-    members = staged(bands.join(hubs, "bucket"), "members")
-
     sides = classes.select("id", "n", "sketch")
-    stars = members.where("id <> hub").select(F.col("id").alias("a"), F.col("hub").alias("b")).distinct()
-    stars = stars.join(sides.toDF("a", "na", "sa"), "a").join(sides.toDF("b", "nb", "sb"), "b")
-    links = staged(_verified(_checked(stars, least, percent), texts, k, percent).distinct(), "links")
-    found = staged(components(links), "components")
-
-    rest = _searched(_blocks(members, found, sides), least, percent)
-    more = staged(_verified(rest, texts, k, percent).distinct(), "links")
-    found = components(links.unionByName(more))
+    links, found = None, None
+    for bands, ends in ROUNDS:
+        tried = _stars(_owned(classes, found, bands), ends)
+        if found is None:
+            tried = tried.groupBy("a").agg(F.min("b").alias("b"))
+        tried = tried.join(sides.toDF("a", "na", "sa"), "a").join(sides.toDF("b", "nb", "sb"), "b")
+        new = _verified(_checked(tried, least, percent), texts, k, percent).distinct()
+        links = staged(new if links is None else links.unionByName(new), "links")
+        found = staged(components(links), "components")
+
+    rest = _searched(_blocks(_owned(classes, found, BANDS), sides), least, percent)
+    new = staged(_verified(rest, texts, k, percent).distinct(), "links")
+    found = components(links.unionByName(new))
 
     labels = class_of.join(found.withColumnRenamed("node", "id"), "id", "left")
     labels = labels.select("set_key", F.coalesce("component", "id").alias("component"))
@@ -316,14 +320,39 @@ def near_duplicates(
     return out.withColumn("kept", F.col(id).eqNullSafe(F.col("component_id")))
 
 
-def _blocks(members: DataFrame, found: DataFrame, sides: DataFrame) -> DataFrame:
+def _owned(classes: DataFrame, found: DataFrame | None, bands: int) -> DataFrame:
+    """``(bucket, id, component)`` of each class in its first ``bands`` buckets."""
+    if found is None:
+        owned = classes.withColumn("component", F.col("id"))
+    else:
+        owned = classes.select("id", "bands").join(found.withColumnRenamed("node", "id"), "id", "left")
+        owned = owned.withColumn("component", F.coalesce("component", "id"))
+    return owned.select("id", "component", F.explode(F.slice("bands", 1, bands)).alias("bucket"))
+
+
+def _stars(owned: DataFrame, ends: tuple[str, str]) -> DataFrame:
+    """Pairs ``(a, b)`` between one class of each component of a bucket and one of its commonest component.
+
+    Which class stands for a component is told by ``ends``: its least id there, or its largest.
+    A component is one row per bucket, so a group that is tied together costs no more than one class.
+    """
+    parts = owned.groupBy("bucket", "component").agg(
+        F.min("id").alias("least"), F.max("id").alias("largest"), F.count("*").alias("n")
+    )
+    mixed = parts.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y")
+    parts = staged(parts.join(mixed.select("bucket"), "bucket"), "parts")
+    one, other = ends
+    top = parts.groupBy("bucket").agg(F.min(F.struct((-F.col("n")).alias("n"), "component", F.col(other).alias("b"))).alias("top"))
+    pairs = parts.join(top, "bucket").where(F.col("component") != F.col("top.component"))
+    return pairs.select(F.col(one).alias("a"), F.col("top.b").alias("b")).distinct()
+
+
+def _blocks(owned: DataFrame, sides: DataFrame) -> DataFrame:
     """Buckets that still hold several components, cut into blocks.
 
     Classes outside the bucket's commonest component ask, ``BLOCK`` a block; all classes answer,
     ``BLOCK`` a block. A pair that asks both ways is met twice, which does no harm.
     """
-    owned = members.select("bucket", "id").join(found.withColumnRenamed("node", "id"), "id", "left")
-    owned = owned.withColumn("component", F.coalesce("component", "id"))
     per = owned.groupBy("bucket", "component").agg(F.count("*").alias("n"))
     shape = per.groupBy("bucket").agg(
         F.count("*").alias("parts"), F.sum("n").alias("size"), F.max(F.struct("n", "component")).alias("top")
