@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import functions as F
 
 from ledgerline.llm import neighbours as neighbours_of
-from ledgerline.llm import warc
+from ledgerline.llm import tokenfiles, warc
 from ledgerline.llm.common import new_folder, read, staged
 from ledgerline.llm.registry import query
 
@@ -48,3 +49,19 @@ def neighbours(spark, folder):
     """The 20 nearest of every twentieth vector among all others."""
     rows = read(spark, folder, "embeddings").select("vec_id", "embedding")
     return neighbours_of.nearest(rows, rows.where("vec_id % 20 = 0"))
+
+
+@query("op6_token_files")
+def token_files(spark, folder):
+    """Every document written as ids in order of its key, found again by the index and read back."""
+    docs = read(spark, folder, "documents").select("doc_id", "text")
+    path = new_folder(spark, "tokens")
+    tokenfiles.write(docs, path, public_tokenizers.path("word_bpe_49k.json"), end=1)
+    keys = docs.groupBy(F.col("doc_id").alias("key")).count()
+    keys = keys.select("key", F.explode(F.sequence(F.lit(0), F.col("count") - 1)).alias("copy"))
+    found = tokenfiles.lookup(spark, path, keys).drop("n")
+    stored = tokenfiles.checksums(spark, path).join(tokenfiles.shard_starts(spark, path), ["part", "block"])
+    both = found.join(stored, ["part", "block", "place"])
+    return both.select(
+        F.col("key").alias("doc_id"), (F.col("begin") + F.col("at")).alias("start"), F.col("n").alias("n_tokens"), F.col("crc32").alias("ids_crc32")
+    )
