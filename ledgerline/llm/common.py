@@ -52,3 +52,8 @@ def broadcast_if_small(df: DataFrame, rows: int) -> DataFrame:
     Call it on narrow, staged tables only: the count is a job of its own.
     """
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
+def let(value: Column, body) -> Column:
+    """``body`` of a value that is worked out once, also where ``body`` uses it inside a lambda."""
+    return F.get(F.transform(F.array(value), lambda x: body(x)), F.lit(0))

@@ -1,9 +1,11 @@
 """Benchmark decontamination: windows of benchmark words found in documents.
 
 Words are runs of digits, a-z (after folding A-Z) and letters beyond ASCII. An item's windows are its runs
-of ``width`` consecutive words; a shorter item is one window. Windows go to every executor as
-a hash set; each document hashes its own windows where it is read, and a hit counts only if the
-words themselves agree. Nothing but hits and one row per document is shuffled.
+of ``width`` consecutive words; a shorter item is one window. The n-grams of ``ANCHOR`` words inside windows
+go to every executor as a hash set. A document need not be looked up at each word: with a step of
+width - ANCHOR + 1 words, exactly one n-gram of the document's grid lies inside any window, and
+where that one is met, the whole window is compared word by word. Nothing but hits and
+one row per document is shuffled.
 
 Null and empty texts have no words; items without words have no windows; null item ids hit, but
 are not listed. Rows that repeat id and text give one row. Rows with a null id are reported under
@@ -23,9 +25,11 @@ from ledgerline.llm.common import ascii_lower
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 ANY_CASE_WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 WIDTH = 13
-#: Windows sent to every executor at once, of a few hundred bytes each. More windows are cut
+#: Words of the n-grams that are looked up; all words of a shorter window.
+ANCHOR = 5
+#: N-grams with their windows sent to every executor at once, of a few hundred bytes each. More are cut
 #: by their hash into slices of this size, each with a pass of its own over the documents.
-BROADCAST_WINDOWS = 300_000
+BROADCAST_ANCHORS = 300_000
 #: Stands first among a document's windows, so that one without hits keeps its row.
 HEAD = 0
 
@@ -34,19 +38,28 @@ def words(text: Column) -> Column:
     return F.regexp_extract_all(ascii_lower(F.coalesce(text, F.lit(""))), F.lit(WORD), F.lit(0))
 
 
-def _window(length: int):
-    return lambda at: F.struct(at.alias("at"), F.xxhash64(F.slice("hashed", at, length)).alias("hash"))
+def _grid(length: int, words: Column) -> Column:
+    """``(at, hash)`` of every n-gram on a document's grid for windows of ``length`` words."""
+    size = min(ANCHOR, length)
+    grid = F.sequence(F.lit(1), F.size(words) - size + 1, F.lit(length - size + 1))
+    found = F.transform(grid, lambda at: F.struct(at.alias("at"), F.xxhash64(F.slice(words, at, size), F.lit(length)).alias("hash")))
+    return F.when(F.size(words) >= length, found).otherwise(F.array().cast("array<struct<at:int,hash:bigint>>"))
 
 
-def windows_of(benchmark: DataFrame, id: str = "item_id", text: str = "text", width: int = WIDTH) -> DataFrame:
-    """``(hash, window, items)``: each distinct window and the items that hold it."""
+def anchors_of(benchmark: DataFrame, id: str = "item_id", text: str = "text", width: int = WIDTH) -> DataFrame:
+    """``(hash, before, window, items)``: each distinct window with the items that hold it, once for each of
+    its n-grams; ``before`` is the number of words in front of the n-gram."""
     items = benchmark.select(F.col(id).alias("item"), words(F.col(text)).alias("words")).where(F.size("words") > 0)
     length = F.least(F.size("words"), F.lit(width))
     starts = F.sequence(F.lit(1), F.size("words") - length + 1)
     every = items.select("item", "words", length.alias("length"), F.explode(starts).alias("at"))
     every = every.select("item", F.slice("words", F.col("at"), F.col("length")).alias("window"))
     every = every.groupBy("window").agg(F.collect_set("item").alias("items"))
-    return every.select(F.xxhash64(F.transform("window", lambda w: F.xxhash64(w))).alias("hash"), "window", "items")
+    size = F.least(F.size("window"), F.lit(ANCHOR))
+    every = every.select("window", "items", size.alias("size"), F.explode(F.sequence(F.lit(0), F.size("window") - size)).alias("before"))
+    return every.select(
+        F.xxhash64(F.slice("window", F.col("before") + 1, F.col("size")), F.size("window")).alias("hash"), "before", "window", "items"
+    )
 
 
 def hits(
@@ -60,37 +73,32 @@ def hits(
 ) -> DataFrame:
     """Per document: ``id``, ``text_hash``, ``n_words``, ``n_hit``, ``spans`` (first word from 1, and length
     of each hit window, in order) and ``items`` (sorted as strings)."""
-    windows = windows_of(benchmark, item_id, item_text, width)
-    shape = windows.groupBy(F.size("window").alias("length")).count().collect()  # at most ``width`` rows
-    slices = max(1, -(-sum(r["count"] for r in shape) // BROADCAST_WINDOWS))
+    anchors = anchors_of(benchmark, item_id, item_text, width)
+    shape = anchors.groupBy(F.size("window").alias("length")).count().collect()  # at most ``width`` rows
+    slices = max(1, -(-sum(r["count"] for r in shape) // BROADCAST_ANCHORS))
 
     rows = docs.select(F.col(id).alias("id"), F.xxhash64(text).alias("text_hash"), words(F.col(text)).alias("words"))
-    rows = rows.select("*", F.transform("words", lambda w: F.xxhash64(w)).alias("hashed"))
-    n = F.size("words")
-    head = F.struct(F.lit(0).alias("at"), F.lit(HEAD).cast("long").alias("hash"))
-    own = [F.array(head)]
-    for length in sorted(r["length"] for r in shape):
-        found = F.transform(F.sequence(F.lit(1), n - length + 1), _window(length))
-        own.append(F.when(n >= length, found).otherwise(F.array().cast("array<struct<at:int,hash:bigint>>")))
-    rows = rows.select("id", "text_hash", "words", F.concat(*own).alias("own"))
-    rows = rows.select("id", "text_hash", "words", F.inline("own"))
+    head = F.array(F.struct(F.lit(0).alias("at"), F.lit(HEAD).cast("long").alias("hash")))
+    grids = [_grid(r["length"], F.col("words")) for r in sorted(shape)]
+    rows = rows.select("id", "text_hash", "words", F.concat(head, *grids).alias("own"))
+    # the outer form: for the plain one the optimizer adds a filter that would work all this out a second time
+    rows = rows.select("id", "text_hash", "words", F.inline_outer("own"))
 
     first = docs.sparkSession.range(1).select(
         F.lit(HEAD).cast("long").alias("hash"),
+        F.lit(0).alias("before"),
         F.array().cast("array<string>").alias("window"),
-        F.array().cast(windows.schema["items"].dataType).alias("items"),
+        F.array().cast(anchors.schema["items"].dataType).alias("items"),
     )
+    length, start = F.size("window"), F.col("at") - F.col("before")
+    same = F.slice("words", F.greatest(start, F.lit(1)), length) == F.col("window")
+    agrees = F.when(length == 0, F.col("at") == 0).otherwise((start >= 1) & same)
     parts = []
     for part in range(slices):
-        some = windows.where(F.pmod("hash", F.lit(slices)) == part) if slices > 1 else windows
-        some = some.unionByName(first)
-        agrees = (F.col("at") == 0) & (F.size("window") == 0) | (
-            F.when((F.col("at") > 0) & (F.size("window") > 0), F.slice("words", F.greatest("at", F.lit(1)), F.greatest(F.size("window"), F.lit(1))))
-            == F.col("window")
-        )
-        parts.append(rows.join(F.broadcast(some), "hash").where(agrees).select(
-            "id", "text_hash", F.size("words").alias("n_words"), F.struct("at", F.size("window").alias("length")).alias("span"), "items"
-        ))
+        some = anchors.where(F.pmod("hash", F.lit(slices)) == part) if slices > 1 else anchors
+        met = rows.join(F.broadcast(some.unionByName(first)), "hash").where(agrees)
+        span = F.struct(start.alias("at"), length.alias("length"))
+        parts.append(met.select("id", "text_hash", F.size("words").alias("n_words"), span.alias("span"), "items"))
     found = reduce(DataFrame.unionByName, parts)
     found = found.groupBy("id", "text_hash").agg(
         F.max("n_words").cast("long").alias("n_words"),

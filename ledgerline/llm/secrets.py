@@ -19,7 +19,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import quoted, without
+from ledgerline.llm.common import let, quoted, without
 
 # The patterns, their least lengths, and the order of kinds.
 KEY = "|".join(["[pP][aA][sS][sS][wW][oO][rR][dD]", "[pP][aA][sS][sS][wW][dD]", "[sS][eE][cC][rR][eE][tT]", "[tT][oO][kK][eE][nN]", "[aA][pP][iI]_?[kK][eE][yY]"])
@@ -42,20 +42,26 @@ SPAN = "array<struct<start:int,kind:int,end:int>>"
 
 def _places(text: Column, pattern: str, found: Column, kind: int, keep=None) -> Column:
     """Spans of all matches of a pattern, ``found`` being their texts; ``keep`` judges a match."""
-    lengths = F.zip_with(
+    parts = F.zip_with(
         F.split(text, pattern, -1),
         found,
         lambda gap, hit: F.struct(F.length(gap).alias("gap"), F.coalesce(F.length(hit), F.lit(0)).alias("hit")),
     )
     marked = F.transform(found, lambda hit, i: F.struct((F.lit(True) if keep is None else keep(hit)).alias("kept"), i.alias("i")))
-    chosen = F.filter(marked, lambda m: m["kept"])
 
-    def place(m):
-        before = F.aggregate(F.slice(lengths, F.lit(1), m["i"] + 1), F.lit(0), lambda n, x: n + x["gap"] + x["hit"])
-        size = F.element_at(lengths, m["i"] + 1)["hit"]
-        return F.struct((before - size).alias("start"), F.lit(kind).alias("kind"), before.alias("end"))
+    def placed(lengths: Column):
+        def place(m):
+            before = F.aggregate(F.slice(lengths, F.lit(1), m["i"] + 1), F.lit(0), lambda n, x: n + x["gap"] + x["hit"])
+            size = F.get(lengths, m["i"])["hit"]
+            return F.struct((before - size).alias("start"), F.lit(kind).alias("kind"), before.alias("end"))
 
-    return F.when(F.size(chosen) > 0, F.transform(chosen, place)).otherwise(F.array().cast(SPAN))
+        return place
+
+    def spans(chosen: Column) -> Column:
+        some = let(parts, lambda lengths: F.transform(chosen, placed(lengths)))
+        return F.when(F.size(chosen) > 0, some).otherwise(F.array().cast(SPAN))
+
+    return let(F.filter(marked, lambda m: m["kept"]), spans)
 
 
 def _matches(text: Column, pattern: str) -> Column:
@@ -139,8 +145,9 @@ def labelled_strings(docs: DataFrame, id: str = "doc_id", text: str = "text", mo
     digests = some.select(F.explode(F.array(digest, F.base64(F.unhex(digest)), capitals)).alias("string"))
     plain = F.regexp_replace(F.coalesce(F.col(text), F.lit("")), f"{ASSIGN}|{ACCESS}|{HEX}", " ")
     own = some.select(F.array_distinct(_matches(plain, "[A-Za-z]{4,}")).alias("ws"))
-    own = own.select(F.explode(F.transform("ws", lambda w, i: F.struct(w.alias("w"), F.get("ws", i + 1).alias("next"), i.alias("i")))).alias("x"))
-    own = own.select("x.w", F.coalesce("x.next", "x.w").alias("next"), "x.i")
+    # the outer form: for the plain one the optimizer adds a filter that would work all this out a second time
+    own = own.select(F.explode_outer(F.transform("ws", lambda w, i: F.struct(w.alias("w"), F.get("ws", i + 1).alias("next"), i.alias("i")))).alias("x"))
+    own = own.where("x is not null").select("x.w", F.coalesce("x.next", "x.w").alias("next"), "x.i")
     joined = F.array(
         F.col("w"),
         F.lower(F.concat_ws("_", "w", "next")),

@@ -55,7 +55,7 @@ def test_small_cases(spark):
 
 
 def test_windows_in_slices(spark, monkeypatch):
-    monkeypatch.setattr(decontaminate, "BROADCAST_WINDOWS", 3)
+    monkeypatch.setattr(decontaminate, "BROADCAST_ANCHORS", 3)
     docs, items = spark.createDataFrame(DOCS, "doc_id long, text string"), spark.createDataFrame(ITEMS, "item_id long, text string")
     assert got(decontaminate.hits(docs, items)) == brute(DOCS, ITEMS)
 
