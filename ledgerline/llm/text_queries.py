@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from ledgerline.llm import bpe, decontaminate, langid, neardup, secrets
+from ledgerline.llm import bpe, decontaminate, langid, neardup, pii, secrets
 from ledgerline.llm.common import read
 from ledgerline.llm.registry import query
 
@@ -97,3 +97,12 @@ def languages(spark, folder):
     model = langid.train(docs.where(~apart))
     found = langid.identify(docs.select("doc_id", "text"), model)
     return found.select("doc_id", apart.alias("held_out"), "lang_pred", "score")
+
+
+@query("op2_surrogates")
+def surrogates(spark, folder):
+    """Every whole text with surrogates for the personal data in it."""
+    docs = read(spark, folder, "documents").select("doc_id", "text")
+    found = pii.replace(docs, key="corpus")
+    total = F.aggregate(F.map_values("kinds"), F.lit(0), lambda s, n: s + n)
+    return found.select("doc_id", "text", total.cast("long").alias("n_entities"))
