@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from ledgerline.llm import bpe, decontaminate, langid, neardup, pii, secrets
+from ledgerline.llm import bpe, decontaminate, langid, licenses, neardup, pii, secrets
 from ledgerline.llm.common import read
 from ledgerline.llm.registry import query
 
@@ -106,3 +106,17 @@ def surrogates(spark, folder):
     found = pii.replace(docs, key="corpus")
     total = F.aggregate(F.map_values("kinds"), F.lit(0), lambda s, n: s + n)
     return found.select("doc_id", "text", total.cast("long").alias("n_entities"))
+
+
+@query("op9_licenses")
+def license_scan(spark, folder):
+    """License of every document. The table has no paths: a document lies in the directory of its source, a hundred
+    thousand ids, a thousand and fifty; a document whose id ends its fifty is that directory's licence file."""
+    docs = read(spark, folder, "documents").select("doc_id", "text", "source")
+    cut = lambda n: F.floor(F.col("doc_id") / n).cast("string")
+    path = F.concat_ws("/", "source", cut(100_000), cut(1_000), cut(50), F.col("doc_id").cast("string"))
+    found = licenses.scan(docs.select(path.alias("path"), "text", (F.col("doc_id") % 50 == 49).alias("is_license")))
+    doc = lambda p: F.substring_index(p, "/", -1).cast("long")
+    return found.select(
+        doc(F.col("path")).alias("doc_id"), "path", "license", F.round("score", 6).alias("score"), "origin", doc(F.col("holder")).alias("holder_id")
+    )
