@@ -8,9 +8,10 @@ class, and only classes are compared. Classes that share a band form a bucket:
 1. in a few rounds one class of each component of a bucket is checked against one class of the bucket's
    commonest component (at first every class is a component), and what links is tied together. Large groups
    come together in a number of pairs that grows with the group, not with its square;
-2. buckets that still hold several components are searched whole: each class outside the
-   bucket's commonest component against all classes of other components, in blocks. Only
-   pairs that stay plausible leave a block.
+2. buckets that still hold several components are searched whole. A class outside its bucket's commonest
+   component is compared with all of that component, in blocks that hold the texts and emit one link at most
+   for each class; and, once more in blocks, with the other such classes of the bucket, of which only pairs that
+   stay plausible leave a block.
 
 A check compares one byte per hash, ``STEP`` hashes at a time, and drops a pair once the
 posterior probability of a link (uniform prior) is below ``miss``. What remains is decided by
@@ -235,6 +236,12 @@ def _searched(rows: DataFrame, least: list[int], percent: int) -> DataFrame:
         pairs = np.unique(np.stack([pairs.max(0), pairs.min(0)]), axis=1) if pairs.size else pairs
         return pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], ["a", "b"])
 
+    return rows.mapInArrow(_by_block(("bucket", "i", "j"), search), "a long, b long")
+
+
+def _by_block(keys: tuple[str, ...], work):
+    """A function over sorted batches that hands ``work`` whole blocks only."""
+
     def run(batches):
         rest = None
         for batch in batches:
@@ -242,16 +249,61 @@ def _searched(rows: DataFrame, least: list[int], percent: int) -> DataFrame:
             if not len(table):
                 continue
             whole = table.to_batches()[0]
-            keys = [np.asarray(whole.column(c)) for c in ("bucket", "i", "j")]
-            open_ = np.flatnonzero(~np.logical_and.reduce([k == k[-1] for k in keys]))
+            columns = [np.asarray(whole.column(c)) for c in keys]
+            open_ = np.flatnonzero(~np.logical_and.reduce([k == k[-1] for k in columns]))
             cut = int(open_[-1]) + 1 if len(open_) else 0
             if cut:
-                yield search(whole.slice(0, cut))
+                yield work(whole.slice(0, cut))
             rest = whole.slice(cut)
         if rest is not None and len(rest):
-            yield search(rest)
+            yield work(rest)
+
+    return run
+
+
+def _joined(rows: DataFrame, least: list[int], k: int, percent: int) -> DataFrame:
+    """Links found in each block of ``(part, i, j, asks, id, n, sketch, text)``: for each class that asks, the first of
+    those that answer whose full set is similar enough."""
+
+    def block(part: pa.RecordBatch, shingler: Shingler) -> list[tuple[int, int]]:
+        asks, n, ids = (np.asarray(part.column(c)) for c in ("asks", "n", "id"))
+        sketch = _grid(part.column("sketch"))
+        answers = np.flatnonzero(~asks)
+        found, sets = [], {}
+
+        def full(at):
+            new = [i for i in at.tolist() if i not in sets]
+            for begin in range(0, len(new), 64):
+                some = new[begin : begin + 64]
+                sets.update(zip(some, shingler.sets(as_bytes(part.column("text").take(pa.array(some)))), strict=True))
+            return [sets[i] for i in at.tolist()]
+
+        for one in np.flatnonzero(asks):
+            fits = answers[np.minimum(n[one], n[answers]) * 100 >= np.maximum(n[one], n[answers]) * percent]
+            fits = fits[plausible(sketch, sketch, np.full(len(fits), one), fits, least)]
+            if not len(fits):
+                continue
+            (own,), others = full(np.array([one])), full(fits)
+            every = np.concatenate(others)
+            sizes = np.array([len(x) for x in others])
+            inside = own[np.minimum(np.searchsorted(own, every), len(own) - 1)] == every
+            common = np.add.reduceat(inside.astype(np.int64), np.cumsum(sizes) - sizes)
+            good = np.flatnonzero(common * 100 >= percent * (len(own) + sizes - common))
+            if len(good):
+                found.append((int(ids[one]), int(ids[fits[good[0]]])))
+        return found
+
+    def work(batch: pa.RecordBatch) -> pa.RecordBatch:
+        shingler = Shingler(k)
+        keys = np.stack([np.asarray(batch.column(c)) for c in ("part", "i", "j")])
+        cuts = np.flatnonzero((np.diff(keys, axis=1, prepend=keys[:, :1] - 1) != 0).any(0))
+        found = []
+        for begin, end in zip(cuts.tolist(), [*cuts[1:].tolist(), len(batch)], strict=True):
+            found += block(batch.slice(begin, end - begin), shingler)
+        a, b = zip(*found, strict=True) if found else ((), ())
+        return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
-    return rows.mapInArrow(run, "a long, b long")
+    return rows.mapInArrow(_by_block(("part", "i", "j"), work), "a long, b long")
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
@@ -305,8 +357,10 @@ def near_duplicates(
         links = staged(new if links is None else links.unionByName(new), "links")
         found = staged(components(links), "components")
 
-    rest = _searched(_blocks(_owned(classes, found, BANDS), sides), least, percent)
-    new = staged(_verified(rest, texts, k, percent).distinct(), "links")
+    outside = staged(_outside(_owned(classes, found, BANDS)), "outside")
+    within = _verified(_searched(_blocks(outside, sides), least, percent), texts, k, percent)
+    across = _joined(_against(outside, classes, found, sides, texts), least, k, percent)
+    new = staged(within.unionByName(across).distinct(), "links")
     found = components(links.unionByName(new))
 
     labels = class_of.join(found.withColumnRenamed("node", "id"), "id", "left")
@@ -347,31 +401,48 @@ def _stars(owned: DataFrame, ends: tuple[str, str]) -> DataFrame:
     return pairs.select(F.col(one).alias("a"), F.col("top.b").alias("b")).distinct()
 
 
-def _blocks(owned: DataFrame, sides: DataFrame) -> DataFrame:
-    """Buckets that still hold several components, cut into blocks.
+def _outside(owned: DataFrame) -> DataFrame:
+    """``(bucket, id, component, top)`` of the classes that aren't of their bucket's commonest component ``top``."""
+    parts = owned.groupBy("bucket", "component").agg(F.count("*").alias("n"))
+    mixed = parts.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y")
+    parts = staged(parts.join(mixed.select("bucket"), "bucket"), "parts")
+    top = parts.groupBy("bucket").agg(F.min(F.struct((-F.col("n")).alias("n"), F.col("component").alias("top"))).alias("x"))
+    top = top.select(F.col("bucket").alias("of"), "x.top")
+    return owned.join(top, (F.col("bucket") == F.col("of")) & (F.col("component") != F.col("top"))).select("bucket", "id", "component", "top")
 
-    Classes outside the bucket's commonest component ask, ``BLOCK`` a block; all classes answer,
-    ``BLOCK`` a block. A pair that asks both ways is met twice, which does no harm.
-    """
-    per = owned.groupBy("bucket", "component").agg(F.count("*").alias("n"))
-    shape = per.groupBy("bucket").agg(
-        F.count("*").alias("parts"), F.sum("n").alias("size"), F.max(F.struct("n", "component")).alias("top")
-    )
-    shape = shape.where("parts > 1").select(
-        "bucket",
-        F.col("top.component").alias("top"),
-        F.ceil(F.col("size") / BLOCK).cast("int").alias("answers"),
-        F.ceil((F.col("size") - F.col("top.n")) / BLOCK).cast("int").alias("asking"),
-    )
-    rows = owned.join(shape, "bucket").join(sides, "id")
+
+def _cut_up(asking: DataFrame, answering: DataFrame, key: str, columns: list[str]) -> DataFrame:
+    """Blocks of ``BLOCK`` asking by ``BLOCK`` answering rows of each key, sorted; both have ``asked`` and ``answered``,
+    the numbers of blocks."""
     place = F.xxhash64("id")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    columns = ["bucket", "i", "j", "asks", "id", "component", "n", "sketch"]
-    ask = rows.where("component <> top").select(
-        "*", F.pmod(place, "asking").cast("int").alias("i"), every("answers").alias("j"), F.lit(True).alias("asks")
-    )
-    answer = rows.select(
-        "*", every("asking").alias("i"), F.pmod(place, "answers").cast("int").alias("j"), F.lit(False).alias("asks")
-    )
+    ask = asking.select("*", F.pmod(place, "asked").cast("int").alias("i"), every("answered").alias("j"), F.lit(True).alias("asks"))
+    answer = answering.select("*", every("asked").alias("i"), F.pmod(place, "answered").cast("int").alias("j"), F.lit(False).alias("asks"))
+    columns = [key, "i", "j", "asks", *columns]
     both = ask.select(*columns).unionByName(answer.select(*columns))
-    return both.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
+    return both.repartition(key, "i", "j").sortWithinPartitions(key, "i", "j")
+
+
+def _blocks(outside: DataFrame, sides: DataFrame) -> DataFrame:
+    """Classes outside, against each other in their buckets. A pair is met twice, which does no harm."""
+    shape = outside.groupBy("bucket").agg(
+        F.ceil(F.count("*") / BLOCK).cast("int").alias("asked"), F.min("component").alias("x"), F.max("component").alias("y")
+    )
+    shape = shape.where("x < y").select("bucket", "asked", F.col("asked").alias("answered"))
+    rows = outside.join(shape, "bucket").join(sides, "id")
+    return _cut_up(rows, rows, "bucket", ["id", "component", "n", "sketch"])
+
+
+def _against(outside: DataFrame, classes: DataFrame, found: DataFrame, sides: DataFrame, texts: DataFrame) -> DataFrame:
+    """Classes outside, against all of the components ``top`` of their buckets, with the texts."""
+    asking = staged(outside.select(F.col("top").alias("part"), "id").distinct(), "asking")
+    asked = asking.groupBy("part").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("asked"))
+    member = classes.select("id").distinct().join(found.withColumnRenamed("node", "id"), "id", "left")
+    member = member.select(F.coalesce("component", "id").alias("part"), "id").join(asking.select("part").distinct(), "part", "left_semi")
+    member = staged(member, "answering")
+    answered = member.groupBy("part").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("answered"))
+    shape = staged(asked.join(answered, "part"), "shapes")
+    needed = staged(asking.select("id").unionByName(member.select("id")).distinct(), "needed")
+    full = texts.join(broadcast_if_small(needed, BROADCAST_IDS), "id", "left_semi").join(sides, "id")
+    columns = ["id", "n", "sketch", "text"]
+    return _cut_up(asking.join(shape, "part").join(full, "id"), member.join(shape, "part").join(full, "id"), "part", columns)
