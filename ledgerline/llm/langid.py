@@ -28,10 +28,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerline.llm.bpe import chunks
-from ledgerline.llm.common import without
+from ledgerline.llm.common import broadcast_if_small, staged, without
 
 UNKNOWN = "und"
 TRAIN_DOCS = 1_500
+#: Sampled texts' hashes (some 30 bytes each) sent to every executor; with more languages they are shuffled.
+BROADCAST_MARKS = 300_000
 #: Words seen less often in the sample have no share of their own.
 LEAST_COUNT = 4
 SWITCH = 8.0
@@ -223,10 +225,12 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang", most: int = T
     fit = docs.select(F.col(text).alias("text"), F.col(lang).alias("lang")).where("text is not null and lang is not null")
     marks = fit.select("lang", F.xxhash64("text").alias("mark"))
     place = F.row_number().over(Window.partitionBy("lang").orderBy("mark"))
-    marks = marks.withColumn("place", place).where(F.col("place") <= most).select("lang", "mark").distinct()
-    some = fit.withColumn("mark", F.xxhash64("text")).join(marks, ["lang", "mark"], "left_semi").select("lang", "text").distinct()
+    marks = staged(marks.withColumn("place", place).where(F.col("place") <= most).select("lang", "mark").distinct(), "marks")
+    some = fit.withColumn("mark", F.xxhash64("text")).join(broadcast_if_small(marks, BROADCAST_MARKS), ["lang", "mark"], "left_semi")
+    some = staged(some.select("lang", "text").distinct(), "sample")
     found = F.regexp_extract_all(F.lower("text"), F.lit(r"\p{L}+"), F.lit(0))
-    words = some.select("lang", F.explode(found).alias("word")).groupBy("lang", "word").count()
+    words = some.select("lang", F.explode_outer(found).alias("word")).where("word is not null")
+    words = staged(words.groupBy("lang", "word").count(), "words")
     padded = F.concat(F.lit(BEGIN * 2), "word", F.lit(END))
     at = F.explode(F.sequence(F.lit(3), F.length("word") + 3)).alias("at")
     each = words.select("lang", "count", padded.alias("padded"), at)
