@@ -44,6 +44,8 @@ ERR_NO_CONSOLE = "consoleLog undefined or empty string"
 ERR_UNREGISTERED = "User deposited without registering"
 ERR_BAD_TARGET = "User deposited to an invalid address"
 ERR_BAD_ASSET = "Asset must begin with a number"
+ERR_NO_ACCOUNT = "failed to get eth addr for "
+ERR_BAD_ACCOUNT = "error deserializing address '"
 
 # Defaults of the table layout and of the checks.
 BLOCKS_PER_SEGMENT = 10_000_000
@@ -52,9 +54,7 @@ DOUBLE_FORK_DISTANCE = 1000
 HISTORY_WINDOW = "15 minutes"
 HEAD_DISTANCE = 100
 
-# Physical shape of ordered checks: rows of one window group, and what counts as
-# a hot key. Every one of these only moves work between tasks, never results.
+# Physical shape of ordered work: positions of one window group, and actions of one part
+# of a block. They only move work between tasks, never results.
 ORDER_BUCKET = 100_000
-HOT_KEY_ROWS = 250_000
-HOT_KEY_LIMIT = 500
-BROADCAST_ROWS = 200_000
+BLOCK_PART = 60_000

@@ -65,7 +65,7 @@ def _limb_hex(limb: Column, digits: int) -> Column:
 
 def _increment(digits: Column) -> Column:
     """Hex digits plus one: the last digit below f goes up, the f's after it turn 0."""
-    parts = "^([0-9a-f]*)([0-9a-e])(f*)$"
+    parts = r"\A([0-9a-f]*)([0-9a-e])(f*)\z"
     raised = F.translate(F.regexp_extract(digits, parts, 2), "0123456789abcde", "123456789abcdef")
     zeros = F.regexp_replace(F.regexp_extract(digits, parts, 3), "f", "0")
     return F.when(
@@ -97,7 +97,7 @@ def hex_to_decimal(text: Column) -> Column:
     wide = F.try_add(
         F.try_multiply(high, F.lit(str(2**64)).cast("decimal(20,0)")).cast("decimal(38,0)"), low
     )
-    fits = body.rlike("^[0-9a-fA-F]+$") & (F.length(digits) <= 32)
+    fits = body.rlike(r"\A[0-9a-fA-F]+\z") & (F.length(digits) <= 32)
     # 2^126 is the largest power of two below 10^38.
     small = (F.length(digits) < 32) | (F.substring(digits, 1, 1) < "4")
     return F.when(fits & small, wide.cast("decimal(38,0)"))

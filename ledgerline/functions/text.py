@@ -54,40 +54,40 @@ def name_to_uint64(name: Column) -> Column:
 
 
 def is_integer(text: Column) -> Column:
-    return text.rlike(r"^(0|-?[1-9][0-9]*)$")
+    return text.rlike(r"\A(0|-?[1-9][0-9]*)\z")
 
 
 def is_bare_hex(text: Column) -> Column:
-    return text.rlike("^[0-9a-fA-F]+$")
+    return text.rlike(r"\A[0-9a-fA-F]+\z")
 
 
 def is_hex(text: Column) -> Column:
     """Hex digits, ``0x`` and no digits at all allowed."""
-    return text.rlike("^(0x)?[0-9a-fA-F]*$")
+    return text.rlike(r"\A(0x)?[0-9a-fA-F]*\z")
 
 
 def is_bare_address(text: Column) -> Column:
-    return text.rlike("^[0-9a-fA-F]{40}$")
+    return text.rlike(r"\A[0-9a-fA-F]{40}\z")
 
 
 def is_address(text: Column) -> Column:
-    return text.rlike("^0x[0-9a-fA-F]{40}$")
+    return text.rlike(r"\A0x[0-9a-fA-F]{40}\z")
 
 
 def is_bare_hash(text: Column) -> Column:
-    return text.rlike("^[0-9a-fA-F]{64}$")
+    return text.rlike(r"\A[0-9a-fA-F]{64}\z")
 
 
 def is_hash(text: Column, strict: bool = False) -> Column:
     """66 characters of hex. Without ``strict`` 66 digits and no prefix pass as well."""
     if strict:
-        return text.rlike("^0x[0-9a-fA-F]{64}$")
+        return text.rlike(r"\A0x[0-9a-fA-F]{64}\z")
     return (F.length(text) == 66) & is_hex(text)
 
 
 def is_asset(text: Column) -> Column:
     """Amount and a symbol of one to seven capitals."""
-    return text.rlike(r"^-?[0-9]+(\.[0-9]+)? [A-Z]{1,7}$")
+    return text.rlike(r"\A-?[0-9]+(\.[0-9]+)? [A-Z]{1,7}\z")
 
 
 def is_timestamp(text: Column) -> Column:

@@ -9,7 +9,6 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ledgerline import constants as K
-from ledgerline.operators.ordered import left_join_skewed
 
 DEPOSIT, WITHDRAW, RAW = "deposit", "withdraw", "raw"
 
@@ -68,6 +67,10 @@ def ambiguous_accounts(accounts: DataFrame) -> DataFrame:
 
 
 def with_address(df: DataFrame, account: str, accounts: DataFrame) -> DataFrame:
-    """Adds the EVM ``address`` of an account column; NULL without exactly one match."""
+    """Adds the EVM ``address`` of an account column; NULL without exactly one match.
+
+    A plain left join: adaptive execution broadcasts a small side, and splits the partition of
+    an account (or of NULL) with very many actions.
+    """
     side = unique_accounts(accounts).withColumnRenamed("account", account)
-    return left_join_skewed(df, side, account)
+    return df.join(side, account, "left")

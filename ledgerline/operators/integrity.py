@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline import constants as K
-from ledgerline.operators.ordered import bucket_of, explode_range, join_side, neighbours
+from ledgerline.operators.ordered import bucket_of, explode_range, neighbours
 from ledgerline.operators.scans import in_range, segment_gaps
 
 
@@ -118,7 +118,7 @@ def orphan_transactions(txs: DataFrame, blocks: DataFrame) -> DataFrame:
     """
     known = blocks.select(F.col("evm_block_num").alias("block"))
     missing = txs.select("block").distinct().join(known, "block", "left_anti")
-    return txs.join(join_side(missing), "block", "left_semi")
+    return txs.join(missing, "block", "left_semi")
 
 
 def fork_neighbourhood_check(
@@ -143,7 +143,7 @@ def fork_neighbourhood_check(
     )
     # The parent of a cell's first block lies in the cell before it.
     wanted = cells.union(cells.select(F.col("cell") - 1)).distinct()
-    local = with_cell.join(join_side(wanted), "cell", "left_semi")
+    local = with_cell.join(wanted, "cell", "left_semi")
     breaks = parent_link_breaks(local).withColumn("cell", bucket_of(F.col("block_num"), cell))
     hits = (
         near.join(breaks, "cell")

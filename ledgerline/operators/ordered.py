@@ -24,60 +24,25 @@ def bucket_of(position: Column, width: int) -> Column:
     return F.call_function("div", shifted, F.lit(width).cast("bigint"))
 
 
-def hot_keys(df: DataFrame, by: str, rows: int = K.HOT_KEY_ROWS, position: str | None = None) -> list:
-    """Keys with more than ``rows`` rows, largest first, at most HOT_KEY_LIMIT of them.
-
-    One map-side combined count. A key that is not listed holds either at most
-    ``rows`` rows or less than 1/HOT_KEY_LIMIT of the table, so it suits one task.
-    With a dense ``position`` only rows beyond ``rows`` are read at all.
-    """
-    source = df if position is None else df.where(F.col(position) >= rows)
-    floor = rows if position is None else 0
-    top = (
-        source.groupBy(by)
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .where(F.col("_rows") > floor)
-        .orderBy(F.desc("_rows"))
-        .limit(K.HOT_KEY_LIMIT)
-    )
-    return [row[0] for row in top.collect()]
-
-
 def running_totals(
-    df: DataFrame,
-    by: str,
-    order: Sequence[str],
-    spread: Column,
-    measures: dict[str, Column],
-    position: str | None = None,
-    hot_rows: int = K.HOT_KEY_ROWS,
-    hot: list | None = None,
+    df: DataFrame, by: str, order: Sequence[str], spread: Column, measures: dict[str, Column]
 ) -> DataFrame:
     """Inclusive running sum of each measure per ``by``, in ``order``.
 
-    ``spread`` is a LONG that never falls along the order. Only hot keys are cut by
-    it: their parts are summed in parallel and each part starts from the total of
-    the parts before it. Pass ``hot`` if the hot keys are known already.
+    ``spread`` is a LONG that never falls along the order and cuts every key into buckets. The
+    buckets are summed in parallel; a bucket that isn't the first of its key starts
+    from the total of those before it. Most keys are one bucket and get no offset row.
     """
-    if hot is None:
-        hot = hot_keys(df, by, hot_rows, position)
-    if not hot:
-        window = W.partitionBy(by).orderBy(*order).rowsBetween(W.unboundedPreceding, W.currentRow)
-        return df.withColumns({name: F.sum(value).over(window) for name, value in measures.items()})
-
-    is_hot = F.col(by).isin(hot)
-    parted = df.withColumn(_BUCKET, F.when(is_hot, spread).otherwise(F.lit(0)).cast("bigint"))
+    cut = df.withColumn(_BUCKET, spread.cast("bigint"))
     inner = W.partitionBy(by, _BUCKET).orderBy(*order).rowsBetween(W.unboundedPreceding, W.currentRow)
-    local = parted.withColumns({name: F.sum(value).over(inner) for name, value in measures.items()})
+    local = cut.withColumns({name: F.sum(value).over(inner) for name, value in measures.items()})
 
     sums = {name: f"_sum_{name}" for name in measures}
-    parts = (
-        parted.where(is_hot)
-        .groupBy(by, _BUCKET)
-        .agg(*[F.sum(value).alias(sums[name]) for name, value in measures.items()])
-    )
+    parts = cut.groupBy(by, _BUCKET).agg(*[F.sum(value).alias(sums[name]) for name, value in measures.items()])
     before = W.partitionBy(by).orderBy(_BUCKET).rowsBetween(W.unboundedPreceding, -1)
-    offsets = parts.select(by, _BUCKET, *[F.sum(s).over(before).alias(s) for s in sums.values()])
+    place = F.row_number().over(W.partitionBy(by).orderBy(_BUCKET))
+    offsets = parts.select(by, _BUCKET, place.alias("_place"), *[F.sum(s).over(before).alias(s) for s in sums.values()])
+    offsets = offsets.where("_place > 1").drop("_place")
     joined = local.join(offsets, [by, _BUCKET], "left")
     return joined.withColumns(
         {name: F.col(name) + F.coalesce(F.col(sums[name]), F.lit(0)) for name in measures}
@@ -170,40 +135,3 @@ def explode_range(df: DataFrame, start: Column, stop: Column, out: str, chunk: i
     return pieces.withColumn(
         out, F.explode(F.sequence(low, F.least(F.col("_stop"), low + F.lit(chunk - 1))))
     ).drop("_start", "_stop", "_piece")
-
-
-def small_enough(df: DataFrame, rows: int = K.BROADCAST_ROWS) -> bool:
-    """Whether a side may be broadcast: counts at most ``rows`` + 1 of its rows."""
-    return df.limit(rows + 1).count() <= rows
-
-
-def join_side(df: DataFrame, rows: int = K.BROADCAST_ROWS) -> DataFrame:
-    """The side with a broadcast hint if its checked size allows one."""
-    return F.broadcast(df) if small_enough(df, rows) else df
-
-
-def left_join_skewed(
-    left: DataFrame, right: DataFrame, key: str, hot_rows: int = K.HOT_KEY_ROWS, salts: int = 64
-) -> DataFrame:
-    """Left join on a unique right key that survives hot keys on the left.
-
-    A right side of checked small size is broadcast. Beyond it both sides shuffle,
-    with the hot keys of the left spread over ``salts`` copies of their one match,
-    and with its NULL keys, which match nothing, spread as well.
-    """
-    if small_enough(right):
-        return left.join(F.broadcast(right), key, "left")
-    is_hot = F.col(key).isin(hot_keys(left.where(F.col(key).isNotNull()), key, hot_rows))
-    salted = left.withColumn(
-        "_salt",
-        F.when(F.col(key).isNull() | is_hot, F.pmod(F.xxhash64(*left.columns), F.lit(salts)))
-        .otherwise(F.lit(0))
-        .cast("int"),
-    )
-    copies = right.withColumn(
-        "_salt",
-        F.explode(
-            F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-        ),
-    )
-    return salted.join(copies, [key, "_salt"], "left").drop("_salt")

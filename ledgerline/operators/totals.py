@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ledgerline import constants as K
 from ledgerline.operators.bloom import EMPTY_BLOOM, bloom_union
-from ledgerline.operators.ordered import left_join_skewed, running_totals
+from ledgerline.operators.ordered import bucket_of, running_totals
 from ledgerline.operators.scans import in_range, with_segment
 
 
@@ -16,49 +16,22 @@ CARRIED = ("evm_hash", "evm_prev_hash", "receipts_root", "transactions_root")
 
 
 def with_tx_index(
-    actions: DataFrame,
-    by: str = "block_num",
-    position: str = "action_seq",
-    hot_rows: int = K.HOT_KEY_ROWS,
-    hot: list | None = None,
+    actions: DataFrame, by: str = "block_num", position: str = "action_seq", width: int = K.BLOCK_PART
 ) -> DataFrame:
     """``trx_index``: 0-based rank of an accepted action in its block.
 
-    ``position`` is the action's unique place among all actions of its block.
+    ``position`` is the action's unique place among all actions of its block; blocks of more
+    than ``width`` actions are ranked in parts.
     """
-    spread = F.call_function("div", F.col(position), F.lit(max(1, hot_rows // 4)).cast("bigint"))
-    ranked = running_totals(
-        actions,
-        by,
-        [position],
-        spread,
-        {"trx_index": F.lit(1).cast("bigint")},
-        position=position,
-        hot_rows=hot_rows,
-        hot=hot,
-    )
+    spread = bucket_of(F.col(position).cast("bigint"), width)
+    ranked = running_totals(actions, by, [position], spread, {"trx_index": F.lit(1).cast("bigint")})
     return ranked.withColumn("trx_index", F.col("trx_index") - 1)
 
 
-def with_running_gas(
-    txs: DataFrame,
-    by: str = "block",
-    gas: str = "gasused",
-    hot_rows: int = K.HOT_KEY_ROWS,
-    hot: list | None = None,
-) -> DataFrame:
+def with_running_gas(txs: DataFrame, by: str = "block", gas: str = "gasused", width: int = K.BLOCK_PART) -> DataFrame:
     """``gasusedblock``: gas of the block up to and including the transaction."""
-    spread = F.call_function("div", F.col("trx_index"), F.lit(max(1, hot_rows // 4)).cast("bigint"))
-    totals = running_totals(
-        txs,
-        by,
-        ["trx_index"],
-        spread,
-        {"gasusedblock": F.col(gas)},
-        position="trx_index",
-        hot_rows=hot_rows,
-        hot=hot,
-    )
+    spread = bucket_of(F.col("trx_index").cast("bigint"), width)
+    totals = running_totals(txs, by, ["trx_index"], spread, {"gasusedblock": F.col(gas)})
     return totals.withColumn("gasusedblock", F.col("gasusedblock").cast(txs.schema[gas].dataType))
 
 
@@ -203,7 +176,7 @@ def reindex_blocks(
         F.col("evm_block_num").alias("block"), F.col("evm_hash").alias("_block_hash")
     )
     new_txs = (
-        left_join_skewed(ranged, hashes, "block")
+        ranged.join(hashes, "block", "left")
         .where(F.col("_block_hash").isNotNull())
         .withColumn("block_hash", F.col("_block_hash"))
         .drop("_block_hash")

@@ -18,7 +18,6 @@ from ledgerline.operators.actions import (
     dedup_actions,
     with_address,
 )
-from ledgerline.operators.ordered import hot_keys
 from ledgerline.operators.totals import with_running_gas, with_tx_index
 
 
@@ -104,7 +103,7 @@ def translate(actions: DataFrame, accounts: DataFrame, delta: int) -> DataFrame:
     ).withColumn("_value", F.when(is_raw, F.col("_tx.value_hex")).otherwise(H.decimal_to_hex(F.col("_wei"))))
 
     missing_account = F.concat(
-        F.lit("failed to get eth addr for "),
+        F.lit(K.ERR_NO_ACCOUNT),
         F.col("_account"),
         F.lit(", int: "),
         X.name_to_uint64(F.col("_account")).cast("string"),
@@ -117,7 +116,9 @@ def translate(actions: DataFrame, accounts: DataFrame, delta: int) -> DataFrame:
             & (
                 F.col("_receipt").isNull()
                 | F.col("_tx.error").isNotNull()
-                | F.col("_tx.nonce").isNull()
+                | F.col("_tx.nonce").try_cast("decimal(20,0)").isNull()
+                | F.col("_tx.gas_price").try_cast("decimal(38,0)").isNull()
+                | F.col("_tx.gas_limit").try_cast("decimal(38,0)").isNull()
                 | F.col("_gas").isNull()
                 | F.col("_charged").isNull()
                 | F.col("_receipt.createdaddr").isNull()
@@ -134,7 +135,7 @@ def translate(actions: DataFrame, accounts: DataFrame, delta: int) -> DataFrame:
     detail = (
         F.when(
             is_raw & unsigned & F.col("_tx.error").isNull() & F.col("_receipt").isNotNull(),
-            F.concat(F.lit("error deserializing address '"), F.coalesce(F.col("data.sender"), F.lit("")), F.lit("'")),
+            F.concat(F.lit(K.ERR_BAD_ACCOUNT), F.coalesce(F.col("data.sender"), F.lit("")), F.lit("'")),
         )
         .when(is_raw & F.col("_receipt").isNull(), F.lit("receipt is no valid JSON"))
         .otherwise(F.col("_tx.error"))
@@ -256,12 +257,10 @@ def raw_transactions(actions: DataFrame, accounts: DataFrame, delta: int, fail_f
     return split_errors(translate(actions.where(F.col("kind") == RAW), accounts, delta), fail_fast)
 
 
-def accepted(
-    actions: DataFrame, exclude_senders=(), hot_rows: int = K.HOT_KEY_ROWS, hot: list | None = None
-) -> DataFrame:
+def accepted(actions: DataFrame, exclude_senders=(), width: int = K.BLOCK_PART) -> DataFrame:
     """Filtered, first copies only, and with their index in the block."""
     first = dedup_actions(classify_actions(actions, exclude_senders))
-    return with_tx_index(first, hot_rows=hot_rows, hot=hot)
+    return with_tx_index(first, width=width)
 
 
 def translate_actions(
@@ -271,17 +270,12 @@ def translate_actions(
     exclude_senders=(),
     fail_fast: bool = False,
     per_segment: int = K.BLOCKS_PER_SEGMENT,
-    hot_rows: int = K.HOT_KEY_ROWS,
+    width: int = K.BLOCK_PART,
 ) -> tuple[DataFrame, DataFrame]:
-    """The whole way from native actions to (transactions with running gas, errors).
-
-    Very large blocks are looked for once, at the scan, where a bound on the position
-    is pushed down; index and running gas both use the answer.
-    """
-    hot = hot_keys(classify_actions(actions, exclude_senders), "block_num", hot_rows, "action_seq")
-    translated = translate(accepted(actions, exclude_senders, hot_rows, hot), accounts, delta)
+    """The whole way from native actions to (transactions with running gas, errors)."""
+    translated = translate(accepted(actions, exclude_senders, width), accounts, delta)
     good, bad = split_errors(translated, fail_fast, per_segment)
-    txs = with_running_gas(good, hot_rows=hot_rows, hot=[n - delta for n in hot])
+    txs = with_running_gas(good, width=width)
     return txs.withColumn("segment", X.segment_of(F.col("block_num"), per_segment)), bad
 
 

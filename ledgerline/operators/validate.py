@@ -32,10 +32,29 @@ class _Rules:
         """Name of the rule if the value is absent or wrong."""
         return F.when(~self._right(name, check), F.lit(name))
 
+    def items(self, name: str, needed: bool = False, free: tuple[str, ...] = ()) -> Column:
+        """Name of the rule if an item of a list, or one of its fields but the ``free`` ones, is NULL."""
+        kind = self.types.get(name)
+        if not isinstance(kind, T.ArrayType):
+            return _present(name) if needed and kind is not None else F.lit(None).cast("string")
+        bad = F.coalesce(F.exists(name, lambda x: _lacks(x, kind.elementType, free)), F.lit(False))
+        return F.when((F.col(name).isNull() | bad) if needed else bad, F.lit(name))
+
     def optional(self, name: str, check) -> Column:
         return F.when(F.col(name).isNotNull() & ~self._right(name, check), F.lit(name))
 
 
+def _lacks(item: Column, kind: T.DataType, free: tuple[str, ...]) -> Column:
+    out = item.isNull()
+    if isinstance(kind, T.StructType):
+        for field in kind:
+            if field.name not in free:
+                out = out | _lacks(item[field.name], field.dataType, free)
+    elif isinstance(kind, T.ArrayType):
+        out = out | F.exists(item, lambda x: x.isNull())
+    return out
+
+
 def _present(name: str) -> Column:
     return F.when(F.col(name).isNull(), F.lit(name))
 
@@ -72,11 +91,13 @@ def transaction_rules(schema: T.StructType, strict: bool = False) -> list[Column
         rules.require("value_d", _amount),
         *[rules.require(name, X.is_integer) for name in INTEGER_FIELDS],
         _present("status"),
-        _present("itxs"),
+        rules.items("itxs", needed=True, free=("extra",)),
         _present("epoch"),
         rules.require("createdaddr", lambda c: (c == "") | X.is_bare_address(c)),
         _present("output"),
+        rules.items("logs"),
         rules.optional("logs_bloom", X.is_bare_hex),
+        rules.items("errors"),
         rules.require("v", X.is_integer),
         rules.require("r", X.is_hex),
         rules.require("s", X.is_hex),

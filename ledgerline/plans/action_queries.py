@@ -224,19 +224,19 @@ def classify_actions(spark, folder):
 
 @query(
     "exclude_senders",
-    """SELECT action_seq, kind FROM v_actions
+    """SELECT block_num, action_seq, kind FROM v_actions
        WHERE kind IS NOT NULL AND NOT (kind = 'deposit' AND user_id IN (3, 5, 8))""",
     (V.V_ACTIONS,),
 )
 def exclude_senders(spark, folder):
     names = [f"Customer#{i:09d}" for i in (3, 5, 8)]
-    return A.classify_actions(V.actions(spark, folder, with_raw=False), names).select("action_seq", "kind")
+    return A.classify_actions(V.actions(spark, folder, with_raw=False), names).select("block_num", "action_seq", "kind")
 
 
-@query("dedup_actions", "SELECT action_seq, act_digest FROM v_accepted", (V.V_ACTIONS,))
+@query("dedup_actions", "SELECT block_num, action_seq, act_digest FROM v_accepted", (V.V_ACTIONS,))
 def dedup_actions(spark, folder):
     kept = A.dedup_actions(A.classify_actions(V.actions(spark, folder, with_raw=False)))
-    return kept.select("action_seq", "act_digest")
+    return kept.select("block_num", "action_seq", "act_digest")
 
 
 @query("accepted_actions", "SELECT block_num, action_seq, kind, trx_index FROM v_accepted", (V.V_ACTIONS,))
@@ -357,9 +357,9 @@ RAW_OK = "kind = 'raw' AND value <= 140 AND value < 120"
     "raw_transactions",
     f"""SELECT block_num, trx_index, '0x' || substr(sha256('s' || user_id), 1, 40) AS "from",
                '0x' || substr(sha256('to' || user_id), 1, 40) AS "to", '0x' || sha256('d' || props) AS input_data,
-               lower(to_hex(CAST(round(value * 100) AS BIGINT))) AS value_hex, '0' AS value_d, action_seq AS nonce,
-               500 + user_id AS gas_price, 1000000::BIGINT AS gas_limit, 21000 + action_seq AS gasused,
-               user_id + 1 AS charged_gas_price, 1::BIGINT AS status, action_seq AS epoch,
+               lower(to_hex(CAST(round(value * 100) AS BIGINT))) AS value_hex, '0' AS value_d, event_id AS nonce,
+               500 + user_id AS gas_price, 1000000::BIGINT AS gas_limit, 21000 + event_id AS gasused,
+               user_id + 1 AS charged_gas_price, 1::BIGINT AS status, event_id AS epoch,
                'abcd' || lpad(CAST(user_id AS VARCHAR), 36, '0') AS createdaddr, '42' AS v, {R_SQL} AS r,
                '0x' || ltrim(rpad(substr(sha256('s' || user_id), 1, 40), 64, '0'), '0') AS s,
                CASE WHEN value < 50 THEN 1::BIGINT ELSE 0::BIGINT END AS n_logs, 'beef' AS itx_input
@@ -404,7 +404,7 @@ def raw_errors(spark, folder):
     "translate_actions",
     """SELECT block_num, trx_index, gas AS gasused,
               CAST(sum(gas) OVER (PARTITION BY block_num ORDER BY trx_index) AS BIGINT) AS gasusedblock, kind
-       FROM (SELECT *, CASE kind WHEN 'raw' THEN 21000 + action_seq ELSE 21000 END AS gas FROM v_resolved
+       FROM (SELECT *, CASE kind WHEN 'raw' THEN 21000 + event_id ELSE 21000 END AS gas FROM v_resolved
              WHERE (kind = 'raw' AND value < 120) OR (kind = 'withdraw' AND address IS NOT NULL)
                 OR (kind = 'deposit' AND (memo_ok OR address IS NOT NULL)))""",
     (V.V_ACTIONS, V.V_ACCOUNTS, V_RESOLVED),
@@ -422,8 +422,8 @@ def translate_actions(spark, folder):
 
 @query(
     "receipt_parse",
-    """SELECT action_seq, CASE WHEN value > 140 THEN '' ELSE lower(to_hex(21000 + action_seq)) END AS gasused,
-              CASE WHEN value > 140 THEN -1 ELSE action_seq END AS epoch, value <= 140 AS ok
+    """SELECT block_num, action_seq, CASE WHEN value > 140 THEN '' ELSE lower(to_hex(21000 + event_id)) END AS gasused,
+              CASE WHEN value > 140 THEN -1 ELSE event_id END AS epoch, value <= 140 AS ok
        FROM v_actions WHERE kind = 'raw'""",
     (V.V_ACTIONS,),
 )
@@ -431,6 +431,7 @@ def receipt_parse(spark, folder):
     raw = V.actions(spark, folder).where("name = 'raw'")
     parsed = raw.withColumn("r", T.parse_receipt(F.col("console")))
     return parsed.select(
+        "block_num",
         "action_seq",
         F.coalesce("r.gasused", F.lit("")).alias("gasused"),
         F.coalesce("r.epoch", F.lit(-1)).cast("bigint").alias("epoch"),

@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from golden import BLOOM_DIGITS, TRANSACTION
+from golden import LOGS_BLOOM, TRANSACTION
 from ledgerline.functions import codec
 from ledgerline.functions import hexes as H
 from ledgerline.functions import text as X
@@ -44,7 +44,7 @@ def test_hash_of_the_golden_transaction(spark):
 
 
 def test_bloom_of_the_golden_transaction(spark):
-    expected = "".join(BLOOM_DIGITS.get(i, "0") for i in range(512))
+    expected = LOGS_BLOOM
     logs = [[(log["address"], log["topics"], log["data"]) for log in RAW["logs"]], [], None]
     rows = spark.createDataFrame(
         [(i, x) for i, x in enumerate(logs)],
@@ -152,3 +152,17 @@ def test_time_and_segments(spark):
     assert seconds == [1651531371]
     assert apply(spark, [9999999, 10000000], X.segment_of, "bigint") == [0, 1]
     assert apply(spark, [3], X.segment_label, "bigint") == ["00000003"]
+
+
+def test_a_line_end_is_no_part_of_a_valid_text(spark):
+    from ledgerline.functions import text as X
+
+    checks = {
+        "5": X.is_integer, "beef": X.is_bare_hex, "0x": X.is_hex, "ab" * 20: X.is_bare_address, "0x" + "ab" * 20: X.is_address,
+        "cd" * 32: X.is_bare_hash, "0x" + "cd" * 32: lambda c: X.is_hash(c, strict=True), "1.5 SYS": X.is_asset,
+    }
+    for text, check in checks.items():
+        df = spark.createDataFrame([(text,), (text + "\n",)], "t string")
+        assert [r[0] for r in df.select(check(df.t)).collect()] == [True, False]
+    memo = spark.createDataFrame([("0x" + "ab" * 20 + "\n", "cd" * 20)], "memo string, address string")
+    assert memo.select(X.deposit_target(memo.memo, memo.address)).first()[0] == "0x" + "cd" * 20

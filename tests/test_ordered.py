@@ -19,23 +19,11 @@ def skewed(spark):
     return spark.createDataFrame(rows, "k bigint, p bigint, v bigint").repartition(5)
 
 
-@pytest.mark.parametrize("position", [None, "p"])
-def test_running_totals_are_the_same_for_hot_keys(skewed, position):
-    def totals(hot_rows):
-        out = O.running_totals(
-            skewed,
-            "k",
-            ["p"],
-            F.floor(F.col("p") / 10).cast("bigint"),
-            {"total": F.col("v"), "rank": F.lit(1).cast("bigint")},
-            position=position,
-            hot_rows=hot_rows,
-        )
-        return sorted(map(tuple, out.select("k", "p", "v", "total", "rank").collect()))
-
-    assert O.hot_keys(skewed, "k", 50, position) == [7]
-    plain = totals(10_000)
-    assert totals(50) == plain
+@pytest.mark.parametrize("width", [10, 10_000])
+def test_running_totals_are_the_same_in_parts(skewed, width):
+    spread = O.bucket_of(F.col("p"), width)
+    out = O.running_totals(skewed, "k", ["p"], spread, {"total": F.col("v"), "rank": F.lit(1).cast("bigint")})
+    plain = sorted(map(tuple, out.select("k", "p", "v", "total", "rank").collect()))
     sums = {}
     for k, p, v, total, rank in plain:
         sums[k] = sums.get(k, 0) + v
@@ -71,18 +59,3 @@ def test_explode_range_in_chunks(spark):
     df = spark.createDataFrame([(5, 5), (10, 45), (3, 2)], "a bigint, b bigint")
     got = O.explode_range(df, F.col("a"), F.col("b"), "n", chunk=10).select("n").collect()
     assert sorted(r.n for r in got) == [5, *range(10, 46)]
-
-
-def test_skewed_left_join_equals_a_plain_join(spark, skewed, monkeypatch):
-    right = spark.range(30).select(F.col("id").alias("k"), (F.col("id") * 2).alias("w"))
-    left = skewed.withColumn("k", F.when(F.col("v") < 5, None).otherwise(F.col("k")))
-    plain = sorted(map(tuple, left.join(right, "k", "left").collect()), key=str)
-    assert sorted(map(tuple, O.left_join_skewed(left, right, "k").collect()), key=str) == plain
-    monkeypatch.setattr(O, "small_enough", lambda df, rows=0: False)
-    salted = O.left_join_skewed(left, right, "k", hot_rows=50, salts=4)
-    assert sorted(map(tuple, salted.collect()), key=str) == plain
-
-
-def test_small_enough_counts_no_further_than_it_must(spark):
-    assert O.small_enough(spark.range(10), 10)
-    assert not O.small_enough(spark.range(11), 10)

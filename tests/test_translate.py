@@ -3,7 +3,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from golden import INPUT, TRANSACTION
+from golden import TRANSACTION
 from ledgerline import schemas as S
 from ledgerline.functions import codec
 from ledgerline.operators import actions as A
@@ -153,7 +153,7 @@ def test_signed_raw_transaction_matches_the_golden_document(spark):
     got = good.first()
     assert got.hash == RAW["hash"] and got["from"] == RAW["from"] and got.to == RAW["to"]
     assert (got.v, got.r, got.s) == (RAW["v"], RAW["r"], RAW["s"])
-    assert got.input_data == "0x" + INPUT == got.input_trimmed
+    assert got.input_data == TRANSACTION["@raw"]["input_data"] == got.input_trimmed
     assert (got.gasused, got.charged_gas_price, got.epoch, got.status) == (32512, 499809179185, 1651531371, 1)
     assert got.errors is None and got.itxs == [] and got.logs[0].address == RAW["logs"][0]["address"]
     audit = T.tx_hash_audit(good).first()
@@ -197,7 +197,7 @@ def test_very_large_blocks_give_the_same_result(spark):
     rows = [transfer(i, block=50) for i in range(120)] + [transfer(i, block=51) for i in range(5)]
     df = frame(spark, rows)
     plain, _ = T.translate_actions(df, accounts(spark), 2)
-    cut, _ = T.translate_actions(df, accounts(spark), 2, hot_rows=20)
+    cut, _ = T.translate_actions(df, accounts(spark), 2, width=20)
     pick = lambda d: sorted(map(tuple, d.select("block_num", "trx_index", "hash", "gasusedblock").collect()))
     assert pick(plain) == pick(cut)
     assert max(r[1] for r in pick(cut)) == 119
