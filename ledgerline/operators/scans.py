@@ -93,7 +93,8 @@ def lookup_blocks(
 ) -> DataFrame:
     """Exactly-one lookup of many numbers: status found, missing or ambiguous."""
     asked = wanted.select(key).distinct()
-    stored = blocks.groupBy(F.col("block_num").alias(key)).agg(
+    met = blocks.join(asked.withColumnRenamed(key, "block_num"), "block_num", "left_semi")
+    stored = met.groupBy(F.col("block_num").alias(key)).agg(
         F.count(F.lit(1)).alias("copies"), *[F.min(name).alias(name) for name in fields]
     )
     joined = asked.join(stored, key, "left")

@@ -472,10 +472,10 @@ REINDEXED = """SELECT b.block_num, b.evm_block_num, b.evm_hash, b.evm_prev_hash,
   LEFT JOIN v_bloom o ON o.block = b.evm_block_num"""
 
 
-@query("reindex_blocks", REINDEXED + " WHERE b.block_num >= 40", (V.V_BLOCKS, V.V_TX, V_BLOOM))
+@query("reindex_blocks", REINDEXED, (V.V_BLOCKS, V.V_TX, V_BLOOM))
 def reindex_blocks(spark, folder):
     txs = _with_bloom(V.transactions(spark, folder))
-    blocks, _ = totals.reindex_blocks(V.blocks(spark, folder), txs, V.DELTA, 40, per_segment=V.PER_SEGMENT)
+    blocks, _ = totals.reindex_blocks(V.blocks(spark, folder), txs, V.DELTA, 0, per_segment=V.PER_SEGMENT)
     return blocks.select(
         "block_num",
         "evm_block_num",
@@ -491,12 +491,12 @@ def reindex_blocks(spark, folder):
 @query(
     "reindex_transactions",
     f"""SELECT t.block, t.part, t.supp, t.price, b.evm_hash AS block_hash
-        FROM v_tx t JOIN v_blocks b ON b.evm_block_num = t.block WHERE b.block_num >= 40""",
+        FROM v_tx t JOIN v_blocks b ON b.evm_block_num = t.block""",
     (V.V_BLOCKS, V.V_TX),
 )
 def reindex_transactions(spark, folder):
     txs = _with_bloom(V.transactions(spark, folder))
-    _, new = totals.reindex_blocks(V.blocks(spark, folder), txs, V.DELTA, 40, per_segment=V.PER_SEGMENT)
+    _, new = totals.reindex_blocks(V.blocks(spark, folder), txs, V.DELTA, 0, per_segment=V.PER_SEGMENT)
     return new.select("block", "part", "supp", "price", "block_hash")
 
 

@@ -128,12 +128,16 @@ def append_create_only(
     key: str | Sequence[str],
     order: Sequence[str] = BLOCK_ORDER,
 ) -> None:
-    """Append rows whose keys must all be new. Only the segments of the batch are read."""
+    """Append rows whose keys must all be new. Of the table only the batch's segments are read, and of
+    those the row groups that may hold a number between its least and its largest."""
     spark = new.sparkSession
     _finish_replacing(spark, path)
     target = read_table(spark, path, schema)
     touched = [row.segment for row in new.select("segment").distinct().collect()]
-    clashes = key_clashes(new, target.where(F.col("segment").isin(touched)), key).limit(5).collect()
+    first = key if isinstance(key, str) else key[0]
+    ends = new.agg(F.min(first).alias("lo"), F.max(first).alias("hi")).first()
+    near = target.where(F.col("segment").isin(touched) & F.col(first).between(ends.lo, ends.hi))
+    clashes = key_clashes(new, near, key).limit(5).collect()
     if clashes:
         raise KeyClash(f"already stored: {[row.asDict() for row in clashes]}")
     write_table(new.select(*schema.names), path, order)
@@ -216,7 +220,8 @@ def _replace_rows(
     rows = spark.read.parquet(path).where(F.col("segment") == segment)
     gone = rows.where(F.col(column) >= lo)
     gone = gone if hi is None else gone.where(F.col(column) <= hi)
-    touched = [row[0] for row in gone.select("_metadata.file_path").distinct().collect()]
+    found = [row[0] for row in gone.select("_metadata.file_path").distinct().collect()]
+    touched = [_plain(spark, uri) for uri in found]
     if not touched:
         return
     job = f"{path}/{_REPLACE}{uuid.uuid4().hex}"
@@ -233,6 +238,12 @@ def _replace_rows(
     _finish_replacing(spark, path)
 
 
+def _plain(spark: SparkSession, uri: str) -> str:
+    """The path that an escaped address, as file metadata has it, stands for."""
+    jvm = spark.sparkContext._jvm
+    return jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(uri)).toString()
+
+
 def _finish_replacing(spark: SparkSession, path: str) -> None:
     """Finish marked exchanges of files and forget unmarked ones. Safe to repeat."""
     fs, target = _fs(spark, path)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -17,7 +19,7 @@ def _seconds(text: str) -> int:
 def arrival_rate(df: DataFrame, window: str = "10 seconds", slide: str = "1 second", ts: str = "ts") -> DataFrame:
     """Moving average of arrivals per second over sliding windows.
 
-    A batch is counted per slide first and only those counts are spread over the
+    A batch is counted per slot first (the common divisor of both) and only those counts are spread over the
     windows they belong to. A stream uses the sliding window of the engine, so it
     needs a watermark on ``ts``.
     """
@@ -26,11 +28,15 @@ def arrival_rate(df: DataFrame, window: str = "10 seconds", slide: str = "1 seco
         counted = df.groupBy(F.window(ts, window, slide)).agg(F.count(F.lit(1)).alias("n"))
         start = F.unix_seconds(F.col("window.start"))
         return counted.select(start.alias("window_start"), "n", (F.col("n") / length).alias("per_second"))
+    unit = math.gcd(length, step)
     second = F.unix_seconds(F.col(ts).cast("timestamp"))
-    slots = df.groupBy((second - F.pmod(second, F.lit(step))).alias("slot")).agg(
+    slots = df.groupBy((second - F.pmod(second, F.lit(unit))).alias("slot")).agg(
         F.count(F.lit(1)).alias("slot_rows")
     )
-    starts = F.sequence(F.col("slot") - F.lit(length - step), F.col("slot"), F.lit(step).cast("bigint"))
+    # Windows begin at multiples of the slide; those of a slot begin after slot - length.
+    lowest = F.col("slot") - F.lit(length - unit)
+    first, last = lowest + F.pmod(-lowest, F.lit(step)), F.col("slot") - F.pmod(F.col("slot"), F.lit(step))
+    starts = F.when(first <= last, F.sequence(first, F.greatest(first, last), F.lit(step).cast("bigint")))
     return (
         slots.withColumn("window_start", F.explode(starts))
         .groupBy("window_start")
@@ -125,7 +131,9 @@ def resume_point(
     )
     parents = blocks.select((F.col("block_num") + 1).alias("start_block"), F.col("evm_hash").alias("_parent"))
     stored = F.col("source").isin("gap", "last block")
-    return picked.join(parents, "start_block", "left").select(
+    # The one picked row goes to the blocks, not the blocks to it.
+    parent = parents.join(F.broadcast(picked.select("start_block")), "start_block")
+    return picked.join(parent, "start_block", "left").select(
         "start_block",
         F.when(stored, F.coalesce(F.col("_parent"), F.lit("")))
         .otherwise(F.lit(prev_hash))

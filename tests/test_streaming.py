@@ -193,3 +193,12 @@ def test_feed_is_json(spark, folder):
     write(arrivals(spark, [2, 3]), 0)
     for row in spark.read.parquet(folder + "/feed").collect():
         assert json.loads(row.message)["type"] == row.type
+
+
+def test_windows_whose_slide_does_not_divide_them(spark):
+    times = [0, 1, 7, 8, 25]
+    df = spark.createDataFrame([(t,) for t in times], "t long").selectExpr("timestamp_seconds(t) as ts")
+    for length, step in ((10, 3), (6, 4), (4, 10)):
+        got = {r.window_start: r.n for r in rates.arrival_rate(df, f"{length} seconds", f"{step} seconds").collect()}
+        starts = {s for t in times for s in range(-100, 100) if s % step == 0 and s <= t < s + length}
+        assert got == {s: sum(s <= t < s + length for t in times) for s in starts}

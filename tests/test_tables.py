@@ -152,3 +152,11 @@ def test_actions_are_filtered_at_the_source(spark, folder):
     plan = read._jdf.queryExecution().executedPlan().toString()
     assert "LessThanOrEqual(block_num,8)" in plan and "EqualTo(account,eosio.evm)" in plan
     assert actions.irreversible(read, 4).count() == 0
+
+
+def test_purge_below_a_folder_whose_name_needs_escaping(spark, folder):
+    path = f"{folder}/with space 100%/blocks"
+    rows = spark.range(1, 21).select(F.col("id").alias("block_num"), F.lit(0).cast("bigint").alias("segment"))
+    tables.write_table(rows, path, ("block_num",))
+    tables.purge_from(spark, path, 11, order=("block_num",))
+    assert spark.read.parquet(path).agg(F.max("block_num")).first()[0] == 10
