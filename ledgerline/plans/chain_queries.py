@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from ledgerline.functions.text import segment_label, segment_of
@@ -9,6 +11,7 @@ from ledgerline.operators import compare, feed, forks, integrity, scans, totals
 from ledgerline.operators.bloom import bloom_or
 from ledgerline.plans import views as V
 from ledgerline.plans.registry import query
+from ledgerline.session import shared_folder
 from ledgerline.sources import tables
 from ledgerline.streaming import rates
 
@@ -418,16 +421,24 @@ def key_clashes(spark, folder):
     return tables.key_clashes(new, target, ["block", "line"])
 
 
-@query(
-    "create_only_append",
-    """SELECT block, trx_index, hash FROM v_tx
-       WHERE block NOT IN (SELECT evm_block_num FROM v_blocks WHERE o_orderstatus = 'F')""",
-    (V.V_BLOCKS, V.V_TX),
-)
+def _table(spark, rows, order):
+    """``rows`` as a stored table in a new folder that all executors share."""
+    path = f"{shared_folder(spark)}/query-{uuid.uuid4().hex}"
+    tables.write_table(rows, path, order)
+    return path
+
+
+@query("create_only_append", "SELECT block, trx_index, hash FROM v_tx", (V.V_TX,))
 def create_only_append(spark, folder):
-    new = V.indexed(spark, folder).select("block", "trx_index", "hash")
-    target = V.blocks(spark, folder).where("o_orderstatus = 'F'").select(F.col("evm_block_num").alias("block"))
-    return tables.new_rows(new, target, "block")
+    """Transactions of some blocks are stored; of all that are sent then, the new ones are appended."""
+    sent = V.indexed(spark, folder).select("block", "trx_index", "hash", "segment")
+    early = V.blocks(spark, folder).where("o_orderstatus = 'F'").select(F.col("evm_block_num").alias("block"))
+    order = ("segment", "block", "trx_index")
+    path = _table(spark, sent.join(early, "block", "left_semi"), order)
+    stored = tables.read_table(spark, path, sent.schema)
+    with tables.staged(tables.new_rows(sent, stored, "block")) as new:
+        tables.append_create_only(new, path, sent.schema, ("block", "trx_index"), order)
+    return tables.read_table(spark, path, sent.schema).select("block", "trx_index", "hash")
 
 
 @query(
@@ -436,7 +447,10 @@ def create_only_append(spark, folder):
     (V.V_BLOCKS,),
 )
 def purge_from(spark, folder):
-    return tables.without_range(V.blocks(spark, folder), "block_num", 10000).select("block_num", "evm_hash")
+    rows = V.blocks(spark, folder).select("block_num", "evm_hash", "segment")
+    path = _table(spark, rows, ("segment", "block_num"))
+    tables.purge_from(spark, path, 10000, per_segment=V.PER_SEGMENT, order=("segment", "block_num"))
+    return tables.read_table(spark, path, rows.schema).select("block_num", "evm_hash")
 
 
 @query(
@@ -445,7 +459,11 @@ def purge_from(spark, folder):
     (V.V_TX,),
 )
 def delete_range(spark, folder):
-    return tables.without_range(V.transactions(spark, folder), "block", 500, 700).select("block", "hash")
+    rows = V.transactions(spark, folder).select("block", "hash", "segment")
+    path = _table(spark, rows, ("segment", "block"))
+    lo, hi, order = 500 + V.DELTA, 700 + V.DELTA, ("segment", "block")
+    tables.delete_range(spark, path, lo, hi, "block", V.DELTA, V.PER_SEGMENT, order)
+    return tables.read_table(spark, path, rows.schema).select("block", "hash")
 
 
 # A stand-in bloom of 2048 bits: the digest of the part, eight times over.

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ledgerline import constants as K
 from ledgerline import schemas as S
 from ledgerline.operators.integrity import first_gap, integrity_report
+from ledgerline.operators.scans import in_range
 from ledgerline.operators.totals import reindex_blocks
 from ledgerline.sources import tables
 from ledgerline.streaming.rates import resume_point
@@ -87,7 +88,8 @@ def reindex(
     blocks, txs = read_chain(spark, source)
     new_blocks, new_txs = reindex_blocks(blocks, txs, delta, lo, hi, per_segment)
     if validate_hash and last is None:
-        first = new_blocks.orderBy("block_num").select("evm_hash").first()
+        wanted = in_range(blocks, "block_num", lo, hi, per_segment)
+        first = wanted.select("block_num", "evm_hash").orderBy("block_num").limit(1).first()
         if first is not None and first.evm_hash != validate_hash:
             raise ValueError(
                 f"initial hash validation failed: got {first.evm_hash} and expected {validate_hash}"
