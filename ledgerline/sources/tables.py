@@ -68,11 +68,21 @@ def exists(spark: SparkSession, path: str) -> bool:
 
 def stored_segments(spark: SparkSession, path: str) -> list[int]:
     """Segments of a table from the folder listing, in order; no data is read."""
+    return numbered_folders(spark, path, "segment=")
+
+
+def numbered_folders(spark: SparkSession, path: str, start: str) -> list[int]:
+    """Numbers of the folders below ``path`` whose names begin so, in order."""
     fs, target = _fs(spark, path)
     if not fs.exists(target):
         return []
     names = [status.getPath().getName() for status in fs.listStatus(target)]
-    return sorted(int(name.split("=", 1)[1]) for name in names if name.startswith("segment="))
+    return sorted(int(name.removeprefix(start)) for name in names if name.startswith(start))
+
+
+def drop_folder(spark: SparkSession, path: str) -> None:
+    fs, folder = _fs(spark, path)
+    fs.delete(folder, True)
 
 
 def drop_segments(spark: SparkSession, path: str, segments: Sequence[int]) -> None:

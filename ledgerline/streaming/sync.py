@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
 from collections.abc import Callable
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,6 +18,8 @@ from ledgerline.operators.translate import translate_actions
 from ledgerline.sources import tables
 
 SYNC, HEAD = "sync", "head"
+KEPT_NOTES = 8
+Headers = Callable[[DataFrame, int | None, int], DataFrame]
 
 
 def state_for(last: int, target: int, head_is_target: bool, near: int = K.HEAD_DISTANCE) -> str:
@@ -23,8 +27,8 @@ def state_for(last: int, target: int, head_is_target: bool, near: int = K.HEAD_D
     return HEAD if head_is_target and target - last <= near else SYNC
 
 
-def block_headers(actions: DataFrame) -> DataFrame:
-    """One row per block arrival, from the rows of its actions."""
+def block_headers(actions: DataFrame, after: int | None = None, through: int | None = None) -> DataFrame:
+    """One row per block arrival that has actions, from their rows."""
     return (
         actions.select(
             "arrival_seq",
@@ -36,23 +40,53 @@ def block_headers(actions: DataFrame) -> DataFrame:
     )
 
 
-def last_before_batch(spark: SparkSession, folder: str, batch_id: int) -> tuple[int | None, bool]:
-    """Last block stored before this batch first ran, and whether it runs again.
+def headers_from(table: DataFrame) -> Headers:
+    """Headers out of ``table(arrival_seq, block_num, ts, native_hash)``, blocks without actions included.
 
-    Noted before anything is written, so a batch that is replayed after a loss does
-    not take its own half-written rows for a stored chain.
+    A batch takes the arrivals after those of the batch before it, up to its own last one.
     """
-    note = f"{folder}/progress/batch={batch_id}"
+
+    def headers(actions: DataFrame, after: int | None, through: int) -> DataFrame:
+        found = table.where(F.col("arrival_seq") <= through)
+        found = found if after is None else found.where(F.col("arrival_seq") > after)
+        return found.select("arrival_seq", "block_num", "ts", "native_hash").distinct()
+
+    return headers
+
+
+class Note(NamedTuple):
+    """What was there before a batch first ran: last stored block, last arrival of earlier
+    batches, and whether the batch runs again."""
+
+    last: int | None
+    after: int | None
+    again: bool
+
+
+def batch_note(spark: SparkSession, folder: str, batch_id: int, through: int) -> Note:
+    """The batch's note, written before anything else, so a batch that is replayed after a loss
+    does not take its own half-written rows for a stored chain. The last few notes are kept."""
+    place = f"{folder}/progress"
+    note = f"{place}/batch={batch_id}"
+    form = "last long, after long, through long"
     if tables.exists(spark, note):
-        return spark.read.schema("last long").parquet(note).first().last, True
-    last = tables.last_number(spark, f"{folder}/blocks")
-    spark.createDataFrame([(last,)], "last long").write.mode("overwrite").parquet(note)
-    return last, False
+        row = spark.read.schema(form).parquet(note).first()
+        return Note(row.last, row.after, True)
+    last, after = tables.last_number(spark, f"{folder}/blocks"), None
+    known = tables.numbered_folders(spark, place, "batch=")
+    earlier = [number for number in known if number < batch_id]
+    if earlier:
+        after = spark.read.schema(form).parquet(f"{place}/batch={max(earlier)}").first().through
+    spark.createDataFrame([(last, after, through)], form).coalesce(1).write.mode("overwrite").parquet(note)
+    for old in earlier:
+        if old < batch_id - KEPT_NOTES:
+            tables.drop_folder(spark, f"{place}/batch={old}")
+    return Note(last, after, False)
 
 
 def apply_forks(
     arrivals: DataFrame,
-    batch_id: int,
+    note: Note,
     folder: str,
     delta: int,
     per_segment: int = K.BLOCKS_PER_SEGMENT,
@@ -63,8 +97,9 @@ def apply_forks(
     or an earlier attempt at this batch wrote it.
     """
     spark = arrivals.sparkSession
-    last, again = last_before_batch(spark, folder, batch_id)
-    lowest = arrivals.agg(F.min("n").alias("n")).first().n
+    last, again = note.last, note.again
+    ends = arrivals.agg(F.min("n").alias("n"), F.min("arrival_seq").alias("first")).first()
+    lowest = ends.n
     log = fork_events(arrivals).select(*S.FORKS.names)
     if last is not None:
         # The first arrival has no other before it in the batch, only the stored chain.
@@ -78,7 +113,8 @@ def apply_forks(
             )
         )
     if tables.exists(spark, f"{folder}/forks"):
-        known = spark.read.schema(S.FORKS).parquet(f"{folder}/forks").select("arrival_seq")
+        known = spark.read.schema(S.FORKS).parquet(f"{folder}/forks")
+        known = known.where(F.col("arrival_seq") >= ends.first).select("arrival_seq")
         log = log.join(known, "arrival_seq", "left_anti").select(*S.FORKS.names)
     tables.append_forks(log, f"{folder}/forks")
     if again or (last is not None and lowest <= last):
@@ -94,18 +130,23 @@ def batch_writer(
     on_write: Callable[[int | None, int | None], None] | None = None,
     per_segment: int = K.BLOCKS_PER_SEGMENT,
     feed_path: str | None = None,
-    headers: Callable[[DataFrame], DataFrame] = block_headers,
+    headers: Headers = block_headers,
 ):
     """A ``foreachBatch`` function: actions in; blocks, transactions, errors, forks out.
 
-    Arrivals that a later one of the same batch forks away never get translated.
+    ``headers`` tells the blocks of a batch: without a block table those that have actions,
+    with ``headers_from`` all. Arrivals that a later one of the same batch forks away never get translated.
     Running a batch again gives the same tables as running it once.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        with tables.staged(batch) as actions, tables.staged(headers(actions)) as arrived:
-            if arrived.isEmpty():
+        with contextlib.ExitStack() as stack:
+            actions = stack.enter_context(tables.staged(batch))
+            through = actions.agg(F.max("arrival_seq").alias("through")).first().through
+            if through is None:
                 return
+            note = batch_note(batch.sparkSession, folder, batch_id, through)
+            arrived = stack.enter_context(tables.staged(headers(actions, note.after, through)))
             arrivals = arrived.select("arrival_seq", F.col("block_num").alias("n"), "ts")
             kept = canonical_chain(arrivals).select("arrival_seq")
             survivors = actions.join(kept, "arrival_seq", "left_semi")
@@ -118,7 +159,7 @@ def batch_writer(
                     F.col("raw_size"),
                     per_segment,
                 )
-                apply_forks(arrivals, batch_id, folder, delta, per_segment)
+                apply_forks(arrivals, note, folder, delta, per_segment)
                 notice = tables.append_blocks(
                     blocks, new_txs, errors, folder, S.BLOCKS, S.TRANSACTIONS, contiguous=True
                 )

@@ -202,3 +202,19 @@ def test_windows_whose_slide_does_not_divide_them(spark):
         got = {r.window_start: r.n for r in rates.arrival_rate(df, f"{length} seconds", f"{step} seconds").collect()}
         starts = {s for t in times for s in range(-100, 100) if s % step == 0 and s <= t < s + length}
         assert got == {s: sum(s <= t < s + length for t in times) for s in starts}
+
+
+def test_blocks_without_actions_come_from_a_header_table(spark, folder):
+    numbers = [2, 3, 4, 5, 6, 7, 6, 7, 8]
+    chain = spark.createDataFrame(
+        [(i, n, f"{i:064x}") for i, n in enumerate(numbers)], "arrival_seq bigint, block_num bigint, native_hash string"
+    ).withColumn("ts", F.timestamp_seconds(F.col("arrival_seq") + 1_600_000_000))
+    actions = arrivals(spark, numbers).where("arrival_seq not in (0, 2, 4, 7)")
+    write = sync.batch_writer(accounts(spark), folder, DELTA, per_segment=4, headers=sync.headers_from(chain))
+    for batch, (low, high) in enumerate([(0, 3), (4, 5), (6, 8), (6, 8)]):
+        write(actions.where(F.col("arrival_seq").between(low, high)), min(batch, 2))
+    stored, events = replay(numbers)
+    blocks, _, logged = contents(spark, folder)
+    empty = {0, 2, 4, 7}
+    assert blocks == [(n, f"{i:064x}", 0 if i in empty else 2, 0 if i in empty else 42000) for i, n in stored]
+    assert logged == events
