@@ -29,9 +29,9 @@ NONE = np.int32(2**31 - 1)
 #: Pieces beyond this many bytes are merged with a heap: one matrix row of n bytes costs n * n.
 LONG_PIECE = 256
 #: Entries of a worker's memory of pieces; it starts anew when full, which changes no result.
-REMEMBERED = 200_000
+REMEMBERED = 60_000
 #: Bytes of text that are cut and merged together.
-CHUNK = 2 << 20
+CHUNK = 1 << 20
 
 
 class Vocabulary:

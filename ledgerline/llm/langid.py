@@ -40,8 +40,8 @@ SWITCH = 8.0
 #: A language uses a script if at least this share of its letters is in it.
 SCRIPT_SHARE = 0.02
 NOT_A_CANDIDATE = -60.0
-REMEMBERED = 200_000
-CHUNK = 2 << 20
+REMEMBERED = 100_000
+CHUNK = 1 << 20
 
 #: First code points of script ranges; a range ends where the next begins.
 SCRIPTS = [

@@ -50,7 +50,7 @@ BLOCK = 512
 #: Up to so many ids (8 bytes each) are sent to every executor to select texts; beyond, both sides shuffle.
 BROADCAST_IDS = 2_000_000
 SEED = 20_240_607
-CHUNK = 2 << 20
+CHUNK = 1 << 20
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
