@@ -27,7 +27,8 @@ def archives(spark, folder):
     """Every page written to archives, and what reading them gives back."""
     path = new_folder(spark, "archives")
     warc.write_pages(read(spark, folder, "pages"), path)
-    found = warc.captures(warc.read_records(spark, path, payload=False))
+    records = staged(warc.read_records(spark, path, payload=False), "records")
+    found = warc.captures(records)
     page = F.element_at(F.col("metadata")[0]["fields"], "page-id").try_cast("long")
     found = found.select(
         page.alias("page_id"), "response.record_id", "response.type", "response.refers_to", "response.payload_bytes", "response.payload_sha1"
