@@ -17,6 +17,7 @@ gives files without rows.
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from functools import lru_cache
 
@@ -32,12 +33,15 @@ from ledgerline.llm.bpe import chunks
 from ledgerline.llm.neardup import _mix as mix
 
 SHARD_BYTES = 4 << 20
-CHUNK = 8 << 20
+CHUNK = 4 << 20
 #: Keys of one bucket of the index, about.
 BUCKET = 50_000
 #: Bits of each level for every key left; a level settles the keys that meet no other.
 SPREAD = 2
-REMEMBERED = 300_000
+REMEMBERED = 500_000
+#: Fixed value: how the vocabulary marks the last token of a word.
+WORD_END = "</w>"
+LETTERS_AND_SIGNS = re.compile(r"([^\W\d_]+)([!-/:-@\[-^`{-~]+)").fullmatch
 SEEDS = np.random.default_rng(99).integers(0, 2**63, 256, np.uint64)
 
 SHARD = "part int, block int, first_key long, width int, keys array<bigint>, copies array<int>, counts array<int>, payload binary"
@@ -57,15 +61,37 @@ class Encoder:
         self.tokenizer = Tokenizer.from_str(text)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.dtype = np.dtype("<u2") if self.tokenizer.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for token, i in vocabulary.items() if token.endswith(WORD_END)]] = True
         self.known: dict[str, bytes] = {}
 
+    def _learn(self, new: set[str]) -> None:
+        """Remember the ids of words. Words of letters alone have one end mark each, so they are encoded
+        together; letters followed by signs are two words to the vocabulary."""
+        cut = {w: m.groups() for w in new if not w.isalpha() and (m := LETTERS_AND_SIGNS(w)) and m[1].lower().isalpha()}
+        parts = {p for pair in cut.values() for p in pair} - self.known.keys()
+        wanted = (new - cut.keys()) | parts
+        letters = [w for w in wanted if w.isalpha() and w.lower().isalpha()]
+        for begin in range(0, len(letters), 1000):
+            some = letters[begin : begin + 1000]
+            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, self.dtype)
+            ends = (np.flatnonzero(self.ends[ids]) + 1) * self.dtype.itemsize
+            if len(ends) == len(some):
+                raw, last = ids.tobytes(), 0
+                for word, end in zip(some, ends.tolist(), strict=True):
+                    self.known[word] = raw[last:end]
+                    last = end
+        rest = [w for w in wanted if w not in self.known]
+        found = self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)
+        self.known.update((w, np.array(e.ids, self.dtype).tobytes()) for w, e in zip(rest, found, strict=True))
+        self.known.update((w, self.known[a] + self.known[b]) for w, (a, b) in cut.items())
+
     def encode(self, texts: list[str]) -> list[bytes]:
         words = [t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in texts]
         if len(self.known) > REMEMBERED:
             self.known.clear()
-        new = list(set().union(*words) - self.known.keys())
-        found = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
-        self.known.update((w, np.array(e.ids, self.dtype).tobytes()) for w, e in zip(new, found, strict=True))
+        self._learn(set().union(*words) - self.known.keys())
         get = self.known.__getitem__
         return [b"".join(map(get, own)) for own in words]
 

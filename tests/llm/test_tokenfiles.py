@@ -35,6 +35,20 @@ def test_words_encode_as_texts_do(library, own, text):
     assert np.frombuffer(found, own.dtype).tolist() == library(text)
 
 
+WORDS = ["the", "thing,", "I\u0307x", "\u0130stanbul", "don't", "we'll.", "a_b", "\u00b2x", "\u65e5\u672c", "Stra\u00dfe;", "e\u0301t\u00e9", "x\u0301", "!!", "3rd", "", "\u03a3\u03c3\u03c2", "<|endoftext|>", "</w>", "a</w>", "\u1e9e.", "\ufb01n"]
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.sampled_from(WORDS), max_size=30))
+def test_words_of_every_kind(library, texts):
+    with open(PATH, encoding="utf-8") as file:
+        fresh = tokenfiles.encoder(file.read())
+    fresh.known.clear()
+    text = " ".join(texts)
+    (found,) = fresh.encode([text])
+    assert np.frombuffer(found, fresh.dtype).tolist() == library(text)
+
+
 def test_query(spark, small, library):
     docs = sorted(spark.read.parquet(f"{small}/documents.parquet").select("doc_id", "text").collect())
     got = {r.doc_id: r for r in QUERIES["op6_token_files"](spark, small).collect()}
