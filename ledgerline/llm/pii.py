@@ -52,8 +52,8 @@ PHONE = r"\+[0-9]{1,3}[ .-]?\(?[0-9]{1,4}\)?(?:[ .-]?[0-9]{2,4}){1,4}|(?<![0-9])
 CARD = r"(?<![0-9])[0-9](?:[ -]?[0-9]){12,18}(?![0-9])"
 NAME = rf"\b(?:{TITLES})\.? \p{{Lu}}[\p{{L}}'-]*+(?: \p{{Lu}}[\p{{L}}'-]*+)?"
 ENTITY = f"{EMAIL}|{IP}|{PHONE}|{CARD}|{NAME}"
-#: Cheap test that a text may hold an entity at all.
-HINT = rf"@|[0-9]{{2}}|\b(?:{TITLES})\b"
+#: Cheap test that a text may hold an entity at all: true of every text that ENTITY matches in.
+HINT = rf"@|[0-9][ .-]?[0-9]|\b(?:{TITLES})\b"
 #: Rounds of new keys for clashing values, each clashing by chance with few of the rest.
 MOST_ROUNDS = 30
 #: Documents with clashing values that are sent to every executor; more are shuffled.

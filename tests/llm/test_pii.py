@@ -88,3 +88,13 @@ def test_repeats_and_nothing(spark):
     docs = spark.createDataFrame([(1, "a@b.example.com"), (1, "a@b.example.com"), (None, "a@b.example.com")], "doc_id long, text string")
     assert len({r.text for r in pii.replace(docs, KEY).collect()}) == 1 and pii.replace(docs, KEY).count() == 3
     assert pii.replace(docs.limit(0), KEY).count() == 0
+
+
+def test_single_digits_are_searched(spark):
+    """No two digits side by side: addresses of one-digit octets, a card written digit by digit."""
+    card = "4 1 1 1 1 1 1 1 1 1 1 1 1 1 1 1"
+    got = run(spark, ["ask 8.8.8.8 or 1.1.1.1", "ask 8.8.8.8 of 2024", f"card {card}", f"card {card.replace(' ', '-')} end"])
+    assert IP.findall(got[0].text)[0] == IP.findall(got[1].text)[0] != "8.8.8.8" and "1.1.1.1" not in got[0].text
+    digits = [re.sub(r"\D", "", got[i].text) for i in (2, 3)]
+    assert digits[0] == digits[1] != card.replace(" ", "") and len(digits[0]) == 16
+    assert [got[i].kinds for i in range(4)] == [{"ip": 2}, {"ip": 1}, {"card": 1}, {"card": 1}]
