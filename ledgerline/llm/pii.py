@@ -8,8 +8,10 @@ values always do, in whatever case or punctuation they are written, and formats
 Titles stay, and given names are replaced by others of their gender.
 
 Collision check: a surrogate may not be a value that occurs itself. All distinct values of the table are
-compared with all surrogates; those that clash get another key, until none does. Documents are rewritten
-where they are read; only clashing values are joined to them.
+compared with all surrogates; those that clash get another key, until none does. Where a format is too full for
+that (all names of a list occur), its values keep the first key: a permutation, in which a surrogate may be another's
+value but is never its own and nobody else's. What even that leaves as it is gets a longer surrogate, so no format
+runs out. Documents are rewritten where they are read; only clashing values are joined to them.
 
 Null texts stay null. Every row gives one row; rows are told apart by id and text. Columns that carry
 an output's name are replaced. An empty table gives an empty table.
@@ -54,7 +56,7 @@ NAME = rf"\b(?:{TITLES})\.? \p{{Lu}}[\p{{L}}'-]*+(?: \p{{Lu}}[\p{{L}}'-]*+)?"
 ENTITY = f"{EMAIL}|{IP}|{PHONE}|{CARD}|{NAME}"
 #: Cheap test that a text may hold an entity at all: true of every text that ENTITY matches in.
 HINT = rf"@|[0-9][ .-]?[0-9]|\b(?:{TITLES})\b"
-#: Rounds of new keys for clashing values, each clashing by chance with few of the rest.
+#: Rounds of new keys for clashing values, each clashing by chance with few of the rest; then as many of longer surrogates.
 MOST_ROUNDS = 30
 #: Documents with clashing values that are sent to every executor; more are shuffled.
 BROADCAST_CLASHES = 100_000
@@ -136,9 +138,28 @@ def canonical(value: Column) -> Column:
 
 
 def surrogate(value: Column, key: str, attempt: Column) -> Column:
-    """Replacement of one detected value."""
+    """Replacement of one detected value; attempts after ``MOST_ROUNDS`` make it longer by one symbol or more each."""
     keyed = F.concat(F.lit(key + "#"), attempt.cast("string"))
-    return let(keyed, lambda k: let(value, lambda v: let(kind_of(v), lambda kind: _surrogate(v, kind, k))))
+    longer = lambda v, kind: F.when(attempt > MOST_ROUNDS, _longer(v, kind, (attempt - MOST_ROUNDS).cast("int"))).otherwise(v)
+    return let(keyed, lambda k: let(value, lambda v: let(kind_of(v), lambda kind: let(longer(v, kind), lambda x: _surrogate(x, kind, k)))))
+
+
+def _longer(value: Column, kind: Column, extra: Column) -> Column:
+    """``value`` with ``extra`` symbols more, or words that many times longer; words without a letter that moves are drawn
+    anew. Addresses of machines stay: their format is never full."""
+
+    def word(w):
+        drawn = F.initcap(F.substring(F.translate(F.md5(F.lower(w).cast("binary")), DIGITS + "abcdef", "ghijklmnopabcdef"), F.lit(1), extra + 5))
+        moves = F.lower(w).rlike(f"[{''.join(NAME_ALPHABETS)}]")
+        longer = F.when(moves, F.concat(w, F.repeat(F.lower(w), extra))).otherwise(drawn)
+        return F.when(F.lower(w).rlike(rf"\A(?:{TITLES.lower()})\.?\z"), w).otherwise(longer)
+
+    return (
+        F.when(kind == "name", F.array_join(F.transform(F.split(value, " "), word), " "))
+        .when(kind == "email", F.concat(F.substring_index(value, "@", 1), F.repeat(F.lit("a"), extra), F.lit("@"), F.substring_index(value, "@", -1)))
+        .when(kind == "ip", value)
+        .otherwise(F.concat(value, F.repeat(F.lit("0"), extra)))
+    )
 
 
 def _surrogate(value: Column, kind: Column, keyed: Column) -> Column:
@@ -207,14 +228,17 @@ def clashes(values: DataFrame, key: str) -> DataFrame:
     """``(entity, attempt)`` of the values whose first surrogate is itself a value of ``values(value)``.
 
     A new key's surrogate may be neither a value nor a surrogate of the first key, nor one that another clashing
-    value got. Spellings of one entity count as one.
+    value got. Spellings of one entity count as one. Values for which no round finds one keep the first key (see above),
+    which differs from all the others'; they are not listed.
     """
     known = values.groupBy(canonical(F.col("value")).alias("entity")).agg(F.min("value").alias("value"))
     known = staged(known.select("entity", "value", canonical(surrogate(F.col("value"), key, F.lit(0))).alias("new")), "entities")
     taken = known.select("entity").unionByName(known.select(F.col("new").alias("entity")))
     open_ = known.join(known.select(F.col("entity").alias("new")), "new", "left_semi").select("entity", "value")
     done = None
-    for attempt in range(1, MOST_ROUNDS + 1):
+    for attempt in range(1, 2 * MOST_ROUNDS + 1):
+        if attempt == MOST_ROUNDS + 1:
+            open_ = open_.where(canonical(surrogate(F.col("value"), key, F.lit(0))) == F.col("entity"))
         tried = staged(open_.withColumn("new", canonical(surrogate(F.col("value"), key, F.lit(attempt)))), "clashes")
         if tried.isEmpty():
             break

@@ -98,3 +98,14 @@ def test_single_digits_are_searched(spark):
     digits = [re.sub(r"\D", "", got[i].text) for i in (2, 3)]
     assert digits[0] == digits[1] != card.replace(" ", "") and len(digits[0]) == 16
     assert [got[i].kinds for i in range(4)] == [{"ip": 2}, {"ip": 1}, {"card": 1}, {"card": 1}]
+
+
+def test_full_formats(spark, monkeypatch):
+    """All names of a list, all names of one vowel, and a name of letters that no alphabet holds."""
+    monkeypatch.setattr(pii, "MOST_ROUNDS", 3)
+    men = [n.title() for n in pii.MEN]
+    got = run(spark, [f"Mr {n}" for n in men] + [f"Mrs {n}" for n in "AEIOU"] + ["Herr Մ", "Herr Ն"])
+    new = [got[i].text.split(" ")[1] for i in range(len(got))]
+    assert len({n.lower() for n in new}) == len(new) == 30
+    assert not any(old in got[i].text for i, old in enumerate(men)) and set(new[:23]) == set(men)
+    assert all(a != b for a, b in zip("AEIOU", new[23:28], strict=True)) and not {"Մ", "Ն"} & set(new)
