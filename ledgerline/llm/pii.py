@@ -3,12 +3,13 @@
 Found are email addresses, phone and card numbers, IP addresses, and names after a title. A surrogate
 is a keyed bijection of the value within its format: each symbol moves inside its own
 alphabet (digits, letters of one script and case, vowels and consonants of names) by a keyed hash of the symbols before
-it, once forwards and once backwards. So different values of one format never share a surrogate, equal
-values always do, in whatever case or punctuation they are written, and formats keep values apart.
+it, once forwards and once backwards. So different values of one format never share a surrogate, and equal
+values always do, in whatever case or punctuation they are written.
 Titles stay, and given names are replaced by others of their gender.
 
-Collision check: a surrogate may not be a value that occurs itself. All distinct values of the table are
-compared with all surrogates; those that clash get another key, until none does. Where a format is too full for
+Collision check: a surrogate may not be a value that occurs itself, nor that of another value (formats may meet:
+a listed name and one of its shape). All distinct values of the table are compared with all surrogates, and the
+surrogates with each other; those that clash get another key, until none does. Where a format is too full for
 that (all names of a list occur), its values keep the first key: a permutation, in which a surrogate may be another's
 value but is never its own and nobody else's. What even that leaves as it is gets a longer surrogate, so no format
 runs out. Documents are rewritten where they are read; only clashing values are joined to them.
@@ -225,7 +226,9 @@ def _matches(text: Column) -> Column:
 
 
 def clashes(values: DataFrame, key: str) -> DataFrame:
-    """``(entity, attempt)`` of the values whose first surrogate is itself a value of ``values(value)``.
+    """``(entity, attempt)`` of the values whose first surrogate is itself a value of ``values(value)`` or that of another.
+
+    Of values with one first surrogate that with most listed names, then the least, keeps it.
 
     A new key's surrogate may be neither a value nor a surrogate of the first key, nor one that another clashing
     value got. Spellings of one entity count as one. Values for which no round finds one keep the first key (see above),
@@ -234,11 +237,17 @@ def clashes(values: DataFrame, key: str) -> DataFrame:
     known = values.groupBy(canonical(F.col("value")).alias("entity")).agg(F.min("value").alias("value"))
     known = staged(known.select("entity", "value", canonical(surrogate(F.col("value"), key, F.lit(0))).alias("new")), "entities")
     taken = known.select("entity").unionByName(known.select(F.col("new").alias("entity")))
-    open_ = known.join(known.select(F.col("entity").alias("new")), "new", "left_semi").select("entity", "value")
+    words = F.split(F.regexp_replace("entity", r"\A[a-z]+:", ""), " ")
+    unlisted = -F.size(F.filter(words, lambda w: w.isin(WOMEN + MEN)))
+    shared = known.groupBy("new").agg(F.count("*").alias("n"), F.min(F.struct(unlisted.alias("unlisted"), "entity")).alias("keeps"))
+    shared = broadcast_if_small(staged(shared.where("n > 1").select("new", "keeps.entity"), "shared"), BROADCAST_CLASHES)
+    later = known.join(shared.withColumnRenamed("entity", "keeper"), "new").where("entity != keeper").select("entity", "value", F.lit(True).alias("later"))
+    open_ = known.join(known.select(F.col("entity").alias("new")), "new", "left_semi").select("entity", "value", F.lit(False).alias("later"))
+    open_ = open_.unionByName(later).groupBy("entity", "value").agg(F.max("later").alias("later"))
     done = None
     for attempt in range(1, 2 * MOST_ROUNDS + 1):
         if attempt == MOST_ROUNDS + 1:
-            open_ = open_.where(canonical(surrogate(F.col("value"), key, F.lit(0))) == F.col("entity"))
+            open_ = open_.where(F.col("later") | (canonical(surrogate(F.col("value"), key, F.lit(0))) == F.col("entity")))
         tried = staged(open_.withColumn("new", canonical(surrogate(F.col("value"), key, F.lit(attempt)))), "clashes")
         if tried.isEmpty():
             break
@@ -247,7 +256,7 @@ def clashes(values: DataFrame, key: str) -> DataFrame:
         good = staged(first.select("entity", F.lit(attempt).alias("attempt"), "new"), "resolved")
         done = good if done is None else done.unionByName(good)
         taken = taken.unionByName(good.select(F.col("new").alias("entity")))
-        open_ = tried.join(good, "entity", "left_anti").select("entity", "value")
+        open_ = tried.join(good, "entity", "left_anti").select("entity", "value", "later")
     else:
         raise ValueError("too few surrogates of some format are left")
     return known.select("entity", F.lit(0).alias("attempt")).limit(0) if done is None else done.select("entity", "attempt")

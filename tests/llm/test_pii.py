@@ -109,3 +109,20 @@ def test_full_formats(spark, monkeypatch):
     assert len({n.lower() for n in new}) == len(new) == 30
     assert not any(old in got[i].text for i, old in enumerate(men)) and set(new[:23]) == set(men)
     assert all(a != b for a, b in zip("AEIOU", new[23:28], strict=True)) and not {"Մ", "Ն"} & set(new)
+
+
+def test_first_surrogates_that_meet(spark):
+    """A name moved onto a listed one's surrogate, and an address with a leading zero."""
+    shaped = spark.range(17 * 17 * 5 * 5 * 4).select(
+        F.concat(*[F.substring(F.lit(letters), (F.col("id") / n).cast("int") % len(letters) + 1, F.lit(1)) for letters, n in
+                   (("BCDFGHJKLMNPRSTVZ", 1), ("aeiou", 17), ("bcdfghjklmnprstvz", 85), ("bcdfghjklmnprstvyz", 85 * 17))]).alias("name")
+    ).distinct()
+    onto = {n: n.title() for n in pii.WOMEN + pii.MEN}
+    moved = shaped.select("name", F.lower(F.substring(pii.surrogate(F.concat(F.lit("Mr "), "name"), KEY, F.lit(0)), 4, 9)).alias("new"))
+    moved = moved.where(~F.lower("name").isin(list(onto)) & F.col("new").isin(list(onto))).orderBy("name").limit(1).collect()
+    listed = spark.createDataFrame([(n,) for n in onto.values()], "name string")
+    other = listed.where(F.lower(F.substring(pii.surrogate(F.concat(F.lit("Mr "), "name"), KEY, F.lit(0)), 4, 9)) == moved[0].new).collect()[0].name
+    texts = [f"Mr {moved[0].name}", f"Mr {other}", "10.0.0.1", "010.0.0.1"]
+    got = run(spark, [*texts, " and ".join(texts[:2])])
+    assert len({got[i].text.lower() for i in range(4)}) == 4 and not {got[i].text for i in range(4)} & set(texts)
+    assert got[4].text == f"{got[0].text} and {got[1].text}"
