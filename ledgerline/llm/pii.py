@@ -5,7 +5,8 @@ is a keyed bijection of the value within its format: each symbol moves inside it
 alphabet (digits, letters of one script and case, vowels and consonants of names) by a keyed hash of the symbols before
 it, once forwards and once backwards. So different values of one format never share a surrogate, and equal
 values always do, in whatever case or punctuation they are written.
-Titles stay, and given names are replaced by others of their gender.
+Names run on over all capitalised words behind a title and the particles before and between them. Titles and
+particles stay, and given names are replaced by others of their gender.
 
 Collision check: a surrogate may not be a value that occurs itself, nor that of another value (formats may meet:
 a listed name and one of its shape). All distinct values of the table are compared with all surrogates, and the
@@ -47,13 +48,18 @@ NAME_ALPHABETS = [
 WOMEN = ["mary", "anna", "emma", "laura", "julia", "sarah", "maria", "clara", "elena", "sofia", "lucia", "marie", "camille", "ingrid", "helga", "greta", "susan", "linda", "nina", "olga", "irene", "alice", "carmen"]
 MEN = ["john", "peter", "james", "thomas", "paul", "david", "martin", "carlos", "diego", "pablo", "jean", "pierre", "louis", "hans", "karl", "jürgen", "robert", "henry", "ivan", "oleg", "george", "frank", "miguel"]
 TITLES = "Mrs|Mr|Ms|Miss|Herr|Frau|Señora|Señor|Sra|Sr|Monsieur|Madame|Mme"
+PARTICLES = "von|vom|zu|zum|zur|van|ter|ten|den|der|dem|des|de|del|della|di|da|do|dos|das|du|la|las|le|les|los|el|al|bin|ibn"
 
 # The patterns, in order of preference where two begin at one place.
 EMAIL = r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}"
 IP = r"(?<![\p{N}.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?![0-9])"
 PHONE = r"\+[0-9]{1,3}[ .-]?\(?[0-9]{1,4}\)?(?:[ .-]?[0-9]{2,4}){1,4}|(?<![0-9])\(?[0-9]{3}\)?[ .-][0-9]{3}[.-][0-9]{4}(?![0-9])"
 CARD = r"(?<![0-9])[0-9](?:[ -]?[0-9]){12,18}(?![0-9])"
-NAME = rf"\b(?:{TITLES})\.? \p{{Lu}}[\p{{L}}'-]*+(?: \p{{Lu}}[\p{{L}}'-]*+)?"
+BETWEEN = rf"(?: (?:{PARTICLES})(?= ))*+ "
+#: Possessive, so that no long run of capitalised words is walked by recursion.
+NAME = rf"\b(?:{TITLES})\.?{BETWEEN}\p{{Lu}}[\p{{L}}'-]*+(?:{BETWEEN}(?!(?:{TITLES})\b)\p{{Lu}}[\p{{L}}'-]*+)*+"
+#: Words of a name that stay: its title, and particles in small letters.
+STAYS = rf"\A(?:(?iu:{TITLES})\.?|{PARTICLES})\z"
 ENTITY = f"{EMAIL}|{IP}|{PHONE}|{CARD}|{NAME}"
 #: Cheap test that a text may hold an entity at all: true of every text that ENTITY matches in.
 HINT = rf"@|[0-9][ .-]?[0-9]|\b(?:{TITLES})\b"
@@ -131,7 +137,8 @@ def canonical(value: Column) -> Column:
 
     def of(v):
         digits = F.regexp_replace(v, "[^+0-9]", "")
-        bare = F.regexp_replace(F.lower(v), rf"\A(?:{TITLES.lower()})\.? ", "")
+        # particles stay and capitalised words don't, so "von" is told from "Von"
+        bare = F.regexp_replace(F.lower(F.regexp_replace(v, f" ({PARTICLES})(?= )", " =$1")), rf"\A(?:{TITLES.lower()})\.? ", "")
         plain = lambda k: F.when(k.isin("phone", "card"), digits).when(k == "name", bare).otherwise(F.lower(v))
         return let(kind_of(v), lambda k: F.concat(k, F.lit(":"), plain(k)))
 
@@ -153,7 +160,7 @@ def _longer(value: Column, kind: Column, extra: Column) -> Column:
         drawn = F.initcap(F.substring(F.translate(F.md5(F.lower(w).cast("binary")), DIGITS + "abcdef", "ghijklmnopabcdef"), F.lit(1), extra + 5))
         moves = F.lower(w).rlike(f"[{''.join(NAME_ALPHABETS)}]")
         longer = F.when(moves, F.concat(w, F.repeat(F.lower(w), extra))).otherwise(drawn)
-        return F.when(F.lower(w).rlike(rf"\A(?:{TITLES.lower()})\.?\z"), w).otherwise(longer)
+        return F.when(w.rlike(STAYS), w).otherwise(longer)
 
     return (
         F.when(kind == "name", F.array_join(F.transform(F.split(value, " "), word), " "))
@@ -201,7 +208,7 @@ def _surrogate(value: Column, kind: Column, keyed: Column) -> Column:
     def name(v):
         def token(t):
             low = F.lower(t)
-            out = F.when(F.lower(t).rlike(rf"\A(?:{TITLES.lower()})\.?\z"), t)
+            out = F.when(t.rlike(STAYS), t)
             for names in (WOMEN, MEN):
                 listed = F.array(*map(F.lit, names))
                 turn = F.pmod(F.xxhash64(keyed, F.lit("given")), F.lit(len(names) - 1)) + 1

@@ -126,3 +126,16 @@ def test_first_surrogates_that_meet(spark):
     got = run(spark, [*texts, " and ".join(texts[:2])])
     assert len({got[i].text.lower() for i in range(4)}) == 4 and not {got[i].text for i in range(4)} & set(texts)
     assert got[4].text == f"{got[0].text} and {got[1].text}"
+
+
+def test_names_of_many_words(spark):
+    texts = [
+        "Señor Carlos García López came", "Mrs Anna Maria Smith, Herr Karl von Braun; Frau von der Leyen.", "Señora García López",
+        "Señora Ana García López", "Mr Smith Mrs. Jones", "Mr " + "Xy " * 20_000 + "end", "Mr von nobody",
+    ]
+    got = {i: r.text for i, r in run(spark, texts).items()}
+    assert not any(re.search(r"Carlos|García|López|Anna|Maria|Smith|Karl|Braun|Leyen|Ana|Jones|Xy", t) for t in got.values())
+    one, two = got[2].split(" ")[1:], got[3].split(" ")[1:]
+    assert one == two[1:] == got[0].split(" ")[2:4] and got[0].endswith(" came")
+    assert re.fullmatch(r"Mrs \w+ \w+ \w+, Herr \w+ von \w+; Frau von der \w+\.", got[1])
+    assert re.fullmatch(r"Mr \w+ Mrs\. \w+", got[4]) and got[5].endswith(" end") and got[6] == texts[6]
