@@ -1,6 +1,8 @@
 """Licenses of files: sparse TF-IDF cosine to templates, then the nearest ancestor directory's.
 
-A file's notices are those of its sentences that speak of licenses; a licence file's whole text is one more.
+A file's notices are those of its sentences that speak of licenses, cut from its lines and also from its blocks:
+consecutive lines, up to a blank one or the end of a comment, joined without their comment marks. A licence file's
+whole text is one more.
 Each is a sparse vector of words, weighted by the templates' inverse document frequencies, and
 takes the template of largest cosine if that reaches ``LEAST_COSINE``. A file keeps the best of its
 notices. A file without one inherits from the nearest directory at or above its own that holds a licence
@@ -34,7 +36,11 @@ TEMPLATES = [
     ("GPL-2.0", "This work is licensed under the GNU General Public License, version 2."),
     ("GPL-2.0", "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version."),
     ("LGPL-3.0", "Licensed under the GNU Lesser General Public License, version 3."),
+    ("LGPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
+    ("LGPL-2.1", "Licensed under the GNU Lesser General Public License, version 2.1."),
+    ("LGPL-2.1", "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version."),
     ("AGPL-3.0", "Licensed under the GNU Affero General Public License, version 3."),
+    ("AGPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
     ("BSD-3-Clause", "Released under the 3-Clause BSD License."),
     ("BSD-3-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products."),
     ("BSD-2-Clause", "Released under the 2-Clause BSD License."),
@@ -54,6 +60,14 @@ WORD = r"[a-z0-9.]*[a-z0-9]"
 HINT = r"(?i)licen[cs]e|copyright|spdx|public domain|free software|redistribut|hereby granted"
 LICENSE_FILE = r"(?i)(?:\A|/)(?:licen[cs]e|copying|notice|unlicense)(?:[.-][^/]*)?\z"
 SENTENCE = r"(?<=[.!?])\s+|\n"
+#: Texts that are looked at: a notice may be wrapped anywhere.
+HINT_OF_TEXT = HINT.replace(" ", r"\W+")
+#: Ends of comments, line comments, what lies between blocks, and a line's end with the next line's comment mark.
+COMMENT_END = r"""\*/|-->|\"{3}|'{3}"""
+LINE_COMMENT = r"[ \t]*(?:#|//|;|--|%|(?i:rem|dnl)\b)"
+COMMENT_EDGE = rf"(?md)^(?:({LINE_COMMENT}[^\n]*)\n(?!{LINE_COMMENT})|((?!{LINE_COMMENT})[^\n]*)\n(?={LINE_COMMENT}))"
+BETWEEN_BLOCKS = r"\n[\s#*/;%<>!=-]*\n"
+WRAP = r"[ \t\r]*\n[ \t]*(?:[#*;%>!|]+|//+!?|--+|(?i:rem|dnl)\b)?[ \t]*"
 #: Directories with a license (200 bytes each) sent to every executor; more are shuffled.
 BROADCAST_DIRECTORIES = 300_000
 
@@ -62,6 +76,13 @@ def _words(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(WORD), F.lit(0))
 
 
+def _wrapped(text: Column) -> Column:
+    """The sentences of a text's blocks."""
+    apart = F.regexp_replace(F.regexp_replace(text, COMMENT_END, "\n\n"), COMMENT_EDGE, "$1$2\n\n")
+    blocks = F.filter(F.split(apart, BETWEEN_BLOCKS, -1), lambda b: b.rlike(HINT_OF_TEXT))
+    return F.flatten(F.transform(blocks, lambda b: F.split(F.regexp_replace(b, WRAP, " "), r"(?<=[.!?])\s+", -1)))
+
+
 def _weights(spark: SparkSession, templates: list[tuple[str, str]]) -> tuple[DataFrame, float]:
     """``(word, template, license, idf, weight)`` of the templates' unit vectors, and the idf of any other word."""
     bags = [re.findall(WORD, text.lower()) for _, text in templates]
@@ -78,9 +99,9 @@ def notices(files: DataFrame, templates: list[tuple[str, str]] = TEMPLATES) -> D
     """``(path, h, license, score)``: the best of each row of ``files(path, text, is_license)`` that has a notice."""
     table, other = _weights(files.sparkSession, templates)
     text = F.coalesce("text", F.lit(""))
-    parts = F.filter(F.split(text, SENTENCE, -1), lambda s: s.rlike(HINT))
+    parts = F.filter(F.array_distinct(F.concat(F.split(text, SENTENCE, -1), _wrapped(text))), lambda s: s.rlike(HINT))
     parts = F.when(F.col("is_license"), F.concat(F.array(text), parts)).otherwise(parts)
-    parts = F.when(text.rlike(HINT), parts).otherwise(F.array().cast("array<string>"))
+    parts = F.when(text.rlike(HINT_OF_TEXT), parts).otherwise(F.array().cast("array<string>"))
     h = F.xxhash64("text").alias("h")
     # the outer forms: for the plain ones the optimizer adds filters that would work all this out a second time
     each = files.select("path", h, F.posexplode_outer(parts).alias("at", "notice")).where("notice is not null")

@@ -82,3 +82,39 @@ def test_nulls_repeats_and_nothing(spark):
     files = spark.createDataFrame(rows, "path string, text string, is_license boolean")
     assert result(licenses.scan(files)) == {"": (None, "none", None), "x": ("MIT", "own", None)} and licenses.scan(files).count() == 2
     assert licenses.scan(files.limit(0)).count() == 0
+
+
+MPL = "This Source Code Form is subject to the terms of the Mozilla Public\nLicense, v. 2.0. If a copy of the MPL was not distributed with this\nfile, You can obtain one at http://mozilla.org/MPL/2.0/."
+BSD = "Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that the following conditions\nare met:\n\n1. Redistributions of source code must retain the above copyright\nnotice."
+GNU = "This program is free software: you can redistribute it and/or modify\nit under the terms of the GNU {}General Public License as published by\nthe Free Software Foundation, either version 3 of the License, or\n(at your option) any later version.\n\nThis program is distributed in the hope that it will be useful,\nbut WITHOUT ANY WARRANTY. See the\nGNU {}General Public License for more details."
+OLD = "This library is free software; you can redistribute it and/or\nmodify it under the terms of the GNU Lesser General Public\nLicense as published by the Free Software Foundation; either\nversion 2.1 of the License, or (at your option) any later version."
+MIT = 'Permission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated documentation files (the "Software"), to deal\nin the Software without restriction, including without limitation the rights\nto use, copy, modify, merge, publish, distribute, sublicense, and/or sell\ncopies of the Software, and to permit persons to whom the Software is\nfurnished to do so, subject to the following conditions:'
+APACHE = 'Licensed under the Apache License, Version 2.0 (the "License");\nyou may not use this file except in compliance with the License.\nYou may obtain a copy of the License at\n\n    http://www.apache.org/licenses/LICENSE-2.0'
+CC0 = "Dedicated to the public\ndomain under CC0 1.0\nUniversal."
+ISC = "Permission to use, copy, modify, and/or distribute this software for any\npurpose with or without fee is hereby\ngranted, provided that the above copyright notice and this permission\nnotice appear in all copies."
+SHORT = "This work is licensed under a\nCreative Commons Attribution 4.0\nInternational License"
+HEADERS = [
+    (MPL, "MPL-2.0"), (BSD, "BSD-3-Clause"), (GNU.format("", ""), "GPL-3.0"), (GNU.format("Lesser ", "Lesser "), "LGPL-3.0"),
+    (GNU.format("Affero ", "Affero "), "AGPL-3.0"), (OLD, "LGPL-2.1"), (MIT, "MIT"), (APACHE, "Apache-2.0"), (CC0, "CC0-1.0"), (ISC, "ISC"), (SHORT, "CC-BY-4.0"),
+]
+
+
+def commented(mark, text):
+    return "\n".join(f"{mark} {line}".rstrip() for line in text.split("\n"))
+
+
+def test_wrapped_headers(spark):
+    """Licenses written out here, not worked out from the module's own cuts."""
+    code = "import os\nprint(os.name)\nx = [1, 2, 3]"
+    rows, want = [], {}
+    for i, (text, license) in enumerate(HEADERS):
+        forms = [
+            text, f"{commented('#', text)}\n{code}", f"int a;\n{commented('//', text)}\n{code}", f"/*\n{commented(' *', text)}\n */\n{code}",
+            f"<!--\n{text}\n-->\n{code}", f'"""\n{text}\n"""\n{code}', f"{commented('#', text)}\n{code}".replace("\n", "\r\n"),
+        ]
+        for j, form in enumerate(forms):
+            rows.append((f"{i}/{j}", form, False))
+            want[f"{i}/{j}"] = license
+    rows.append(("one line", f"Licensed under CC BY 4.0\n{code}", False))
+    got = {r.path: r.license for r in licenses.scan(spark.createDataFrame(rows, "path string, text string, is_license boolean")).collect()}
+    assert {p: (got[p], w) for p, w in {**want, "one line": "CC-BY-4.0"}.items() if got[p] != w} == {}
