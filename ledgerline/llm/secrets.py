@@ -29,8 +29,11 @@ HEX = r"[0-9a-f]{24,}"
 ASSIGN_LEAST = 6
 KINDS = ["assign", "access", "hex", "markov"]
 
-#: Strings that the models judge: identifier characters, so many at least, a letter among them.
-LEAST = 20
+#: Strings that the models judge: identifier characters, so many at least, a letter among them. Short ones are left to
+#: the likelihood ratio.
+LEAST = 8
+#: Values of the patterns that are taken for random: shorter ones are often words.
+LEAST_RANDOM = 20
 CANDIDATE = rf"[A-Za-z0-9+/_=-]{{{LEAST},}}"
 ALPHABET = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_=-"
 #: One string in so many is taken to be a secret before its characters are seen.
@@ -133,12 +136,12 @@ def labelled_strings(docs: DataFrame, id: str = "doc_id", text: str = "text", mo
     """Labelled strings from the ``most`` documents of least hash.
 
     Random: values that the patterns found there, and digests of the ids in hex, base64 and capitals.
-    Ordinary: the other identifiers of 4 characters or more, alone and joined with the next one in three fashions.
+    Ordinary: the other identifiers of 4 characters or more, alone and joined with the next one in three fashions, and in capitals, as headings and constants have them.
     """
     ids = docs.select(F.xxhash64(id, text).alias("__h")).orderBy("__h").limit(most)
     some = docs.select(id, text, F.xxhash64(id, text).alias("__h")).join(ids, "__h", "left_semi")
     values = some.select(F.explode(_matches(F.coalesce(F.col(text), F.lit("")), f"{ASSIGN}|{ACCESS}|{HEX}")).alias("v"))
-    values = values.select(F.regexp_extract("v", r"([A-Za-z0-9+/_=-]+)\z", 1).alias("string")).where(f"length(string) >= {LEAST}")
+    values = values.select(F.regexp_extract("v", r"([A-Za-z0-9+/_=-]+)\z", 1).alias("string")).where(f"length(string) >= {LEAST_RANDOM}")
     digest = F.sha2(F.concat_ws("/", F.col(id).cast("string"), F.xxhash64(text).cast("string")), 256)
     # a second digest renders hex as capitals and digits, as access keys are
     capitals = F.translate(F.upper(F.substring(F.base64(F.unhex(digest)), 1, 40)), "+/=", "XYZ")
@@ -153,6 +156,7 @@ def labelled_strings(docs: DataFrame, id: str = "doc_id", text: str = "text", mo
         F.lower(F.concat_ws("_", "w", "next")),
         F.concat(F.lower("w"), F.initcap("next")),
         F.lower(F.concat_ws("-", "w", F.col("i").cast("string"))),
+        F.upper(F.concat_ws("_", "w", "next")),
     )
     ordinary = own.select(F.explode(joined).alias("string"))
     return (

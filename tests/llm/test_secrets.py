@@ -79,3 +79,17 @@ def test_redaction_and_empty_tables(spark):
     assert {r.doc_id: r.text for r in cut.collect()} == {1: "[SECRET]' tail", 2: "clean", 3: None}
     model = secrets.train(secrets.labelled_strings(docs.limit(0)))
     assert secrets.scan(docs.limit(0), model).count() == 0
+
+
+def test_short_random_strings(spark, small):
+    """Keys of 10 to 19 characters, against all words of those lengths, headings in capitals among them."""
+    docs = spark.read.parquet(f"{small}/documents.parquet")
+    model = secrets.train(secrets.labelled_strings(docs))
+    pick = random.Random(5)
+    planted = ["".join(pick.choice(secrets.ALPHABET[:62]) for _ in range(n)) for n in range(10, 20) for _ in range(20)]
+    plain = sorted({w for r in docs.select("text").collect() for w in re.findall("[A-Za-z]{10,19}", r.text or "")})
+    plain += [w.upper() for w in plain]
+    rows = [(i, f"é see {t} here") for i, t in enumerate(planted + plain)]
+    found = {r.doc_id: spans(r, "spans") for r in secrets.scan(spark.createDataFrame(rows, "doc_id long, text string"), model).collect()}
+    assert sum(found[i] == [(6, 3, 6 + len(t))] for i, t in enumerate(planted)) >= 190
+    assert sum(bool(found[i]) for i in range(len(planted), len(rows))) <= 0.01 * len(plain)
