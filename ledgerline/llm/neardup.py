@@ -121,7 +121,7 @@ class Shingler:
 
 def as_bytes(column: pa.Array) -> list[bytes]:
     """UTF-8 of each text; null is empty."""
-    return [t or b"" for t in column.cast(pa.binary()).to_pylist()]
+    return [t or b"" for t in column.cast(pa.large_binary()).to_pylist()]
 
 
 def sketches(docs: DataFrame, id: str, text: str, k: int) -> DataFrame:
@@ -239,16 +239,23 @@ def _searched(rows: DataFrame, least: list[int], percent: int) -> DataFrame:
     return rows.mapInArrow(_by_block(("bucket", "i", "j"), search), "a long, b long")
 
 
+def _large(batch: pa.RecordBatch) -> pa.RecordBatch:
+    """``batch`` with wide offsets: a column of short ones is left in several chunks beyond 2 GiB."""
+    wide = {pa.string(): pa.large_string(), pa.binary(): pa.large_binary()}
+    return batch.cast(pa.schema([field.with_type(wide.get(field.type, field.type)) for field in batch.schema]))
+
+
 def _by_block(keys: tuple[str, ...], work):
     """A function over sorted batches that hands ``work`` whole blocks only."""
 
     def run(batches):
         rest = None
         for batch in batches:
+            batch = _large(batch)
             table = pa.Table.from_batches([batch] if rest is None else [rest, batch]).combine_chunks()
             if not len(table):
                 continue
-            whole = table.to_batches()[0]
+            (whole,) = table.to_batches()
             columns = [np.asarray(whole.column(c)) for c in keys]
             open_ = np.flatnonzero(~np.logical_and.reduce([k == k[-1] for k in columns]))
             cut = int(open_[-1]) + 1 if len(open_) else 0

@@ -3,6 +3,7 @@
 import random
 import re
 
+import pyarrow as pa
 import pytest
 
 from ledgerline.llm import neardup, text_queries  # noqa: F401
@@ -99,3 +100,11 @@ def test_components(spark):
 def test_thresholds_grow_with_the_sample(percent):
     least = neardup.least_matches(percent, 1e-5)
     assert least[0] == 0 and least == sorted(least) and least[-1] < neardup.HASHES * percent / 100
+
+
+def test_blocks_of_over_two_gigabytes():
+    """Two texts of 1.1 GiB in one block: pyarrow keeps such a column in two chunks if its offsets are short."""
+    text = "x" * (1100 << 20)
+    batches = (pa.RecordBatch.from_arrays([pa.array([1]), pa.array([i]), pa.array([text])], ["part", "id", "text"]) for i in (7, 8))
+    seen = list(neardup._by_block(("part",), lambda part: part.column("id").to_pylist())(batches))
+    assert seen == [[7, 8]]
