@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from ledgerline.llm import data_queries, text_queries  # noqa: F401  (they register themselves)
+from ledgerline.llm import data_queries, shape_queries, text_queries  # noqa: F401  (they register themselves)
 from ledgerline.llm.registry import QUERIES, SQL
 
 QUERIES["pipeline"] = corpus_pipeline.run
