@@ -193,22 +193,31 @@ def append_blocks(
     tx_schema: T.StructType,
     contiguous: bool = True,
 ) -> tuple[int | None, int | None]:
-    """One flush: transactions and errors first, then blocks, so a stored block is whole.
+    """One flush, of rows that are staged first, since they are checked as well as written."""
+    with staged(blocks) as new_blocks, staged(txs) as new_txs:
+        return append_staged_blocks(new_blocks, new_txs, errors, folder, block_schema, tx_schema, contiguous)
+
 
-    Both are staged first, since they are checked as well as written. Returns the
-    write notice (lo, hi).
+def append_staged_blocks(
+    blocks: DataFrame,
+    txs: DataFrame,
+    errors: DataFrame | None,
+    folder: str,
+    block_schema: T.StructType,
+    tx_schema: T.StructType,
+    contiguous: bool = True,
+) -> tuple[int | None, int | None]:
+    """One flush of stored rows: transactions and errors first, then blocks, so a stored block is whole.
+
+    Returns the write notice (lo, hi).
     """
-    spark = blocks.sparkSession
-    with staged(blocks) as new_blocks, staged(txs) as new_txs:
-        if contiguous:
-            require_contiguous(new_blocks, last_number(spark, f"{folder}/blocks"))
-        append_create_only(
-            new_txs, f"{folder}/transactions", tx_schema, ("block", "trx_index"), TRANSACTION_ORDER
-        )
-        if errors is not None:
-            write_table(errors, f"{folder}/errors", BLOCK_ORDER)
-        append_create_only(new_blocks, f"{folder}/blocks", block_schema, "block_num", BLOCK_ORDER)
-        notice = batch_range(new_blocks).first()
+    if contiguous:
+        require_contiguous(blocks, last_number(blocks.sparkSession, f"{folder}/blocks"))
+    append_create_only(txs, f"{folder}/transactions", tx_schema, ("block", "trx_index"), TRANSACTION_ORDER)
+    if errors is not None:
+        write_table(errors, f"{folder}/errors", BLOCK_ORDER)
+    append_create_only(blocks, f"{folder}/blocks", block_schema, "block_num", BLOCK_ORDER)
+    notice = batch_range(blocks).first()
     return notice.lo, notice.hi
 
 

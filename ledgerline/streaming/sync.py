@@ -1,4 +1,9 @@
-"""Continuous sync: micro-batches of translated blocks into the tables, forks included."""
+"""Continuous sync: micro-batches of translated blocks into the tables, forks included.
+
+``sync_ledger`` follows a ledger folder: its headers run through the sequence gate, which drops jumps and may hold blocks
+back until no fork inside a window can reach them; a batch then fetches the actions of the blocks it was given.
+``start_sync`` with ``batch_writer`` takes a stream of actions as it is.
+"""
 
 from __future__ import annotations
 
@@ -16,6 +21,9 @@ from ledgerline.operators.forks import canonical_chain, fork_events
 from ledgerline.operators.totals import assemble_blocks
 from ledgerline.operators.translate import translate_actions
 from ledgerline.sources import tables
+from ledgerline.sources.actions import whitelisted
+from ledgerline.sources.ledger import ACTIONS, HEADERS, read_ledger
+from ledgerline.streaming import gate
 
 SYNC, HEAD = "sync", "head"
 KEPT_NOTES = 8
@@ -40,14 +48,19 @@ def block_headers(actions: DataFrame, after: int | None = None, through: int | N
     )
 
 
-def headers_from(table: DataFrame) -> Headers:
+HEADER = "arrival_seq long, block_num long, ts timestamp, native_hash string"
+
+
+def headers_from(table: DataFrame | str) -> Headers:
     """Headers out of ``table(arrival_seq, block_num, ts, native_hash)``, blocks without actions included.
 
-    A batch takes the arrivals after those of the batch before it, up to its own last one.
+    A batch takes the arrivals after those of the batch before it, up to its own last one. A path is listed anew for every
+    batch, so that files written meanwhile count; the files of a DataFrame are those of when it was made.
     """
 
     def headers(actions: DataFrame, after: int | None, through: int) -> DataFrame:
-        found = table.where(F.col("arrival_seq") <= through)
+        known = table if isinstance(table, DataFrame) else actions.sparkSession.read.schema(HEADER).parquet(table)
+        found = known.where(F.col("arrival_seq") <= through)
         found = found if after is None else found.where(F.col("arrival_seq") > after)
         return found.select("arrival_seq", "block_num", "ts", "native_hash").distinct()
 
@@ -140,38 +153,151 @@ def batch_writer(
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        with contextlib.ExitStack() as stack:
-            actions = stack.enter_context(tables.staged(batch))
+        with tables.staged(batch) as actions:
             through = actions.agg(F.max("arrival_seq").alias("through")).first().through
             if through is None:
                 return
             note = batch_note(batch.sparkSession, folder, batch_id, through)
-            arrived = stack.enter_context(tables.staged(headers(actions, note.after, through)))
-            arrivals = arrived.select("arrival_seq", F.col("block_num").alias("n"), "ts")
-            kept = canonical_chain(arrivals).select("arrival_seq")
-            survivors = actions.join(kept, "arrival_seq", "left_semi")
-            txs, errors = translate_actions(survivors, accounts, delta, per_segment=per_segment)
-            with tables.staged(txs) as new_txs:
-                blocks = assemble_blocks(
-                    arrived.join(kept, "arrival_seq", "left_semi"),
-                    new_txs,
-                    delta,
-                    F.col("raw_size"),
-                    per_segment,
-                )
-                apply_forks(arrivals, note, folder, delta, per_segment)
-                notice = tables.append_blocks(
-                    blocks, new_txs, errors, folder, S.BLOCKS, S.TRANSACTIONS, contiguous=True
-                )
-                if feed_path is not None:
-                    feed = head_feed(blocks, new_txs.select(*S.TRANSACTIONS.names))
-                    feed.write.mode("overwrite").parquet(f"{feed_path}/batch={batch_id}")
-        if on_write is not None:
-            on_write(*notice)
+            arrived = headers(actions, note.after, through)
+            _store(arrived, actions, accounts, note, batch_id, folder, delta, per_segment, feed_path, on_write)
 
     return write
 
 
+def _store(
+    arrived: DataFrame,
+    actions: DataFrame,
+    accounts: DataFrame,
+    note: Note,
+    batch_id: int,
+    folder: str,
+    delta: int,
+    per_segment: int,
+    feed_path: str | None,
+    on_write: Callable[[int | None, int | None], None] | None,
+) -> None:
+    """Translate the blocks of a batch that no later one of it forks away, and write them."""
+    with contextlib.ExitStack() as stack:
+        arrived = stack.enter_context(tables.staged(arrived))
+        arrivals = arrived.select("arrival_seq", F.col("block_num").alias("n"), "ts")
+        kept = canonical_chain(arrivals).select("arrival_seq")
+        survivors = actions.join(kept, "arrival_seq", "left_semi")
+        txs, errors = translate_actions(survivors, accounts, delta, per_segment=per_segment)
+        new_txs = stack.enter_context(tables.staged(txs))
+        blocks = assemble_blocks(
+            arrived.join(kept, "arrival_seq", "left_semi"),
+            new_txs,
+            delta,
+            F.col("raw_size"),
+            per_segment,
+        )
+        blocks = stack.enter_context(tables.staged(blocks))
+        apply_forks(arrivals, note, folder, delta, per_segment)
+        notice = tables.append_staged_blocks(blocks, new_txs, errors, folder, S.BLOCKS, S.TRANSACTIONS, contiguous=True)
+        if feed_path is not None:
+            feed = head_feed(blocks, new_txs.select(*S.TRANSACTIONS.names))
+            feed.write.mode("overwrite").parquet(f"{feed_path}/batch={batch_id}")
+    if on_write is not None:
+        on_write(*notice)
+
+
+def ledger_writer(
+    path: str,
+    accounts: DataFrame,
+    folder: str,
+    delta: int,
+    on_write: Callable[[int | None, int | None], None] | None = None,
+    per_segment: int = K.BLOCKS_PER_SEGMENT,
+    feed_path: str | None = None,
+    whitelist: dict[str, list[str]] | None = None,
+):
+    """A ``foreachBatch`` function: the gate's verdicts in; blocks, transactions, errors, forks, gaps and late blocks out.
+
+    Blocks that are final get the actions that the ledger folder ``path`` holds for them. Dropped jumps (and later their
+    refilling) go to ``gaps``, blocks of forks below the last final block to ``late``, one folder a batch, so that
+    a batch that runs again replaces its own rows.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        with tables.staged(batch) as verdicts:
+            seen = verdicts.agg(
+                F.min(F.when(F.col("final"), F.col("arrival_seq"))).alias("least"),
+                F.max(F.when(F.col("final"), F.col("arrival_seq"))).alias("largest"),
+                *[F.count(F.when(F.col("verdict").isin(*kinds), 1)).alias(name) for name, kinds in LOGS.items()],
+            ).first()
+            for name, kinds in LOGS.items():
+                if seen[name]:
+                    log = verdicts.where(F.col("verdict").isin(*kinds)).select("chain_id", "arrival_seq", "n", "ts", "native_hash", "verdict")
+                    log.coalesce(1).write.mode("overwrite").parquet(f"{folder}/{name}/batch={batch_id}")
+            _log_forks(verdicts.where((F.col("verdict") == gate.FORK) & ~F.col("final")), folder)
+            if seen.largest is None:
+                return
+            note = batch_note(spark, folder, batch_id, seen.largest)
+            final = verdicts.where("final").select("arrival_seq", F.col("n").alias("block_num"), "ts", "native_hash")
+            actions = read_ledger(spark, path, rows=ACTIONS).where(F.col("arrival_seq").between(seen.least, seen.largest))
+            actions = actions.where(whitelisted(whitelist)).join(final.select("arrival_seq"), "arrival_seq", "left_semi").select(*S.ACTIONS.names)
+            with tables.staged(actions) as own:
+                _store(final, own, accounts, note, batch_id, folder, delta, per_segment, feed_path, on_write)
+
+    return write
+
+
+#: Verdicts that are logged beside the tables.
+LOGS = {"gaps": (gate.GAP, gate.REFILLED), "late": (gate.LATE,)}
+
+
+def _log_forks(forks: DataFrame, folder: str) -> None:
+    """Add forks that the gate resolved by itself to the log, each once."""
+    rows = forks.select("ts", "last_non_forked", "last_forked", "arrival_seq")
+    least = rows.agg(F.min("arrival_seq").alias("least")).first().least
+    if least is None:
+        return
+    if tables.exists(forks.sparkSession, f"{folder}/forks"):
+        known = forks.sparkSession.read.schema(S.FORKS).parquet(f"{folder}/forks").where(F.col("arrival_seq") >= least)
+        rows = rows.join(known.select("arrival_seq"), "arrival_seq", "left_anti").select(*S.FORKS.names)
+    tables.append_forks(rows, f"{folder}/forks")
+
+
+def sync_ledger(
+    spark: SparkSession,
+    path: str,
+    accounts: DataFrame,
+    folder: str,
+    delta: int,
+    checkpoint: str,
+    window: float | None = None,
+    start: int | None = None,
+    stop: int | None = None,
+    mode: str | None = None,
+    interval: str = "1 second",
+    **options,
+):
+    """Follow a ledger folder into the tables of ``folder``; returns the running query.
+
+    ``window`` (seconds) is how far back a reorganisation may reach: younger blocks are held back, so that forks inside it touch no stored
+    file. Without one a fork purges what was stored. ``mode`` None picks SYNC until the stored chain is near the
+    ledger's head and HEAD from then on; a run in SYNC mode ends with what is there. ``options`` go to ``ledger_writer``.
+    """
+    heads = read_ledger(spark, path, stream=True, rows=HEADERS, start=start, stop=stop)
+    arrivals = heads.select(
+        F.lit("").alias("chain_id"), "arrival_seq", F.col("block_num").alias("n"), F.col("block_ts").alias("ts"), F.col("block_id").alias("native_hash")
+    )
+    verdicts = gate.sequence_gate(arrivals, start, window, stop)
+    write = ledger_writer(path, accounts, folder, delta, **options)
+    if mode is not None:
+        return start_sync(verdicts, write, checkpoint, mode, interval=interval)
+    before = -1
+    while True:
+        head = read_ledger(spark, path, rows=HEADERS, stop=stop).agg(F.max("block_num").alias("head")).first().head
+        last = tables.last_number(spark, f"{folder}/blocks")
+        near = last is not None and head is not None and state_for(last, head, True) == HEAD
+        if near or head == before:  # or nothing new to catch up with: what is missing is held back
+            return start_sync(verdicts, write, checkpoint, HEAD, interval=interval)
+        before = head
+        start_sync(verdicts, write, checkpoint, SYNC).awaitTermination()
+
+
 def start_sync(
     stream: DataFrame,
     writer: Callable[[DataFrame, int], None],
