@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.llm.bpe import chunks
-from ledgerline.llm.common import broadcast_if_small, staged
+from ledgerline.llm.common import arrow_rows, broadcast_if_small, staged
 from ledgerline.llm.components import components
 
 BANDS, ROWS = 32, 5
@@ -50,7 +50,9 @@ BLOCK = 512
 #: Up to so many ids (8 bytes each) are sent to every executor to select texts; beyond, both sides shuffle.
 BROADCAST_IDS = 2_000_000
 SEED = 20_240_607
-CHUNK = 1 << 20
+CHUNK = 1 << 18
+#: Rows of a batch between engine and Python; pairs carry two whole texts.
+BATCH = 1_000
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -276,12 +278,13 @@ def _joined(rows: DataFrame, least: list[int], k: int, percent: int) -> DataFram
         asks, n, ids = (np.asarray(part.column(c)) for c in ("asks", "n", "id"))
         sketch = _grid(part.column("sketch"))
         answers = np.flatnonzero(~asks)
+        sizes = np.asarray(pa.compute.fill_null(pa.compute.binary_length(part.column("text")), 0))
         found, sets = [], {}
 
         def full(at):
             new = [i for i in at.tolist() if i not in sets]
-            for begin in range(0, len(new), 64):
-                some = new[begin : begin + 64]
+            for begin, end in chunks(sizes[np.array(new, np.int64)], CHUNK):
+                some = new[begin:end]
                 sets.update(zip(some, shingler.sets(as_bytes(part.column("text").take(pa.array(some)))), strict=True))
             return [sets[i] for i in at.tolist()]
 
@@ -346,6 +349,21 @@ def near_duplicates(
     docs: DataFrame, id: str = "doc_id", text: str = "text", k: int = 5, percent: int = 80, miss: float = 1e-5
 ) -> DataFrame:
     """``(id, n_shingles, component_id, kept)`` for every row; ``kept`` marks the least id of a component."""
+    with arrow_rows(docs.sparkSession, BATCH):
+        rows, class_of, found = _grouped(docs, id, text, k, percent, miss)
+    labels = class_of.join(found.withColumnRenamed("node", "id"), "id", "left")
+    labels = labels.select("set_key", F.coalesce("component", "id").alias("component"))
+    out = rows.select("id", "n", F.when((F.col("n") > 0) & F.col("id").isNotNull(), F.col("set_key")).alias("set_key"))
+    out = out.join(labels, "set_key", "left").select(
+        F.col("id").alias(id),
+        F.col("n").alias("n_shingles"),
+        F.coalesce("component", "id").alias("component_id"),
+    )
+    return out.withColumn("kept", F.col(id).eqNullSafe(F.col("component_id")))
+
+
+def _grouped(docs: DataFrame, id: str, text: str, k: int, percent: int, miss: float) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Sketches of all rows, the class of each set, and the component of each linked class, all stored."""
     texts = docs.select(F.col(id).cast("long").alias("id"), F.col(text).alias("text"))
     rows = staged(sketches(texts, "id", "text", k), "sketches")
     least = least_matches(percent, miss)
@@ -360,25 +378,19 @@ def near_duplicates(
         if found is None:
             tried = tried.groupBy("a").agg(F.min("b").alias("b"))
         tried = tried.join(sides.toDF("a", "na", "sa"), "a").join(sides.toDF("b", "nb", "sb"), "b")
-        new = _verified(_checked(tried, least, percent), texts, k, percent).distinct()
-        links = staged(new if links is None else links.unionByName(new), "links")
+        new = staged(_verified(_checked(tried, least, percent), texts, k, percent).distinct(), "links")
+        if links is not None and new.isEmpty():
+            continue  # this round ties nothing: the components stay
+        links = new if links is None else links.unionByName(new)
         found = staged(components(links), "components")
 
     outside = staged(_outside(_owned(classes, found, BANDS)), "outside")
     within = _verified(_searched(_blocks(outside, sides), least, percent), texts, k, percent)
     across = _joined(_against(outside, classes, found, sides, texts), least, k, percent)
     new = staged(within.unionByName(across).distinct(), "links")
-    found = components(links.unionByName(new))
-
-    labels = class_of.join(found.withColumnRenamed("node", "id"), "id", "left")
-    labels = labels.select("set_key", F.coalesce("component", "id").alias("component"))
-    out = rows.select("id", "n", F.when((F.col("n") > 0) & F.col("id").isNotNull(), F.col("set_key")).alias("set_key"))
-    out = out.join(labels, "set_key", "left").select(
-        F.col("id").alias(id),
-        F.col("n").alias("n_shingles"),
-        F.coalesce("component", "id").alias("component_id"),
-    )
-    return out.withColumn("kept", F.col(id).eqNullSafe(F.col("component_id")))
+    if not new.isEmpty():
+        found = staged(components(links.unionByName(new)), "components")
+    return rows, class_of, found
 
 
 def _owned(classes: DataFrame, found: DataFrame | None, bands: int) -> DataFrame:
