@@ -278,12 +278,12 @@ def _joined(rows: DataFrame, least: list[int], k: int, percent: int) -> DataFram
         asks, n, ids = (np.asarray(part.column(c)) for c in ("asks", "n", "id"))
         sketch = _grid(part.column("sketch"))
         answers = np.flatnonzero(~asks)
-        sizes = np.asarray(pa.compute.fill_null(pa.compute.binary_length(part.column("text")), 0))
+        held = np.asarray(pa.compute.fill_null(pa.compute.binary_length(part.column("text")), 0))
         found, sets = [], {}
 
         def full(at):
             new = [i for i in at.tolist() if i not in sets]
-            for begin, end in chunks(sizes[np.array(new, np.int64)], CHUNK):
+            for begin, end in chunks(held[np.array(new, np.int64)], CHUNK):
                 some = new[begin:end]
                 sets.update(zip(some, shingler.sets(as_bytes(part.column("text").take(pa.array(some)))), strict=True))
             return [sets[i] for i in at.tolist()]
