@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -78,6 +78,47 @@ def compare_tables(left: DataFrame, right: DataFrame, key: str | Sequence[str])
     )
 
 
+def row_digests(columns: list[str]) -> list[Column]:
+    """Two sums of 64-bit digests and a count: equal for equal rows in any order, and they add up over parts."""
+    wide = lambda digest: F.sum(digest.cast("decimal(20,0)"))
+    first, second = F.xxhash64(*columns), F.xxhash64(F.lit(1), *columns)
+    return [F.count(F.lit(1)).alias("n"), wide(first).alias("d1"), wide(second).alias("d2")]
+
+
+def differing_parts(left: DataFrame, right: DataFrame, parts: list[str], columns: list[str]) -> DataFrame:
+    """Parts of two tables whose digests aren't the same, or that one side lacks."""
+    digests = row_digests(columns)
+    both = left.groupBy(*parts).agg(*digests).unionByName(right.groupBy(*parts).agg(*digests))
+    ends = both.groupBy(*parts).agg(
+        F.count(F.lit(1)).alias("sides"), *[F.min(c).alias(f"{c}_lo") for c in DIGESTS], *[F.max(c).alias(f"{c}_hi") for c in DIGESTS]
+    )
+    same = (F.col("sides") == 2) & (F.col("n_lo") == F.col("n_hi")) & (F.col("d1_lo") == F.col("d1_hi")) & (F.col("d2_lo") == F.col("d2_hi"))
+    return ends.where(~same).select(*parts)
+
+
+DIGESTS = ("n", "d1", "d2")
+
+
+def compare_by_digests(
+    left: DataFrame, right: DataFrame, key: str | Sequence[str], part: Column, buckets: int = 1024
+) -> DataFrame:
+    """The rows of ``compare_tables``, found by descending a tree of digests: part, bucket of keys, row.
+
+    ``part`` (a segment, say) is a function of the key. Every part is one row of digests, made where its rows lie; only
+    parts that differ are cut into ``buckets`` by key, and only rows of buckets that differ are shuffled and compared. Rows of
+    equal parts never move. Null parts and keys are parts and keys of their own.
+    """
+    keys = [key] if isinstance(key, str) else list(key)
+    columns = left.columns
+    bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets))
+    sides = [side.select(*columns, F.struct(part.alias("p")).alias("_part")) for side in (left, right.select(*columns))]
+    apart = differing_parts(*sides, ["_part"], columns)
+    sides = [side.join(apart, "_part", "left_semi").withColumn("_bucket", bucket) for side in sides]
+    apart = differing_parts(*sides, ["_part", "_bucket"], columns)
+    sides = [side.join(apart, ["_part", "_bucket"], "left_semi").select(*columns) for side in sides]
+    return compare_tables(*sides, key)
+
+
 def require_equal(left: DataFrame, right: DataFrame, key: str | Sequence[str]) -> None:
     """Raise unless both tables hold the same rows."""
     found = compare_tables(left, right, key).limit(1).collect()

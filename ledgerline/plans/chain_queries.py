@@ -10,6 +10,7 @@ from ledgerline.functions.text import segment_label, segment_of
 from ledgerline.operators import compare, feed, forks, integrity, scans, totals
 from ledgerline.operators.bloom import bloom_or
 from ledgerline.plans import views as V
+from ledgerline.plans import jobs
 from ledgerline.plans.registry import query
 from ledgerline.session import shared_folder
 from ledgerline.sources import tables
@@ -244,8 +245,7 @@ V_STORED = f"""v_stored AS (
          l_orderkey AS evm_block_num, l_orderkey // 2 AS segment FROM lineitem)"""
 
 
-@query(
-    "integrity_report",
+INTEGRITY_SQL = (
     f"""SELECT 'number_delta' AS "check", CAST(block_num AS VARCHAR) AS "key",
                'delta ' || (block_num - evm_block_num) AS detail
         FROM v_stored WHERE block_num - evm_block_num <> {V.DELTA}
@@ -261,9 +261,11 @@ V_STORED = f"""v_stored AS (
         UNION ALL
         SELECT 'gap', CAST(k AS VARCHAR), 'missing ' || (nxt - k - 1) || ' native ' || (k + {V.DELTA})
         FROM (SELECT k, lead(k) OVER (ORDER BY k) AS nxt FROM (SELECT DISTINCT evm_block_num AS k FROM v_stored))
-        WHERE nxt - k > 1""",
-    (V.V_TX, V_STORED),
+        WHERE nxt - k > 1"""
 )
+
+
+@query("integrity_report", INTEGRITY_SQL, (V.V_TX, V_STORED))
 def integrity_report(spark, folder):
     line = V.table(spark, folder, "lineitem")
     shift = F.when((F.col("l_returnflag") == "R") & (F.col("l_linenumber") == 7), 1).otherwise(0)
@@ -275,6 +277,27 @@ def integrity_report(spark, folder):
     return integrity.integrity_report(stored, V.transactions(spark, folder), V.DELTA)
 
 
+V_STORED_WIDE = V_STORED.replace("l_orderkey // 2", f"l_orderkey // {V.PER_SEGMENT}")
+
+
+@query("integrity_by_segments", INTEGRITY_SQL, (V.V_TX, V_STORED_WIDE))
+def integrity_by_segments(spark, folder):
+    """The report from summaries: half of the segments are stored and checked; once the others are there, only they are read."""
+    line = V.table(spark, folder, "lineitem")
+    shift = F.when((F.col("l_returnflag") == "R") & (F.col("l_linenumber") == 7), 1).otherwise(0)
+    segment = segment_of(F.col("l_orderkey"), V.PER_SEGMENT).alias("segment")
+    blocks = line.select((F.col("l_orderkey") + V.DELTA + shift).alias("block_num"), F.col("l_orderkey").alias("evm_block_num"), segment)
+    txs = V.transactions(spark, folder)
+    txs = txs.select("block", "block_num", "hash", segment_of(F.col("block"), V.PER_SEGMENT).alias("segment"))
+    path = f"{shared_folder(spark)}/query-{uuid.uuid4().hex}"
+    for half in (0, 1):
+        now = F.pmod(F.col("segment"), F.lit(2)) == half
+        tables.write_table(blocks.where(now), f"{path}/blocks", ("segment", "block_num"))
+        tables.write_table(txs.where(now), f"{path}/transactions", ("segment", "block"))
+        report, _ = jobs.check_changed(spark, path, V.DELTA)
+    return report
+
+
 # --- forks ----------------------------------------------------------------------
 
 
@@ -396,6 +419,22 @@ def compare_tables(spark, folder):
     return compare.compare_tables(*_two_versions(spark, folder), "block_num")
 
 
+@query(
+    "compare_by_digests",
+    """SELECT CASE WHEN r.block_num IS NULL THEN 'only_left' WHEN l.block_num IS NULL THEN 'only_right'
+                   ELSE 'differs' END AS status,
+              coalesce(l.block_num, r.block_num) AS block_num,
+              CASE WHEN l.block_num IS NOT NULL AND r.block_num IS NOT NULL THEN 'size' ELSE '' END AS diff_columns,
+              CAST(l.block_num IS NOT NULL AS BIGINT) AS n_left, CAST(r.block_num IS NOT NULL AS BIGINT) AS n_right
+       FROM v_left l FULL JOIN v_right r ON l.block_num = r.block_num
+       WHERE l.size IS DISTINCT FROM r.size OR l.evm_hash IS DISTINCT FROM r.evm_hash""",
+    (V.V_BLOCKS, V_VERSIONS),
+)
+def compare_by_digests(spark, folder):
+    """The same differences, found by descending where digests of segments and buckets differ."""
+    return compare.compare_by_digests(*_two_versions(spark, folder), "block_num", segment_of(F.col("block_num"), V.PER_SEGMENT))
+
+
 @query(
     "differing_rows",
     """SELECT block_num, evm_hash, size, CAST(sum(l) AS BIGINT) AS n_left, CAST(sum(r) AS BIGINT) AS n_right

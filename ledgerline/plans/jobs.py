@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ledgerline import constants as K
 from ledgerline import schemas as S
+from ledgerline.operators import summaries
 from ledgerline.operators.integrity import first_gap, integrity_report
 from ledgerline.operators.scans import in_range
 from ledgerline.operators.totals import reindex_blocks
@@ -33,6 +34,61 @@ def check(spark: SparkSession, folder: str, delta: int) -> DataFrame:
     return integrity_report(*read_chain(spark, folder), delta)
 
 
+SUMMARIES = "summaries"
+
+
+def check_changed(spark: SparkSession, folder: str, delta: int) -> tuple[DataFrame, list[int]]:
+    """Findings of the full check, and the segments that were read for them.
+
+    Summaries lie beside the tables, one folder a segment and table. A segment is summarised again if its files are others than those
+    its summary was made of; summaries of dropped segments go. A lost run leaves old or no summaries, never wrong ones,
+    as the note of a segment's files is written last.
+    """
+    blocks, txs = read_chain(spark, folder)
+    place = f"{folder}/{SUMMARIES}"
+    now = {}
+    for name in ("blocks", "transactions"):
+        for segment, files in tables.segment_files(spark, f"{folder}/{name}").items():
+            now[segment] = f"{now.get(segment, '')}{name}\n{files}\n"
+    notes = tables.read_table(spark, f"{place}/notes", NOTES)
+    known = {row.segment: row.files for row in notes.collect()}
+    changed = sorted(s for s, files in now.items() if known.get(s) != files)
+    stale = sorted({*changed, *(s for s in known if s not in now)})
+    tables.drop_segments(spark, f"{place}/notes", stale)
+    names = (summaries.RUNS, summaries.EXTRA, summaries.DELTA, summaries.MARKS, summaries.SEGMENTS)
+    for name in names:
+        tables.drop_segments(spark, f"{place}/{name}", stale)
+    if changed:
+        own = F.col("segment").isin(changed)
+        made = summaries.summarise(blocks.where(own), txs.where(own), delta)
+        for name, rows in made.items():
+            rows.write.mode("append").partitionBy("segment").parquet(f"{place}/{name}")
+        lines = spark.createDataFrame([(now[s], s) for s in changed], NOTES)
+        lines.coalesce(1).write.mode("append").partitionBy("segment").parquet(f"{place}/notes")
+    stored = {name: tables.read_table(spark, f"{place}/{name}", form) for name, form in zip(names, FORMS, strict=True)}
+    doubtful = summaries.suspects(stored[summaries.MARKS])
+    places = sorted(row.segment for row in doubtful.select("segment").distinct().collect())
+    held = txs.where(F.col("segment").isin(places)).withColumn("mark", F.xxhash64("hash"))
+    held = held.join(doubtful.select("mark").distinct(), "mark", "left_semi")
+    return summaries.report(stored, held, delta), sorted({*changed, *places})
+
+
+NOTES = S.T.StructType([S.T.StructField("files", S.T.StringType()), S.T.StructField("segment", S.T.LongType())])
+
+
+def _form(*names: str):
+    return S.T.StructType([S.T.StructField(name, S.T.LongType()) for name in (*names, "segment")])
+
+
+FORMS = (
+    _form("lo", "hi"),
+    _form("evm_block_num", "more"),
+    _form("block_num", "evm_block_num", "found_delta"),
+    _form("mark", "n"),
+    _form("n"),
+)
+
+
 def start_point(
     spark: SparkSession,
     folder: str,

@@ -80,6 +80,16 @@ def numbered_folders(spark: SparkSession, path: str, start: str) -> list[int]:
     return sorted(int(name.removeprefix(start)) for name in names if name.startswith(start))
 
 
+def segment_files(spark: SparkSession, path: str) -> dict[int, str]:
+    """What a folder listing says of the files of each segment: names, sizes and times as one text."""
+    out = {}
+    for segment in stored_segments(spark, path):
+        fs, folder = _fs(spark, f"{path}/segment={segment}")
+        files = [f for f in fs.listStatus(folder) if not f.getPath().getName().startswith(("_", "."))]
+        out[segment] = "\n".join(sorted(f"{f.getPath().getName()} {f.getLen()} {f.getModificationTime()}" for f in files))
+    return out
+
+
 def drop_folder(spark: SparkSession, path: str) -> None:
     fs, folder = _fs(spark, path)
     fs.delete(folder, True)
