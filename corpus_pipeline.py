@@ -11,17 +11,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.llm import bpe, decontaminate, langid, neardup, secrets
-from ledgerline.llm.common import staged
+from ledgerline.llm.common import arrow_rows, staged
 
 #: Texts of which no language has this share of the letters go.
 LEAST_SHARE = 0.5
+#: Rows of a batch between engine and Python: whole texts by the thousand, not by ten thousand.
+BATCH = 1_000
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without a letter or without a main language go."""
     model = langid.train(docs.where(~langid.held_out(F.col("doc_id"))))
     found = langid.identify(docs, model, pred="__lang", score="__share", spans="__spans")
-    return found.where((F.col("__lang") != langid.UNKNOWN) & (F.col("__share") >= LEAST_SHARE)).select(*docs.columns)
+    kept = found.where((F.col("__lang") != langid.UNKNOWN) & (F.col("__share") >= LEAST_SHARE)).select(*docs.columns)
+    with arrow_rows(spark, BATCH):
+        return staged(kept, "languages")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -49,7 +53,8 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     both = bpe.decode(bpe.encode(docs, *where), *where)
     same = F.coalesce(F.col("decoded") == F.col("text").cast("binary"), F.octet_length("decoded") == 0)
     ids = F.when(same, F.col("ids")).otherwise(F.raise_error(F.lit("ids don't give back their text")).cast("array<int>"))
-    return both.select("doc_id", ids.alias("ids"), F.size("ids").cast("long").alias("n_tokens"))
+    with arrow_rows(spark, BATCH):
+        return staged(both.select("doc_id", ids.alias("ids"), F.size("ids").cast("long").alias("n_tokens")), "ids")
 
 
 STAGES = [
