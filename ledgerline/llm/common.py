@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import uuid
 from contextlib import contextmanager
 
@@ -53,6 +55,14 @@ def arrow_rows(spark: SparkSession, rows: int):
         spark.conf.set(key, before)
 
 
+def give_back() -> None:
+    """Hand freed memory back to the machine: a worker that a large model bloated goes on to serve other stages."""
+    gc.collect()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of one C library only
+    if trim is not None:
+        trim(0)
+
+
 def ascii_lower(text: Column) -> Column:
     """A-Z in lower case, every other letter as it is."""
     ascii_only = F.length(text) == F.octet_length(text)

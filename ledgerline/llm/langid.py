@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerline.llm.bpe import chunks
-from ledgerline.llm.common import broadcast_if_small, staged, without
+from ledgerline.llm.common import broadcast_if_small, give_back, staged, without
 
 UNKNOWN = "und"
 TRAIN_DOCS = 1_500
@@ -40,7 +40,7 @@ SWITCH = 8.0
 #: A language uses a script if at least this share of its letters is in it.
 SCRIPT_SHARE = 0.02
 NOT_A_CANDIDATE = -60.0
-REMEMBERED = 100_000
+REMEMBERED = 50_000
 CHUNK = 1 << 20
 
 #: First code points of script ranges; a range ends where the next begins.
@@ -273,6 +273,9 @@ def identify(docs: DataFrame, model: Model, text: str = "text", pred: str = "lan
                 ends = np.cumsum([0] + [len(one) for one in labelled]).astype(np.int32)
                 added = [pa.array(langs, pa.string()), pa.array(scores, pa.float64()), pa.ListArray.from_arrays(pa.array(ends), structs)]
                 yield pa.RecordBatch.from_arrays([*part.columns, *added], [*part.schema.names, pred, score, spans])
+        del own
+        pa.default_memory_pool().release_unused()
+        give_back()
 
     schema = T.StructType(
         [*kept.schema.fields, T.StructField(pred, T.StringType()), T.StructField(score, T.DoubleType()), T.StructField(spans, SPANS)]

@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.llm.bpe import chunks
-from ledgerline.llm.common import arrow_rows, broadcast_if_small, staged
+from ledgerline.llm.common import arrow_rows, broadcast_if_small, give_back, staged
 from ledgerline.llm.components import components
 
 BANDS, ROWS = 32, 5
@@ -152,6 +152,9 @@ def sketches(docs: DataFrame, id: str, text: str, k: int) -> DataFrame:
                     ],
                     ["id", "n", "set_key", "sketch", "bands"],
                 )
+        del shingler
+        pa.default_memory_pool().release_unused()
+        give_back()
 
     schema = "id long, n long, set_key binary, sketch binary, bands array<long>"
     return docs.select(F.col(id).cast("long").alias("id"), F.col(text).alias("text")).mapInArrow(run, schema)
