@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ledgerline import constants as K
 from ledgerline.functions.hexes import add_0x, long_to_hex, num_to_hex
 from ledgerline.functions.text import epoch_seconds
+from ledgerline.sources.documents import document
 
 HEAD, RAW = "head", "raw"
 
@@ -47,9 +48,9 @@ def head_messages(blocks: DataFrame, txs: DataFrame | None = None) -> DataFrame:
     )
 
 
-def raw_messages(txs: DataFrame) -> DataFrame:
-    """One message per transaction with all its stored columns."""
-    body = F.struct(*[F.col(name) for name in txs.columns if name != "segment"])
+def raw_messages(txs: DataFrame, documents: bool = False) -> DataFrame:
+    """One message per transaction: all its columns, or with ``documents`` the document that is stored for it."""
+    body = document("transaction") if documents else F.struct(*[F.col(name) for name in txs.columns if name != "segment"])
     return txs.select(
         F.lit(RAW).alias("type"),
         "block",
@@ -58,9 +59,9 @@ def raw_messages(txs: DataFrame) -> DataFrame:
     )
 
 
-def head_feed(blocks: DataFrame, txs: DataFrame) -> DataFrame:
-    """All messages. Sort by ``block``, ``trx_index`` with NULL last to send them in order."""
-    return raw_messages(txs).unionByName(head_messages(blocks, txs))
+def head_feed(blocks: DataFrame, txs: DataFrame, documents: bool = False) -> DataFrame:
+    """All messages. ``documents`` asks for whole rows of the transaction table. Sort by ``block``, ``trx_index`` with NULL last to send them in order."""
+    return raw_messages(txs, documents).unionByName(head_messages(blocks, txs))
 
 
 def in_sending_order(feed: DataFrame) -> DataFrame:

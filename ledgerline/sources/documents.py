@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline import constants as K
@@ -85,26 +85,29 @@ def _cast(df: DataFrame, schema) -> DataFrame:
     )
 
 
-def to_documents(table: DataFrame, kind: str) -> DataFrame:
-    """Table rows back to the document shape, one JSON text per row."""
+def document(kind: str) -> Column:
+    """The document of a table row."""
     if kind == "transaction":
         columns = {RAW_NAMES.get(name, name): name for name in S.TRANSACTION_DOCUMENT["@raw"].dataType.names}
         typed = {f.name: f.dataType for f in S.TRANSACTION_DOCUMENT["@raw"].dataType}
         raw = F.struct(
             *[F.col(column).cast(typed[name]).alias(name) for column, name in columns.items()]
         )
-        document = F.struct(
+        return F.struct(
             F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSS").alias("@timestamp"),
             "trx_id",
             "action_ordinal",
             F.array().cast("array<string>").alias("signatures"),
             raw.alias("@raw"),
         )
-    else:
-        document = F.struct(
-            F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("@timestamp"),
-            "block_num",
-            F.struct(F.col("evm_block_num").alias("block_num")).alias("@global"),
-            *[F.col(column).cast("string").alias(name) for name, column in BLOCK_NAMES.items()],
-        )
-    return table.select(F.to_json(document).alias("document"))
+    return F.struct(
+        F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("@timestamp"),
+        "block_num",
+        F.struct(F.col("evm_block_num").alias("block_num")).alias("@global"),
+        *[F.col(column).cast("string").alias(name) for name, column in BLOCK_NAMES.items()],
+    )
+
+
+def to_documents(table: DataFrame, kind: str) -> DataFrame:
+    """Table rows back to the document shape, one JSON text per row."""
+    return table.select(F.to_json(document(kind)).alias("document"))

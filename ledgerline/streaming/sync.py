@@ -195,7 +195,7 @@ def _store(
         apply_forks(arrivals, note, folder, delta, per_segment)
         notice = tables.append_staged_blocks(blocks, new_txs, errors, folder, S.BLOCKS, S.TRANSACTIONS, contiguous=True)
         if feed_path is not None:
-            feed = head_feed(blocks, new_txs.select(*S.TRANSACTIONS.names))
+            feed = head_feed(blocks, new_txs.select(*S.TRANSACTIONS.names), documents=True)
             feed.write.mode("overwrite").parquet(f"{feed_path}/batch={batch_id}")
     if on_write is not None:
         on_write(*notice)

@@ -191,8 +191,15 @@ def test_resume_point(spark):
 def test_feed_is_json(spark, folder):
     write = sync.batch_writer(accounts(spark), folder, DELTA, per_segment=4, feed_path=folder + "/feed")
     write(arrivals(spark, [2, 3]), 0)
-    for row in spark.read.parquet(folder + "/feed").collect():
-        assert json.loads(row.message)["type"] == row.type
+    messages = [(row.type, json.loads(row.message)) for row in spark.read.parquet(folder + "/feed").collect()]
+    assert all(message["type"] == type_ for type_, message in messages)
+    stored = {r.hash: r for r in spark.read.schema(S.TRANSACTIONS).parquet(folder + "/transactions").collect()}
+    raw = [message["data"] for type_, message in messages if type_ == "raw"]
+    assert len(raw) == len(stored) == 4
+    for data in raw:
+        own = stored[data["@raw"]["hash"]]
+        assert data["trx_id"] == own.trx_id and data["@timestamp"].startswith("2020-09-13T12:26:4")
+        assert (data["@raw"]["block"], data["@raw"]["trx_index"], data["@raw"]["value"]) == (own.block, own.trx_index, own.value_hex)
 
 
 def test_windows_whose_slide_does_not_divide_them(spark):
