@@ -58,26 +58,37 @@ def chi_square_point(p: float, m: int = PROJECTIONS) -> float:
 
 
 class Space:
-    """Common length of all vectors, their projections and the top of the tree."""
+    """Common length of all vectors, their projections and the top of the tree.
 
-    def __init__(self, dimensions: int, length: float):
-        self.dimensions, self.length = dimensions, length
+    Vectors are measured in units of ``scale``, their largest component, and queries in units of their own, so
+    that no square leaves the range of doubles. ``length`` counts in the former.
+    """
+
+    def __init__(self, dimensions: int, length: float, scale: float = 1.0):
+        self.dimensions, self.length, self.scale = dimensions, length, scale
         self.directions = np.random.default_rng(SEED).normal(size=(dimensions + 1, PROJECTIONS))
         self.cuts: list[tuple[int, float]] = []
 
     def point(self, vectors: np.ndarray) -> np.ndarray:
         """Projections of indexed vectors."""
+        vectors = vectors / self.scale
         norms = (vectors**2).sum(1)
         last = np.sqrt(np.maximum(self.length**2 - norms, 0))
         return vectors @ self.directions[:-1] + last[:, None] * self.directions[-1]
 
     def query(self, vectors: np.ndarray) -> np.ndarray:
         """Projections of queries, brought to the common length."""
-        return (vectors * (self.length / np.sqrt((vectors**2).sum(1)))[:, None]) @ self.directions[:-1]
-
-    def distance2(self, scores: np.ndarray, norms: np.ndarray) -> np.ndarray:
-        """Squared distance in the lengthened space, from inner products with queries of these norms."""
-        return np.maximum(2 * self.length**2 - 2 * self.length * scores / norms, 0)
+        own = vectors / np.abs(vectors).max(1, keepdims=True)
+        return (own * (self.length / np.sqrt((own**2).sum(1)))[:, None]) @ self.directions[:-1]
+
+    def reach(self, scores: np.ndarray, queries: np.ndarray) -> np.ndarray:
+        """Squared distance in the lengthened space at which inner products with these queries fall to ``scores``;
+        endless where a score isn't finite."""
+        largest = np.abs(queries).max(1)
+        norms = np.sqrt(((queries / largest[:, None]) ** 2).sum(1))
+        finite = np.isfinite(scores)
+        along = np.where(finite, scores, 0) / self.scale / largest / norms
+        return np.where(finite, np.maximum(2 * self.length**2 - 2 * self.length * along, 0), np.inf)
 
     def fit(self, sample: np.ndarray, cells: int) -> None:
         """Cut the sample in halves, along the widest direction each time, until there are ``cells`` parts."""
@@ -140,8 +151,9 @@ def leaves_of(points: np.ndarray, size: int = LEAF) -> list[np.ndarray]:
 def inner(vectors: np.ndarray, queries: np.ndarray) -> np.ndarray:
     """Inner products, summed in the order of the components, so that equal vectors get equal scores."""
     out = np.zeros((len(queries), len(vectors)))
-    for axis in range(vectors.shape[1]):
-        out += queries[:, axis, None] * vectors[:, axis]
+    with np.errstate(over="ignore", invalid="ignore"):
+        for axis in range(vectors.shape[1]):
+            out += queries[:, axis, None] * vectors[:, axis]
     return out
 
 
@@ -151,7 +163,6 @@ def search(space: Space, vectors: np.ndarray, queries: np.ndarray, k: int, bound
     ``bound`` is the score of each query's k-th best elsewhere, or -inf.
     """
     points, projected = space.point(vectors), space.query(queries)
-    norms = np.sqrt((queries**2).sum(1))
     leaves = leaves_of(points)
     low, high = (np.array([f(points[rows], axis=0) for rows in leaves]) for f in (np.min, np.max))
     gaps = gap2(projected, low, high)
@@ -162,8 +173,7 @@ def search(space: Space, vectors: np.ndarray, queries: np.ndarray, k: int, bound
     begin, width = 0, 1
     while begin < len(leaves) and len(active):
         worst = np.maximum(best[active, -1], bound[active])
-        finite = np.isfinite(worst)
-        reach = np.where(finite, space.distance2(np.where(finite, worst, 0), norms[active]), np.inf) * point
+        reach = space.reach(worst, queries[active]) * point
         window = order[active, begin : begin + width]
         going = np.take_along_axis(gaps[active], window, 1) <= reach[:, None]
         at, turn = np.nonzero(going)
@@ -228,11 +238,13 @@ def nearest(
 ) -> DataFrame:
     """``(query_id, rank, vec_id, score)``: the ``k`` best of ``vectors`` for each row of ``queries``, its own id left out."""
     usable = _usable(vectors, id, vector)
-    shapes = usable.groupBy(F.size("vector").alias("n")).agg(F.count("*").alias("rows"), F.max("norm2").alias("norm2"))
+    unit = F.aggregate("vector", F.lit(0.0), lambda s, x: s + (x / F.col("largest")) * (x / F.col("largest")))
+    norm = F.log(F.col("largest")) + F.log(unit) / 2  # as a logarithm: a sum of squares may leave the range of doubles
+    shapes = usable.groupBy(F.size("vector").alias("n")).agg(F.count("*").alias("rows"), F.max(norm).alias("norm"), F.max("largest").alias("largest"))
     shape = shapes.orderBy(F.desc("rows"), F.desc("n")).first()
     if shape is None:
         return vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    space = Space(shape.n, math.sqrt(shape.norm2))
+    space = Space(shape.n, math.exp(shape.norm - math.log(shape.largest)), shape.largest)
     length_of = F.size("vector") == shape.n
     place = F.row_number().over(Window.partitionBy("vector").orderBy("id"))
     distinct = usable.where(length_of).select("id", "vector").distinct()
@@ -265,9 +277,7 @@ def nearest(
             q = _matrix(batch["query"])
             own = space.query(q)
             worst = batch["bound"].to_numpy()
-            finite = np.isfinite(worst)
-            reach = np.where(finite, space.distance2(np.where(finite, worst, 0), np.sqrt((q**2).sum(1))), np.inf) * point
-            may = gap2(own, low, high) <= reach[:, None]
+            may = gap2(own, low, high) <= (space.reach(worst, q) * point)[:, None]
             may[np.arange(len(q)), space.cell(own)] = False
             at, cell = np.nonzero(may)
             yield pd.DataFrame({"cell": cell, "query": _lists(q[i] for i in at), "bound": worst[at]})
@@ -305,9 +315,8 @@ def _kth(k: int):
 
 
 def _usable(rows: DataFrame, id: str, vector: str) -> DataFrame:
-    """``(id, vector, norm2)`` of the rows that take part, in double precision."""
+    """``(id, vector, largest)`` of the rows that take part, in double precision, with their largest component's size."""
     rows = rows.select(F.col(id).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("vector"))
     sound = F.forall("vector", lambda x: F.coalesce(F.abs(x) < float("inf"), F.lit(False)) & ~F.isnan(x))
-    norm2 = F.aggregate("vector", F.lit(0.0), lambda s, x: s + x * x)
     rows = rows.where(F.col("id").isNotNull() & F.col("vector").isNotNull() & sound)
-    return rows.withColumn("norm2", norm2).where("norm2 > 0")
+    return rows.withColumn("largest", F.array_max(F.transform("vector", F.abs))).where("largest > 0")

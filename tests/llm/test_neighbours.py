@@ -80,3 +80,12 @@ def test_copies_ties_and_rows_that_take_no_part(spark):
 def test_stopping_point():
     assert neighbours.chi_square(np.array([neighbours.chi_square_point(0.9)]), 8)[0] == pytest.approx(0.9)
     assert neighbours.chi_square_point(0.95, 2) == pytest.approx(-2 * math.log(0.05))
+
+
+@pytest.mark.parametrize("size", [1e160, 1e-170, 1e300])
+def test_components_whose_squares_leave_the_range(spark, size):
+    random = np.random.default_rng(4)
+    rows = [(i, [float(x) for x in v]) for i, v in enumerate(random.normal(size=(60, 8)))] + [(60, [size] * 8), (61, [size / 2] * 8)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = result(neighbours.nearest(df, df.where("vec_id % 20 = 0"), k=10))
+    assert got == brute(rows, [r for r in rows if r[0] % 20 == 0], 10)
