@@ -32,6 +32,8 @@ from ledgerline.llm.common import broadcast_if_small, give_back, staged, without
 
 UNKNOWN = "und"
 TRAIN_DOCS = 1_500
+#: Parts of a language in which the sample is looked for first.
+SAMPLE_PARTS = 256
 #: Sampled texts' hashes (some 30 bytes each) sent to every executor; with more languages they are shuffled.
 BROADCAST_MARKS = 300_000
 #: Words seen less often in the sample have no share of their own.
@@ -223,9 +225,13 @@ def held_out(id: Column) -> Column:
 def train(docs: DataFrame, text: str = "text", lang: str = "lang", most: int = TRAIN_DOCS) -> Model:
     """From labelled texts; rows without label or text are left out."""
     fit = docs.select(F.col(text).alias("text"), F.col(lang).alias("lang")).where("text is not null and lang is not null")
-    marks = fit.select("lang", F.xxhash64("text").alias("mark"))
-    place = F.row_number().over(Window.partitionBy("lang").orderBy("mark"))
-    marks = staged(marks.withColumn("place", place).where(F.col("place") <= most).select("lang", "mark").distinct(), "marks")
+    marks = fit.select("lang", F.xxhash64("text").alias("mark")).groupBy("lang", "mark").agg(F.count("*").alias("n"))
+    # a language's least hashes are among the least of its parts, so no task ever sees a whole language
+    part = F.pmod(F.xxhash64("mark"), F.lit(SAMPLE_PARTS))
+    for keys in (["lang", "part"], ["lang"]):
+        before = Window.partitionBy(*keys).orderBy("mark").rowsBetween(Window.unboundedPreceding, -1)
+        marks = marks.withColumn("part", part).withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0))).where(F.col("before") < most)
+    marks = staged(marks.select("lang", "mark"), "marks")
     some = fit.withColumn("mark", F.xxhash64("text")).join(broadcast_if_small(marks, BROADCAST_MARKS), ["lang", "mark"], "left_semi")
     some = staged(some.select("lang", "text").distinct(), "sample")
     found = F.regexp_extract_all(F.lower("text"), F.lit(r"\p{L}+"), F.lit(0))
