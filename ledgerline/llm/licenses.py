@@ -23,7 +23,7 @@ import re
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import broadcast_if_small
+from ledgerline.llm.common import broadcast_if_small, staged
 
 # Public notices, the usual short forms and the standard headers.
 TEMPLATES = [
@@ -54,6 +54,12 @@ TEMPLATES = [
     ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted."),
     ("Unlicense", "This is free and unencumbered software released into the public domain."),
 ]
+# Identifiers of the public list that headers state by themselves.
+IDENTIFIERS = [
+    "0BSD", "AGPL-3.0", "Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "BSL-1.0", "BUSL-1.1", "CC-BY-4.0", "CC-BY-NC-4.0", "CC-BY-SA-4.0", "CC0-1.0",
+    "EPL-2.0", "GPL-2.0", "GPL-3.0", "ISC", "LGPL-2.1", "LGPL-3.0", "MIT", "MPL-2.0", "Unlicense", "Zlib",
+]
+TEMPLATES += [(name, f"SPDX-License-Identifier: {name}{more}") for name in IDENTIFIERS for more in (["-only", "-or-later"] if "GPL" in name else [""])]
 LEAST_COSINE = 0.6
 WORD = r"[a-z0-9.]*[a-z0-9]"
 #: Sentences that are looked at, and names of licence files.
@@ -95,16 +101,20 @@ def _weights(spark: SparkSession, templates: list[tuple[str, str]]) -> tuple[Dat
     return spark.createDataFrame(rows, "word string, template int, license string, idf double, weight double"), math.log(1 + len(bags)) + 1
 
 
-def notices(files: DataFrame, templates: list[tuple[str, str]] = TEMPLATES) -> DataFrame:
-    """``(path, h, license, score)``: the best of each row of ``files(path, text, is_license)`` that has a notice."""
-    table, other = _weights(files.sparkSession, templates)
+def notices(files: DataFrame) -> DataFrame:
+    """``(path, h, is_license, parts)``: the notices of each row of ``files(path, text, is_license)``."""
     text = F.coalesce("text", F.lit(""))
     parts = F.filter(F.array_distinct(F.concat(F.split(text, SENTENCE, -1), _wrapped(text))), lambda s: s.rlike(HINT))
     parts = F.when(F.col("is_license"), F.concat(F.array(text), parts)).otherwise(parts)
     parts = F.when(text.rlike(HINT_OF_TEXT), parts).otherwise(F.array().cast("array<string>"))
-    h = F.xxhash64("text").alias("h")
+    return files.select("path", F.xxhash64("text").alias("h"), "is_license", parts.alias("parts"))
+
+
+def named(found: DataFrame, templates: list[tuple[str, str]] = TEMPLATES) -> DataFrame:
+    """``(path, h, license, score)``: the best of each row of ``notices`` that has one."""
+    table, other = _weights(found.sparkSession, templates)
     # the outer forms: for the plain ones the optimizer adds filters that would work all this out a second time
-    each = files.select("path", h, F.posexplode_outer(parts).alias("at", "notice")).where("notice is not null")
+    each = found.select("path", "h", F.posexplode_outer("parts").alias("at", "notice")).where("notice is not null")
     words = each.select("path", "h", "at", F.explode_outer(_words(F.col("notice"))).alias("word")).where("word is not null")
     counted = words.groupBy("path", "h", "at", "word").agg(F.count("*").alias("n"))
     idf = table.groupBy("word").agg(F.max("idf").alias("idf"), F.collect_list(F.struct("template", "license", "weight")).alias("uses"))
@@ -142,8 +152,9 @@ def scan(files: DataFrame, templates: list[tuple[str, str]] = TEMPLATES) -> Data
     """
     path = F.regexp_replace(F.coalesce("path", F.lit("")), r"\A/+|/+(?=/)", "")
     files = files.select(path.alias("path"), "text", F.coalesce(F.col("is_license"), path.rlike(LICENSE_FILE)).alias("is_license"))
-    own = notices(files, templates)
-    rows = files.select("path", F.xxhash64("text").alias("h"), "is_license").groupBy("path", "h").agg(F.max("is_license").alias("is_license"))
+    found = staged(notices(files), "notices")  # texts are read and searched once; all that follows takes what was found
+    own = staged(named(found, templates), "licenses")
+    rows = found.groupBy("path", "h").agg(F.max("is_license").alias("is_license"))
     rows = rows.join(own, ["path", "h"], "left").withColumn("dir", parent(F.col("path")))
 
     holders = rows.where("is_license and license is not null").groupBy("dir")

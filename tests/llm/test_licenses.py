@@ -118,3 +118,12 @@ def test_wrapped_headers(spark):
     rows.append(("one line", f"Licensed under CC BY 4.0\n{code}", False))
     got = {r.path: r.license for r in licenses.scan(spark.createDataFrame(rows, "path string, text string, is_license boolean")).collect()}
     assert {p: (got[p], w) for p, w in {**want, "one line": "CC-BY-4.0"}.items() if got[p] != w} == {}
+
+
+def test_identifiers_by_themselves(spark):
+    """Every tag names its own license."""
+    names = licenses.IDENTIFIERS
+    tags = [n + ("-or-later" if "GPL" in n else "") for n in names]
+    rows = [(f"src/{n}.c", f"// SPDX-License-Identifier: {t}\nint x;\n", False) for n, t in zip(names, tags, strict=True)]
+    got = result(licenses.scan(spark.createDataFrame(rows, "path string, text string, is_license boolean")))
+    assert got == {f"src/{n}.c": (n, "own", None) for n in names}
