@@ -6,8 +6,9 @@ import uuid
 
 from pyspark.sql import functions as F
 
+from ledgerline import constants as K
 from ledgerline.functions.text import segment_label, segment_of
-from ledgerline.operators import compare, feed, forks, integrity, scans, totals
+from ledgerline.operators import bands, compare, feed, forks, integrity, scans, totals
 from ledgerline.operators.bloom import bloom_or
 from ledgerline.plans import views as V
 from ledgerline.plans import jobs
@@ -370,6 +371,22 @@ def fork_neighbourhood_check(spark, folder):
     return integrity.fork_neighbourhood_check(log, V.blocks(spark, folder))
 
 
+@query(
+    "actions_near_forks",
+    f"""SELECT f.arrival_seq, f.last_non_forked, count(*) AS actions, count(DISTINCT a.block_num) AS blocks
+       FROM v_forks f JOIN v_actions a ON a.block_num BETWEEN f.last_non_forked + 1 - {K.FORK_CHECK_WIDTH} AND f.last_forked + {K.FORK_CHECK_WIDTH}
+       GROUP BY 1, 2""",
+    (V.V_ARRIVALS, V.V_FORKS, V.V_ACTIONS),
+)
+def actions_near_forks(spark, folder):
+    """Actions that a fork touches or nearly touches; the deeper the fork, the wider its interval."""
+    low, high = F.col("last_non_forked") + 1 - K.FORK_CHECK_WIDTH, F.col("last_forked") + K.FORK_CHECK_WIDTH
+    log = forks.fork_events(V.arrivals(spark, folder)).select("arrival_seq", "last_non_forked", low.alias("low"), high.alias("high"))
+    actions = V.actions(spark, folder, with_raw=False).groupBy("block_num").agg(F.count(F.lit(1)).alias("n"))
+    near = bands.band_join(actions, log, "block_num", "low", "high", 2 * K.FORK_CHECK_WIDTH)
+    return near.groupBy("arrival_seq", "last_non_forked").agg(F.sum("n").alias("actions"), F.count(F.lit(1)).alias("blocks"))
+
+
 @query(
     "fork_old_hash",
     """SELECT f.arrival_seq, f.last_non_forked, coalesce(b.evm_hash, '') AS old_hash
