@@ -54,7 +54,7 @@ def neighbours(spark, folder):
 
 @query("op6_token_files")
 def token_files(spark, folder):
-    """Every document written as ids in order of its key, found again by the index and read back."""
+    """Every document written as ids in order of its key, found again by the index and read back; those without a key by their place."""
     docs = read(spark, folder, "documents").select("doc_id", "text")
     path = new_folder(spark, "tokens")
     tokenfiles.write(docs, path, public_tokenizers.path("word_bpe_49k.json"), end=1)
@@ -62,7 +62,7 @@ def token_files(spark, folder):
     keys = keys.select("key", F.explode(F.sequence(F.lit(0), F.col("count") - 1)).alias("copy"))
     found = tokenfiles.lookup(spark, path, keys).drop("n")
     stored = tokenfiles.checksums(spark, path).join(tokenfiles.shard_starts(spark, path), ["part", "block"])
-    both = found.join(stored, ["part", "block", "place"])
+    both = found.join(stored.drop("key"), ["part", "block", "place"]).unionByName(stored.where("key is null"), allowMissingColumns=True)
     return both.select(
         F.col("key").alias("doc_id"), (F.col("begin") + F.col("at")).alias("start"), F.col("n").alias("n_tokens"), F.col("crc32").alias("ids_crc32")
     )

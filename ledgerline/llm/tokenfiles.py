@@ -33,12 +33,12 @@ from ledgerline.llm.bpe import chunks
 from ledgerline.llm.neardup import _mix as mix
 
 SHARD_BYTES = 4 << 20
-CHUNK = 4 << 20
+CHUNK = 8 << 20
 #: Keys of one bucket of the index, about.
 BUCKET = 50_000
 #: Bits of each level for every key left; a level settles the keys that meet no other.
 SPREAD = 2
-REMEMBERED = 500_000
+REMEMBERED = 800_000
 #: Fixed value: how the vocabulary marks the last token of a word.
 WORD_END = "</w>"
 LETTERS_AND_SIGNS = re.compile(r"([^\W\d_]+)([!-/:-@\[-^`{-~]+)").fullmatch
@@ -66,12 +66,12 @@ class Encoder:
         self.ends[[i for token, i in vocabulary.items() if token.endswith(WORD_END)]] = True
         self.known: dict[str, bytes] = {}
 
-    def _learn(self, new: set[str]) -> None:
+    def _learn(self, new: list[str]) -> None:
         """Remember the ids of words. Words of letters alone have one end mark each, so they are encoded
         together; letters followed by signs are two words to the vocabulary."""
         cut = {w: m.groups() for w in new if not w.isalpha() and (m := LETTERS_AND_SIGNS(w)) and m[1].lower().isalpha()}
-        parts = {p for pair in cut.values() for p in pair} - self.known.keys()
-        wanted = (new - cut.keys()) | parts
+        wanted = {p for pair in cut.values() for p in pair if p not in self.known}
+        wanted.update(w for w in new if w not in cut)
         letters = [w for w in wanted if w.isalpha() and w.lower().isalpha()]
         for begin in range(0, len(letters), 1000):
             some = letters[begin : begin + 1000]
@@ -83,17 +83,40 @@ class Encoder:
                     self.known[word] = raw[last:end]
                     last = end
         rest = [w for w in wanted if w not in self.known]
-        found = self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)
-        self.known.update((w, np.array(e.ids, self.dtype).tobytes()) for w, e in zip(rest, found, strict=True))
+        for begin in range(0, len(rest), 1000):
+            self._learn_by_place(rest[begin : begin + 1000])
         self.known.update((w, self.known[a] + self.known[b]) for w, (a, b) in cut.items())
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        words = [t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in texts]
+    def _learn_by_place(self, some: list[str]) -> None:
+        """Words of any kind, encoded together: an id belongs to the word in which its token begins."""
+        found = self.tokenizer.encode(" ".join(some), add_special_tokens=False)
+        first = np.fromiter((a for a, _ in found.offsets), np.int64, len(found.ids))
+        starts = np.cumsum([0, *(len(w) + 1 for w in some)])
+        at = (np.searchsorted(first, starts) * self.dtype.itemsize).tolist()
+        raw = np.array(found.ids, self.dtype).tobytes()
+        self.known.update((w, raw[a:b]) for w, a, b in zip(some, at[:-1], at[1:], strict=True))
+
+    def encode(self, texts: list[str] | pa.Array) -> list[bytes]:
+        """Ids of each text; a null text has none. Words are told apart once, and their ids gathered by place."""
+        column = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())
+        blank = pa.compute.replace_substring_regex(pa.compute.fill_null(column, ""), "[\n\t\r]", " ")
+        words = pa.compute.split_pattern(blank, " ")
+        coded = words.flatten().dictionary_encode()
+        distinct = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
         if len(self.known) > REMEMBERED:
             self.known.clear()
-        self._learn(set().union(*words) - self.known.keys())
-        get = self.known.__getitem__
-        return [b"".join(map(get, own)) for own in words]
+        self._learn([w for w in distinct if w not in self.known])
+        own = list(map(self.known.__getitem__, distinct))
+        sizes = np.fromiter(map(len, own), np.int64, len(own)) // self.dtype.itemsize
+        ids = np.frombuffer(b"".join(own), self.dtype)
+        which = coded.indices.to_numpy(zero_copy_only=False)
+        runs = sizes[which]
+        ends = np.cumsum(np.concatenate([[0], runs]))
+        shift = (np.cumsum(sizes) - sizes)[which] - ends[:-1]
+        raw = ids[np.repeat(shift, runs) + np.arange(ends[-1])].tobytes()
+        offsets = words.offsets.to_numpy()
+        at = (ends[offsets - offsets[0]] * self.dtype.itemsize).tolist()
+        return [raw[a:b] for a, b in zip(at[:-1], at[1:], strict=True)]
 
 
 @lru_cache(maxsize=2)
@@ -120,8 +143,7 @@ def write(docs: DataFrame, path: str, tokenizer: str, end: int, id: str = "doc_i
             sizes = np.asarray(pa.compute.fill_null(pa.compute.binary_length(batch.column(1)), 0))
             for begin, stop in chunks(sizes, CHUNK):
                 some = batch.slice(begin, stop - begin)
-                texts = [t or "" for t in some.column(1).to_pylist()]
-                for key, ids in zip(some.column(0).to_pylist(), own.encode(texts), strict=True):
+                for key, ids in zip(some.column(0).to_pylist(), own.encode(some.column(1)), strict=True):
                     copy = copy + 1 if counts_on(key, last) else 0
                     last = key
                     keys.append(key)
@@ -272,7 +294,7 @@ def _cut(row: dict) -> tuple[np.ndarray, np.ndarray]:
 
 
 def checksums(spark: SparkSession, path: str) -> DataFrame:
-    """``(part, block, place, at, n, crc32)`` of every stored document, from the payloads: where it begins in its
+    """``(part, block, place, key, at, n, crc32)`` of every stored document, from the payloads: where it begins in its
     shard, its number of ids, and the checksum of its ids as little-endian 32-bit integers."""
 
     def run(batches):
@@ -285,13 +307,13 @@ def checksums(spark: SparkSession, path: str) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(np.full(n, row["part"], np.int32)), pa.array(np.full(n, row["block"], np.int32)), pa.array(np.arange(n, dtype=np.int32)),
-                        pa.array(ends[:-1].astype(np.int64)), pa.array(np.diff(ends).astype(np.int64)), pa.array(np.array(sums, np.int64)),
+                        pa.array(row["keys"], pa.int64()), pa.array(ends[:-1].astype(np.int64)), pa.array(np.diff(ends).astype(np.int64)), pa.array(np.array(sums, np.int64)),
                     ],
-                    ["part", "block", "place", "at", "n", "crc32"],
+                    ["part", "block", "place", "key", "at", "n", "crc32"],
                 )
 
-    shards = spark.read.parquet(f"{path}/shards").select("part", "block", "width", "counts", "payload")
-    return shards.mapInArrow(run, "part int, block int, place int, at long, n long, crc32 long")
+    shards = spark.read.parquet(f"{path}/shards").select("part", "block", "width", "keys", "counts", "payload")
+    return shards.mapInArrow(run, "part int, block int, place int, key long, at long, n long, crc32 long")
 
 
 def fetch(spark: SparkSession, path: str, keys: DataFrame) -> DataFrame:

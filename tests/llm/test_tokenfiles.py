@@ -87,3 +87,12 @@ def test_nothing(spark, folder):
     asked = spark.createDataFrame([(1, 0)], "key long, copy int")
     assert tokenfiles.fetch(spark, f"{folder}/t", asked).count() == 0
     assert tokenfiles.shard_starts(spark, f"{folder}/t").count() == 0
+
+
+def test_documents_without_a_key(spark, folder, library):
+    """One row each, before all others."""
+    rows = [(3, "three"), (None, "no key"), (None, None), (1, None)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{folder}/documents.parquet")
+    got = sorted((r.start, r.doc_id, r.n_tokens) for r in QUERIES["op6_token_files"](spark, folder).collect())
+    none, three = len(library("no key")), len(library("three"))
+    assert got == [(0, None, 1), (1, None, none + 1), (none + 2, 1, 1), (none + 3, 3, three + 1)]
