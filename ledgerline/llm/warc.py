@@ -200,24 +200,46 @@ def read_records(spark: SparkSession, path: str, payload: bool = True) -> DataFr
     return files.mapInArrow(run, RECORD)
 
 
+def _transactions(links: DataFrame, anchors: DataFrame) -> DataFrame:
+    """``(record_id, transaction)``: the transaction of every record that a link leads to, over any number of hops.
+
+    ``links(a, b)`` go both ways. Records beside a response or revisit are settled by one join; only links between
+    different homes, which most archives lack, are followed further.
+    """
+    beside = links.join(anchors.select(F.col("record_id").alias("b")), "b", "left_semi").groupBy("a").agg(F.min("b").alias("home"))
+    beside = beside.join(anchors.select(F.col("record_id").alias("a")), "a", "left_anti")
+    homes = beside.unionByName(anchors.select(F.col("record_id").alias("a"), F.col("record_id").alias("home")))
+    homes = staged(homes.withColumnRenamed("a", "record_id"), "homes")
+    ends = links
+    for end in ("a", "b"):
+        ends = ends.join(homes.select(F.col("record_id").alias(end), F.col("home").alias(f"home_{end}")), end, "left")
+    ends = ends.select(F.coalesce("home_a", "a").alias("a"), F.coalesce("home_b", "b").alias("b"))
+    joined = components(ends.where("a <> b").distinct())
+    nodes = homes.unionByName(links.select(F.col("a").alias("record_id")).distinct().join(homes, "record_id", "left_anti").withColumn("home", F.col("record_id")))
+    nodes = nodes.join(joined.withColumnRenamed("node", "home"), "home", "left")
+    return nodes.select("record_id", F.coalesce("component", "home").alias("transaction"))
+
+
 def captures(records: DataFrame) -> DataFrame:
-    """One row per capture: its ``response`` (or revisit), ``request`` (the first by id) and ``metadata`` records, nested."""
+    """One row per capture: its ``response`` (or revisit), ``request`` (the first by id) and ``metadata`` records, nested.
+
+    A transaction is all that concurrent-to links join, in whatever direction; where it holds several responses, each
+    has its row with the same request and metadata. Records of a transaction without a response have none.
+    """
     records = records.where("record_id is not null").dropDuplicates(["record_id"])
-    anchors = records.where("type in ('response', 'revisit')")
-    others = records.where("type not in ('response', 'revisit')")
-    forth = others.select("record_id", F.explode("concurrent_to").alias("to"))
-    back = anchors.select(F.explode("concurrent_to").alias("record_id"), F.col("record_id").alias("to"))
-    links = forth.unionByName(back).distinct()
-    direct = links.join(anchors.select(F.col("record_id").alias("to")), "to", "left_semi").withColumnRenamed("to", "anchor")
-    second = links.join(direct.withColumnRenamed("record_id", "to"), "to").select("record_id", "anchor")
-    owner = direct.unionByName(second).groupBy("record_id").agg(F.min("anchor").alias("anchor"))
+    known = staged(records.select("record_id", "type", "concurrent_to"), "records")
+    ends = known.select(F.col("record_id").alias("a"), F.explode("concurrent_to").alias("b")).where("a <> b")
+    links = ends.unionByName(ends.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
+    answers = "type in ('response', 'revisit')"
+    owner = _transactions(links, known.where(answers).select("record_id"))
+    anchors, others = records.where(answers), records.where("type not in ('response', 'revisit')")
     whole = F.struct(*records.columns)
     parts = others.select("record_id", "type", whole.alias("whole")).join(owner, "record_id")
-    parts = parts.groupBy("anchor").agg(
+    parts = parts.groupBy("transaction").agg(
         F.min_by(F.when(F.col("type") == "request", F.col("whole")), F.when(F.col("type") == "request", F.col("record_id"))).alias("request"),
         F.collect_list(F.when(F.col("type") == "metadata", F.col("whole"))).alias("metadata"),
     )
-    joined = anchors.select(F.col("record_id").alias("anchor"), whole.alias("response")).join(parts, "anchor", "left")
+    joined = anchors.select("record_id", whole.alias("response")).join(owner, "record_id").join(parts, "transaction", "left")
     return joined.select(
         "response", "request", F.coalesce("metadata", F.array().cast(parts.schema["metadata"].dataType)).alias("metadata")
     )

@@ -67,6 +67,17 @@ def test_foreign_archives(spark, folder):
         list(warc.parse(io.BytesIO(data[:-30])))
 
 
+def test_records_any_number_of_hops_away(spark):
+    """A request names a record that only a third one names, two responses share a request, a pair has no response."""
+    links = {"r1": [], "q1": ["r1"], "m1": ["q1"], "m2": ["m1"], "q2": ["m3"], "r2": ["q2"], "m3": [], "m4": ["m3"], "q3": ["r3", "r4"], "r3": [], "r4": []}
+    links |= {"q9": ["gone"], "m9": ["gone"], "r5": [], "m6": ["m6"]}
+    kinds = {"r": "response", "q": "request", "m": "metadata"}
+    rows = [(i, kinds[i[0]], to) for i, to in links.items()] * 2
+    records = spark.createDataFrame(rows, "record_id string, type string, concurrent_to array<string>")
+    got = {r.response.record_id: (r.request and r.request.record_id, sorted(m.record_id for m in r.metadata)) for r in warc.captures(records).collect()}
+    assert got == {"r1": ("q1", ["m1", "m2"]), "r2": ("q2", ["m3", "m4"]), "r3": ("q3", []), "r4": ("q3", []), "r5": (None, [])}
+
+
 def test_repeats_nulls_and_nothing(spark, folder):
     pages = spark.createDataFrame([(1, "u", "a"), (1, "u", "a"), (None, "u", BIG), (None, "u", BIG)], "page_id long, url string, html string")
     _, rows = round_trip(spark, pages, f"{folder}/w")
