@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from ledgerline import constants as K
 from ledgerline.operators.ordered import bucket_of, explode_range, neighbours
 from ledgerline.operators.scans import in_range, segment_gaps
+from ledgerline.session import shared_folder
 
 
 def block_histogram(
@@ -71,6 +73,22 @@ def duplicates(
     return found if limit is None else found.orderBy(F.desc("n"), *keys).limit(limit)
 
 
+def duplicates_by_fingerprint(df: DataFrame, key: str | Sequence[str]) -> DataFrame:
+    """The rows of ``duplicates`` where almost all keys occur once and are long.
+
+    First only 8 bytes a key are shuffled and counted. Keys whose fingerprint occurs more than once, few but for true
+    duplicates, are then found by a semi join with the stored fingerprints, which the engine broadcasts as long as their
+    table is small, and counted. It scans the key columns twice and shuffles whole keys in proportion to the duplicates.
+    """
+    keys = [key] if isinstance(key, str) else list(key)
+    mark = F.xxhash64(*keys)
+    marks = df.select(mark.alias("_mark")).groupBy("_mark").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("_mark")
+    path = f"{shared_folder(df.sparkSession)}/marks-{uuid.uuid4().hex}"
+    marks.write.parquet(path)
+    suspects = df.sparkSession.read.schema(marks.schema).parquet(path)
+    return duplicates(df.select(*keys, mark.alias("_mark")).join(suspects, "_mark", "left_semi"), keys)
+
+
 def gaps(df: DataFrame, column: str, width: int = K.ORDER_BUCKET) -> DataFrame:
     """Every missing run of numbers between the lowest and the highest.
 

@@ -12,6 +12,7 @@ from ledgerline.operators import translate as T
 from ledgerline.operators import validate
 from ledgerline.operators.bloom import bloom_build
 from ledgerline.plans import views as V
+from ledgerline.plans.keccak_sql import BITS, bloom_sql, digest_views
 from ledgerline.plans.registry import query
 from ledgerline.sources import documents
 from ledgerline.sources.actions import irreversible
@@ -511,9 +512,18 @@ def tx_hash_audit(spark, folder):
     return T.tx_hash_audit(stored).select("block", "trx_index", "ok")
 
 
-@query("bloom_build")
+BLOOM_ITEMS = """bloom_items AS (
+  SELECT DISTINCT block, trx_index,
+         unnest([substr(sha256('c' || supp), 1, 40), sha256('topic' || line), hash]) AS item FROM v_tx)"""
+
+
+@query(
+    "bloom_build",
+    bloom_sql("block, trx_index", "bloom_items"),
+    ("RECURSIVE " + V.V_TX, BLOOM_ITEMS, digest_views("bloom_items"), BITS),
+)
 def build_blooms(spark, folder):
-    """No SQL: Keccak is not an SQL function. Tested against a golden document."""
+    """Its SQL works the digests out by itself, round by round."""
     log = F.struct(
         F.substring(V.sha("c", F.col("supp").cast("string")), 1, 40).alias("address"),
         F.array(V.sha("topic", F.col("line").cast("string")), F.col("hash")).alias("topics"),

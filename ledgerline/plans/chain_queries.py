@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ledgerline import constants as K
 from ledgerline.functions.text import segment_label, segment_of
-from ledgerline.operators import bands, compare, feed, forks, integrity, scans, totals
+from ledgerline.operators import bands, compare, feed, forks, integrity, scans, scroll, totals
 from ledgerline.operators.bloom import bloom_or
 from ledgerline.plans import views as V
 from ledgerline.plans import jobs
@@ -172,6 +172,27 @@ def duplicate_tx(spark, folder):
     return integrity.duplicates(V.transactions(spark, folder), "hash", 0, None, "block")
 
 
+@query("duplicate_tx_marks", "SELECT hash, count(*) AS n FROM v_tx GROUP BY hash HAVING count(*) > 1", (V.V_TX,))
+def duplicate_tx_marks(spark, folder):
+    return integrity.duplicates_by_fingerprint(V.transactions(spark, folder), "hash")
+
+
+@query("duplicate_prices", "SELECT part, price, count(*) AS n FROM v_tx GROUP BY ALL HAVING count(*) > 1", (V.V_TX,))
+def duplicate_prices(spark, folder):
+    """Keys of two columns, of which many repeat."""
+    return integrity.duplicates_by_fingerprint(V.transactions(spark, folder), ["part", "price"])
+
+
+@query(
+    "scroll_slots",
+    "SELECT block // 2000 AS slot, min(block) AS lo, max(block) AS hi, count(*) AS n FROM v_tx GROUP BY 1",
+    (V.V_TX,),
+)
+def scroll_slots(spark, folder):
+    """The slots that a scroll in batches of 2,000 is cut by."""
+    return scroll.slots(V.transactions(spark, folder), "block", 2000)
+
+
 @query(
     "duplicate_tx_top",
     "SELECT hash, count(*) AS n FROM v_tx GROUP BY hash HAVING count(*) > 1 ORDER BY n DESC, hash LIMIT 100",
@@ -671,6 +692,19 @@ def eta(spark, folder):
     return rates.eta(V.arrivals(spark, folder), 1_000_000, 4.0)
 
 
+@query(
+    "eta_measured",
+    """SELECT last, 1000000 - last AS blocks_left, (1000000 - last) / (recent / 10.0::DOUBLE) AS eta_seconds
+       FROM (SELECT max(n) AS last, count(*) FILTER (WHERE s > newest - 10) AS recent
+             FROM (SELECT n, CAST(floor(epoch(ts)) AS BIGINT) AS s,
+                          max(CAST(floor(epoch(ts)) AS BIGINT)) OVER () AS newest FROM v_arrivals))""",
+    (V.V_ARRIVALS,),
+)
+def eta_measured(spark, folder):
+    """At the rate of the last ten seconds that have arrivals behind them."""
+    return rates.eta(V.arrivals(spark, folder), 1_000_000)
+
+
 @query(
     "resume_point",
     f"""SELECT g + {V.DELTA} AS start_block, sha256(CAST(g - 1 AS VARCHAR)) AS prev_hash, 'gap' AS source

@@ -3,13 +3,20 @@
 from __future__ import annotations
 
 import math
+import threading
+from collections import deque
+from datetime import datetime
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQueryListener
 
 from ledgerline import constants as K
 from ledgerline.operators.ordered import neighbours
 
+#: Seconds over which a rate is averaged.
+RATE_SECONDS = 10
+
 
 def _seconds(text: str) -> int:
     amount, unit = text.split()
@@ -77,17 +84,95 @@ def eta(df: DataFrame, target: int, per_second: float | None = None, column: str
         top = df.agg(F.max(column).alias("last"))
         rate = F.lit(float(per_second))
     else:
+        # One scan: arrivals per second; the newest ten seconds and the highest number are eleven rows at most.
         at = F.unix_seconds(F.col(ts).cast("timestamp"))
-        newest = df.agg(F.max(at).alias("newest")).first().newest
-        recent = F.count(F.when(at > F.lit(newest) - 10, 1))
-        top = df.agg(F.max(column).alias("last"), recent.alias("recent"))
-        rate = F.col("recent") / 10
+        counted = df.groupBy(at.alias("at")).agg(F.count(F.lit(1)).alias("rows"), F.max(column).alias("last"))
+        highest = counted.agg(F.max("last").alias("last"))
+        latest = counted.where("at is not null").orderBy(F.desc("at")).limit(RATE_SECONDS)
+        few = latest.select("at", "rows").unionByName(highest, allowMissingColumns=True)
+        top = few.agg(F.max("last").alias("last"), F.max("at").alias("newest"), F.collect_list(F.struct("at", "rows")).alias("each"))
+        recent = F.filter("each", lambda x: x["at"] > F.col("newest") - RATE_SECONDS)
+        rate = F.aggregate(recent, F.lit(0).cast("bigint"), lambda total, x: total + x["rows"]) / RATE_SECONDS
     left = F.lit(target) - F.col("last")
     return top.select(
         "last", left.alias("blocks_left"), F.when(rate > 0, left / rate).alias("eta_seconds")
     )
 
 
+OBSERVED = "ledger_rate"
+
+
+def observed(df: DataFrame, column: str = "n") -> DataFrame:
+    """``df`` whose rows are counted on their way: no scan of its own."""
+    return df.observe(OBSERVED, F.count(F.lit(1)).alias("rows"), F.max(column).alias("last"))
+
+
+class LiveRate(StreamingQueryListener):
+    """Rate, distance to a target and stalls of a running stream, from the counts that ``observed`` adds to it.
+
+    Each batch counts its rows evenly over the time it took. The rate is the average of the last ``seconds``; older batches
+    are forgotten, so what is kept doesn't grow. ``spark.streams.addListener(rate)`` starts it.
+    """
+
+    def __init__(self, seconds: float = RATE_SECONDS):
+        self.seconds = seconds
+        self.last: int | None = None
+        self._batches: deque[tuple[float, float, int]] = deque()
+        self._seen: float | None = None
+        self._lock = threading.Lock()
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        found = event.progress.observedMetrics.get(OBSERVED)
+        if found is None:
+            return
+        began = datetime.fromisoformat(event.progress.timestamp.replace("Z", "+00:00")).timestamp()
+        self.add(began, began + event.progress.batchDuration / 1000, found.rows, found.last)
+
+    def add(self, began: float, ended: float, rows: int, last: int | None) -> None:
+        """A batch of ``rows`` rows, and the highest number among them."""
+        with self._lock:
+            if rows:
+                self.last = last if self.last is None else max(self.last, last)
+                self._batches.append((began, ended, rows))
+            self._seen = ended if self._seen is None else max(self._seen, ended)
+            while self._batches and self._batches[0][1] < self._seen - self.seconds and len(self._batches) > 1:
+                self._batches.popleft()
+
+    def per_second(self) -> float:
+        """Rows per second over the window that ends with the newest batch, an empty one included."""
+        with self._lock:
+            if self._seen is None:
+                return 0.0
+            floor, total = self._seen - self.seconds, 0.0
+            for began, ended, rows in self._batches:
+                if ended > began:
+                    total += rows * max(0.0, ended - max(began, floor)) / (ended - began)
+                elif ended > floor:
+                    total += rows
+            return total / self.seconds
+
+    def eta(self, target: int) -> tuple[int | None, float | None]:
+        """Blocks left to ``target`` and the seconds they take; None where nothing arrived, or nothing lately."""
+        if self.last is None:
+            return None, None
+        left, rate = target - self.last, self.per_second()
+        return left, (left / rate if rate > 0 else None)
+
+    def stalled_for(self, now: float) -> float | None:
+        """Seconds since the last batch that held rows."""
+        with self._lock:
+            return now - self._batches[-1][1] if self._batches else None
+
+
 def resume_point(
     blocks: DataFrame,
     gaps: DataFrame,

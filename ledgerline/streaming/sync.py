@@ -16,14 +16,15 @@ from pyspark.sql import functions as F
 
 from ledgerline import constants as K
 from ledgerline import schemas as S
-from ledgerline.operators.feed import head_feed
+from ledgerline.operators.feed import head_feed, in_sending_order
 from ledgerline.operators.forks import canonical_chain, fork_events
 from ledgerline.operators.totals import assemble_blocks
 from ledgerline.operators.translate import translate_actions
 from ledgerline.sources import tables
 from ledgerline.sources.actions import whitelisted
+from ledgerline.sources.feed import send
 from ledgerline.sources.ledger import ACTIONS, HEADERS, read_ledger
-from ledgerline.streaming import gate
+from ledgerline.streaming import gate, rates
 
 SYNC, HEAD = "sync", "head"
 KEPT_NOTES = 8
@@ -196,7 +197,7 @@ def _store(
         notice = tables.append_staged_blocks(blocks, new_txs, errors, folder, S.BLOCKS, S.TRANSACTIONS, contiguous=True)
         if feed_path is not None:
             feed = head_feed(blocks, new_txs.select(*S.TRANSACTIONS.names), documents=True)
-            feed.write.mode("overwrite").parquet(f"{feed_path}/batch={batch_id}")
+            send(in_sending_order(feed), feed_path, batch_id)
     if on_write is not None:
         on_write(*notice)
 
@@ -215,7 +216,8 @@ def ledger_writer(
 
     Blocks that are final get the actions that the ledger folder ``path`` holds for them. Dropped jumps (and later their
     refilling) go to ``gaps``, blocks of forks below the last final block to ``late``, one folder a batch, so that
-    a batch that runs again replaces its own rows.
+    a batch that runs again replaces its own rows. Messages go to the feed at ``feed_path`` once a batch, under the number that the
+    checkpoint gives it: a new checkpoint needs a new feed.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -271,18 +273,23 @@ def sync_ledger(
     stop: int | None = None,
     mode: str | None = None,
     interval: str = "1 second",
+    rate: rates.LiveRate | None = None,
     **options,
 ):
     """Follow a ledger folder into the tables of ``folder``; returns the running query.
 
     ``window`` (seconds) is how far back a reorganisation may reach: younger blocks are held back, so that forks inside it touch no stored
     file. Without one a fork purges what was stored. ``mode`` None picks SYNC until the stored chain is near the
-    ledger's head and HEAD from then on; a run in SYNC mode ends with what is there. ``options`` go to ``ledger_writer``.
+    ledger's head and HEAD from then on; a run in SYNC mode ends with what is there. ``rate`` learns how many
+    arrivals pass, and the highest. ``options`` go to ``ledger_writer``.
     """
     heads = read_ledger(spark, path, stream=True, rows=HEADERS, start=start, stop=stop)
     arrivals = heads.select(
         F.lit("").alias("chain_id"), "arrival_seq", F.col("block_num").alias("n"), F.col("block_ts").alias("ts"), F.col("block_id").alias("native_hash")
     )
+    if rate is not None:
+        spark.streams.addListener(rate)
+        arrivals = rates.observed(arrivals)
     verdicts = gate.sequence_gate(arrivals, start, window, stop)
     write = ledger_writer(path, accounts, folder, delta, **options)
     if mode is not None:

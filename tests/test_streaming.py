@@ -1,5 +1,6 @@
 import json
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -7,6 +8,7 @@ from pyspark.sql import functions as F
 from golden import SEQUENCES
 from ledgerline import schemas as S
 from ledgerline.operators import forks, integrity
+from ledgerline.sources.feed import read_feed
 from ledgerline.streaming import gate, rates, sync
 from test_forks import log, replay
 from test_translate import accounts, frame, transfer
@@ -104,7 +106,7 @@ def test_sync_resolves_forks_inside_and_across_batches(spark, folder, cuts):
     ]
     assert logged == events
     assert len(notices) == len(parts) and notices[-1][1] == 7
-    assert spark.read.parquet(folder + "/feed").where("type = 'head'").count() >= len(stored)
+    assert read_feed(spark, folder + "/feed").where("type = 'head'").count() >= len(stored)
     report = integrity.integrity_report(
         spark.read.parquet(folder + "/out/blocks"), spark.read.parquet(folder + "/out/transactions"), DELTA
     )
@@ -172,6 +174,41 @@ def test_stalls_and_eta(spark):
     assert tuple(rates.eta(df, 108).first()) == (8, 100, 500.0)
 
 
+def test_live_rate_of_batches():
+    live = rates.LiveRate(10)
+    assert (live.per_second(), live.eta(100), live.stalled_for(5)) == (0.0, (None, None), None)
+    live.add(0, 2, 40, 40)
+    live.add(2, 4, 60, 90)  # a fork: the highest number is below what came before
+    assert live.per_second() == 10.0 and live.eta(190) == (100, 10.0)
+    live.add(4, 24, 200, 300)  # half of it lies in the window
+    assert live.per_second() == 10.0 and live.last == 300
+    live.add(30, 30, 10, 301)
+    assert live.per_second() == (200 * 4 / 20 + 10) / 10
+    live.add(49, 50, 0, None)
+    assert live.per_second() == 0.0 and live.eta(401) == (100, None) and live.stalled_for(55) == 25
+    for i in range(1000):
+        live.add(60 + i, 61 + i, 1, 400 + i)
+    assert len(live._batches) < 20
+
+
+def test_live_rate_of_a_stream(spark, folder):
+    df = spark.createDataFrame([(i, 100 + i) for i in range(20)], "arrival_seq bigint, n bigint")
+    files(df, folder + "/in", ["arrival_seq < 15", "arrival_seq >= 15"])
+    live = rates.LiveRate(600)
+    spark.streams.addListener(live)
+    try:
+        source = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(folder + "/in")
+        stored = drain(rates.observed(source), folder, "observed")
+        for _ in range(100):  # events come a little later
+            if live.per_second() * 600 > 19.9:
+                break
+            time.sleep(0.1)
+    finally:
+        spark.streams.removeListener(live)
+    assert stored.count() == 20 and live.last == 119
+    assert live.per_second() == pytest.approx(20 / 600) and live.eta(219)[0] == 100
+
+
 def test_resume_point(spark):
     blocks = spark.createDataFrame(
         [(n, f"h{n}", f"h{n - 1}") for n in (10, 11, 12, 15, 16)], "block_num bigint, evm_hash string, evm_prev_hash string"
@@ -191,7 +228,7 @@ def test_resume_point(spark):
 def test_feed_is_json(spark, folder):
     write = sync.batch_writer(accounts(spark), folder, DELTA, per_segment=4, feed_path=folder + "/feed")
     write(arrivals(spark, [2, 3]), 0)
-    messages = [(row.type, json.loads(row.message)) for row in spark.read.parquet(folder + "/feed").collect()]
+    messages = [(row.type, json.loads(row.message)) for row in read_feed(spark, folder + "/feed").collect()]
     assert all(message["type"] == type_ for type_, message in messages)
     stored = {r.hash: r for r in spark.read.schema(S.TRANSACTIONS).parquet(folder + "/transactions").collect()}
     raw = [message["data"] for type_, message in messages if type_ == "raw"]
