@@ -34,45 +34,85 @@ def check(spark: SparkSession, folder: str, delta: int) -> DataFrame:
     return integrity_report(*read_chain(spark, folder), delta)
 
 
-SUMMARIES = "summaries"
+SUMMARIES = "segment_summaries"
+#: Batches of summaries that may lie side by side; one more, and all are written anew as one.
+SUMMARY_BATCHES = 16
 
 
 def check_changed(spark: SparkSession, folder: str, delta: int) -> tuple[DataFrame, list[int]]:
     """Findings of the full check, and the segments that were read for them.
 
-    Summaries lie beside the tables, one folder a segment and table. A segment is summarised again if its files are others than those
-    its summary was made of; summaries of dropped segments go. A lost run leaves old or no summaries, never wrong ones,
-    as the note of a segment's files is written last.
+    Summaries lie beside the tables, one folder a table and batch, however many segments a batch holds. A segment is
+    summarised again if its files are others than those its summary was made of; what counts is its last note, which for
+    a dropped segment names no files. A lost run leaves old or no summaries, never wrong ones, as the notes of a batch
+    are written last.
     """
     blocks, txs = read_chain(spark, folder)
     place = f"{folder}/{SUMMARIES}"
-    now = {}
-    for name in ("blocks", "transactions"):
-        for segment, files in tables.segment_files(spark, f"{folder}/{name}").items():
-            now[segment] = f"{now.get(segment, '')}{name}\n{files}\n"
-    notes = tables.read_table(spark, f"{place}/notes", NOTES)
-    known = {row.segment: row.files for row in notes.collect()}
-    changed = sorted(s for s, files in now.items() if known.get(s) != files)
-    stale = sorted({*changed, *(s for s in known if s not in now)})
-    tables.drop_segments(spark, f"{place}/notes", stale)
-    names = (summaries.RUNS, summaries.EXTRA, summaries.DELTA, summaries.MARKS, summaries.SEGMENTS)
-    for name in names:
-        tables.drop_segments(spark, f"{place}/{name}", stale)
-    if changed:
-        own = F.col("segment").isin(changed)
-        made = summaries.summarise(blocks.where(own), txs.where(own), delta)
-        for name, rows in made.items():
-            rows.write.mode("append").partitionBy("segment").parquet(f"{place}/{name}")
-        lines = spark.createDataFrame([(now[s], s) for s in changed], NOTES)
-        lines.coalesce(1).write.mode("append").partitionBy("segment").parquet(f"{place}/notes")
-    stored = {name: tables.read_table(spark, f"{place}/{name}", form) for name, form in zip(names, FORMS, strict=True)}
+    now = tables.segment_files(spark, {name: f"{folder}/{name}" for name in ("blocks", "transactions")})
+    known = _current(spark, place).withColumnRenamed("files", "known")
+    both = now.join(known, "segment", "full").select("segment", "files", "known").where("not files <=> known")
+    differing = {row.segment: row.files for row in both.collect()}
+    changed = sorted(s for s, files in differing.items() if files is not None)
+    if differing:
+        _add_batch(spark, place, blocks, txs, differing, delta)
+    current = _current(spark, place).where("files is not null")
+    stored = {name: _summary(spark, place, name, current) for name in FORMS}
     doubtful = summaries.suspects(stored[summaries.MARKS])
     places = sorted(row.segment for row in doubtful.select("segment").distinct().collect())
-    held = txs.where(F.col("segment").isin(places)).withColumn("mark", F.xxhash64("hash"))
-    held = held.join(doubtful.select("mark").distinct(), "mark", "left_semi")
+    held = txs.where(F.col("segment").isin(places)) if len(places) < current.count() else txs
+    held = held.withColumn("mark", F.xxhash64("hash")).join(doubtful.select("mark").distinct(), "mark", "left_semi")
     return summaries.report(stored, held, delta), sorted({*changed, *places})
 
 
+def _add_batch(
+    spark: SparkSession, place: str, blocks: DataFrame, txs: DataFrame, differing: dict[int, str | None], delta: int
+) -> None:
+    """Summaries of the segments that changed, as one more batch; with those of all others if there are too many batches.
+
+    The few columns of blocks that summaries need are staged: they are read once for several tables.
+    """
+    changed = [s for s, files in differing.items() if files is not None]
+    own = F.col("segment").isin(changed)
+    batches = {name: tables.numbered_folders(spark, f"{place}/{name}", "batch=") for name in (*FORMS, NOTED)}
+    batch = max((n for found in batches.values() for n in found), default=-1) + 1
+    merged = len(batches[NOTED]) >= SUMMARY_BATCHES
+    notes = spark.createDataFrame([(files, s) for s, files in differing.items()], NOTES)
+    old = _current(spark, place).join(notes, "segment", "left_anti") if merged else None
+    with tables.staged(blocks.where(own).select("segment", "block_num", "evm_block_num")) as numbers:
+        for name, rows in summaries.summarise(numbers, txs.where(own), delta).items():
+            rows = rows.select(*FORMS[name].names)
+            if merged:
+                rows = rows.unionByName(_summary(spark, place, name, old))
+            rows.write.mode("overwrite").parquet(f"{place}/{name}/batch={batch}")
+    if merged:
+        notes = notes.where("files is not null").unionByName(old.select("files", "segment"))
+    notes.coalesce(1).write.mode("overwrite").parquet(f"{place}/{NOTED}/batch={batch}")
+    if merged:
+        for name, found in batches.items():
+            for n in found:
+                tables.drop_folder(spark, f"{place}/{name}/batch={n}")
+
+
+def _batched(spark: SparkSession, place: str, name: str, form: S.T.StructType) -> DataFrame:
+    return tables.read_table(spark, f"{place}/{name}", S.T.StructType([*form.fields, S.T.StructField("batch", S.T.LongType())]))
+
+
+def _current(spark: SparkSession, place: str) -> DataFrame:
+    """``(segment, batch, files)`` of each segment's last note."""
+    last = F.max_by(F.struct("batch", "files"), "batch").alias("last")
+    notes = _batched(spark, place, NOTED, NOTES).groupBy("segment").agg(last)
+    return notes.select("segment", "last.batch", "last.files")
+
+
+def _summary(spark: SparkSession, place: str, name: str, current: DataFrame) -> DataFrame:
+    """Rows of one table of the summaries, of the batch that counts for their segment."""
+    form = FORMS[name]
+    rows = _batched(spark, place, name, form).join(current.select("segment", "batch"), ["segment", "batch"], "left_semi")
+    return rows.select(*form.names)
+
+
+NOTED = "notes"
 NOTES = S.T.StructType([S.T.StructField("files", S.T.StringType()), S.T.StructField("segment", S.T.LongType())])
 
 
@@ -80,13 +120,13 @@ def _form(*names: str):
     return S.T.StructType([S.T.StructField(name, S.T.LongType()) for name in (*names, "segment")])
 
 
-FORMS = (
-    _form("lo", "hi"),
-    _form("evm_block_num", "more"),
-    _form("block_num", "evm_block_num", "found_delta"),
-    _form("mark", "n"),
-    _form("n"),
-)
+FORMS = {
+    summaries.RUNS: _form("lo", "hi"),
+    summaries.EXTRA: _form("evm_block_num", "more"),
+    summaries.DELTA: _form("block_num", "evm_block_num", "found_delta"),
+    summaries.MARKS: _form("mark", "n"),
+    summaries.SEGMENTS: _form("n"),
+}
 
 
 def start_point(

@@ -80,14 +80,26 @@ def numbered_folders(spark: SparkSession, path: str, start: str) -> list[int]:
     return sorted(int(name.removeprefix(start)) for name in names if name.startswith(start))
 
 
-def segment_files(spark: SparkSession, path: str) -> dict[int, str]:
-    """What a folder listing says of the files of each segment: names, sizes and times as one text."""
-    out = {}
-    for segment in stored_segments(spark, path):
-        fs, folder = _fs(spark, f"{path}/segment={segment}")
-        files = [f for f in fs.listStatus(folder) if not f.getPath().getName().startswith(("_", "."))]
-        out[segment] = "\n".join(sorted(f"{f.getPath().getName()} {f.getLen()} {f.getModificationTime()}" for f in files))
-    return out
+def segment_files(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
+    """``(segment, files)``: a digest of what the file listing says of each segment, over tables given by name.
+
+    Names, sizes and times of the files; no file is opened. The listing is made by tasks, not one folder after another.
+    """
+    listed = [
+        spark.read.format("binaryFile").load(path).select(
+            F.col("segment").cast("bigint").alias("segment"),
+            F.concat_ws(" ", F.lit(name), F.element_at(F.split("path", "/"), -1), "length", F.unix_millis("modificationTime")).alias("file"),
+        )
+        for name, path in paths.items()
+        if stored_segments(spark, path)
+    ]
+    if not listed:
+        return spark.createDataFrame([], "segment bigint, files string")
+    found = listed[0]
+    for more in listed[1:]:
+        found = found.unionByName(more)
+    digest = F.sha2(F.array_join(F.sort_array(F.collect_list("file")), "\n"), 256)
+    return found.where("segment is not null").groupBy("segment").agg(digest.alias("files"))
 
 
 def drop_folder(spark: SparkSession, path: str) -> None:

@@ -89,3 +89,33 @@ def test_compare_by_digests(spark):
     assert found(compare.compare_by_digests(left, left, "n", part)) == []
     apart = compare.differing_parts(left.withColumn("p", part), right.withColumn("p", part), ["p"], left.columns)
     assert sorted(r.p for r in apart.collect()) == [0, 5, 6, 12]
+
+
+def test_summaries_are_one_folder_a_batch_whatever_the_segments(spark, folder):
+    """Before there was a folder a segment and table, with a file a task in each."""
+    blocks, txs = stored(spark, *odd(3))
+    for part in range(4):
+        for name, df, order in (("blocks", blocks, ("segment", "block_num")), ("transactions", txs, ("segment", "block"))):
+            tables.write_table(df.where(f"segment % 4 = {part}"), f"{folder}/{name}", order)
+        report, _ = jobs.check_changed(spark, folder, DELTA)
+    assert found(report) == found(integrity_report(blocks, txs, DELTA))
+    place = f"{folder}/{jobs.SUMMARIES}"
+    for name in (*jobs.FORMS, jobs.NOTED):
+        assert tables.numbered_folders(spark, f"{place}/{name}", "batch=") == [0, 1, 2, 3]
+        assert tables.stored_segments(spark, f"{place}/{name}") == []
+
+
+def test_many_batches_of_summaries_become_one(spark, folder, monkeypatch):
+    monkeypatch.setattr(jobs, "SUMMARY_BATCHES", 2)
+    blocks, txs = stored(spark, *odd(5))
+    for part in range(5):
+        now = f"segment % 5 = {part}"
+        tables.write_table(blocks.where(now), f"{folder}/blocks", ("segment", "block_num"))
+        tables.write_table(txs.where(now), f"{folder}/transactions", ("segment", "block"))
+        _, read = jobs.check_changed(spark, folder, DELTA)
+        assert {s for s in read if s % 5 != part} <= {0, 9}  # where a hash occurs twice
+    tables.drop_segments(spark, f"{folder}/blocks", [1])
+    tables.drop_segments(spark, f"{folder}/transactions", [1])
+    report, _ = jobs.check_changed(spark, folder, DELTA)
+    assert found(report) == found(integrity_report(blocks.where("segment <> 1"), txs.where("segment <> 1"), DELTA))
+    assert len(tables.numbered_folders(spark, f"{folder}/{jobs.SUMMARIES}/{jobs.NOTED}", "batch=")) <= 2
