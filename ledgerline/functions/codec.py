@@ -8,7 +8,9 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -165,6 +167,21 @@ def _bloom_udf(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         yield pd.Series(out, dtype=object)
 
 
+@F.arrow_udf(T.ArrayType(T.LongType()))
+def _words_udf(blooms: pa.Array) -> pa.Array:
+    width = BLOOM_BYTES // 8
+    whole = blooms.drop_null()
+    words = np.frombuffer(b"".join(whole.to_pylist()), dtype=">i8").astype("<i8")
+    ends = np.concatenate([[0], np.cumsum(np.asarray(blooms.is_valid()), dtype=np.int64)]) * width
+    offsets = pa.array(ends, type=pa.int32(), mask=np.append(np.asarray(blooms.is_null()), False))
+    return pa.ListArray.from_arrays(offsets, pa.array(words))
+
+
+def bloom_words(data: Column) -> Column:
+    """256 bytes as 32 LONGs; NULL gives NULL."""
+    return _words_udf(data)
+
+
 def decode_legacy(raw: Column) -> Column:
     """Serialized legacy transaction (hex text) to a struct; ``error`` says why not."""
     return _decode_udf(raw)

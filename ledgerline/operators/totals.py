@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline import constants as K
-from ledgerline.operators.bloom import EMPTY_BLOOM, bloom_union
+from ledgerline.operators.bloom import EMPTY_BLOOM, bloom_union, with_words
 from ledgerline.operators.ordered import bucket_of, running_totals
 from ledgerline.operators.scans import in_range, with_segment
 
@@ -39,7 +39,7 @@ def tx_totals(
     txs: DataFrame, by: str = "block", size: Column | None = None, bloom: bool = False
 ) -> DataFrame:
     """Gas, size and count per block that has transactions, and its bloom if wanted."""
-    return txs.groupBy(by).agg(
+    return (with_words(txs) if bloom else txs).groupBy(by).agg(
         F.sum("gasused").alias("gas_used"),
         F.sum(F.lit(0) if size is None else size).cast("bigint").alias("size"),
         F.count(F.lit(1)).alias("tx_count"),
