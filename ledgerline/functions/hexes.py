@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline import constants as K
@@ -16,6 +18,20 @@ def to_hex(data: Column) -> Column:
     return F.coalesce(F.lower(F.hex(data)), F.lit(""))
 
 
+def packed(df: DataFrame, names: Sequence[str]) -> DataFrame:
+    """Hex text as bytes, half as long, for a shuffle; what isn't plain lower-case hex stays text. ``unpacked`` undoes it."""
+    for name in names:
+        data, text = F.unhex(F.col(name)), F.col(name)
+        df = df.withColumn(f"_packed_{name}", F.when(F.lower(F.hex(data)) == text, data))
+        df = df.withColumn(name, F.when(F.col(f"_packed_{name}").isNull(), text))
+    return df
+
+
+def unpacked(df: DataFrame, names: Sequence[str]) -> DataFrame:
+    texts = {name: F.coalesce(F.lower(F.hex(f"_packed_{name}")), F.col(name)) for name in names}
+    return df.withColumns(texts).drop(*[f"_packed_{name}" for name in names])
+
+
 def strip_0x(text: Column) -> Column:
     return F.regexp_replace(text, "^0x", "")
 

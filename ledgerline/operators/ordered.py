@@ -14,6 +14,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ledgerline import constants as K
+from ledgerline.functions.hexes import packed, unpacked
 
 _BUCKET = "_bucket"
 
@@ -25,15 +26,16 @@ def bucket_of(position: Column, width: int) -> Column:
 
 
 def running_totals(
-    df: DataFrame, by: str, order: Sequence[str], spread: Column, measures: dict[str, Column]
+    df: DataFrame, by: str, order: Sequence[str], spread: Column, measures: dict[str, Column], hexes: Sequence[str] = ()
 ) -> DataFrame:
     """Inclusive running sum of each measure per ``by``, in ``order``.
 
     ``spread`` is a LONG that never falls along the order and cuts every key into buckets. The
     buckets are summed in parallel; a bucket that isn't the first of its key starts
     from the total of those before it. Most keys are one bucket and get no offset row.
+    Columns of ``hexes``, which the order and the measures don't need, are shuffled as bytes.
     """
-    cut = df.withColumn(_BUCKET, spread.cast("bigint"))
+    cut = packed(df.withColumn(_BUCKET, spread.cast("bigint")), hexes)
     inner = W.partitionBy(by, _BUCKET).orderBy(*order).rowsBetween(W.unboundedPreceding, W.currentRow)
     local = cut.withColumns({name: F.sum(value).over(inner) for name, value in measures.items()})
 
@@ -44,9 +46,10 @@ def running_totals(
     offsets = parts.select(by, _BUCKET, place.alias("_place"), *[F.sum(s).over(before).alias(s) for s in sums.values()])
     offsets = offsets.where("_place > 1").drop("_place")
     joined = local.join(offsets, [by, _BUCKET], "left")
-    return joined.withColumns(
+    totals = joined.withColumns(
         {name: F.col(name) + F.coalesce(F.col(sums[name]), F.lit(0)) for name in measures}
     ).drop(_BUCKET, *sums.values())
+    return unpacked(totals, hexes)
 
 
 def neighbours(

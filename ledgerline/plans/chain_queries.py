@@ -7,6 +7,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from ledgerline import constants as K
+from ledgerline.functions.hexes import packed, unpacked
 from ledgerline.functions.text import segment_label, segment_of
 from ledgerline.operators import bands, compare, feed, forks, integrity, scans, scroll, totals
 from ledgerline.operators.bloom import bloom_or
@@ -511,10 +512,12 @@ def create_only_append(spark, folder):
     sent = V.indexed(spark, folder).select("block", "trx_index", "hash", "segment")
     early = V.blocks(spark, folder).where("o_orderstatus = 'F'").select(F.col("evm_block_num").alias("block"))
     order = ("segment", "block", "trx_index")
-    path = _table(spark, sent.join(early, "block", "left_semi"), order)
-    stored = tables.read_table(spark, path, sent.schema)
-    with tables.staged(tables.new_rows(sent, stored, "block")) as new:
-        tables.append_create_only(new, path, sent.schema, ("block", "trx_index"), order)
+    with tables.staged(sent) as sent:
+        early_rows = unpacked(packed(sent, ["hash"]).join(early, "block", "left_semi"), ["hash"])
+        path = _table(spark, early_rows, order)
+        stored = tables.read_table(spark, path, sent.schema)
+        with tables.staged(tables.new_rows(sent, stored, "block")) as new:
+            tables.append_create_only(new, path, sent.schema, ("block", "trx_index"), order)
     return tables.read_table(spark, path, sent.schema).select("block", "trx_index", "hash")
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.functions import codec
 from ledgerline.functions.text import segment_of
-from ledgerline.operators.ordered import running_totals
+from ledgerline.operators.ordered import bucket_of, running_totals
 from ledgerline.session import use_utc
 
 DELTA = 36
@@ -102,9 +102,9 @@ V_TX = f"""v_tx AS (
         FROM lineitem))"""
 
 
-def ship_day() -> Column:
-    """Rises with the transaction order and spreads a block over many days."""
-    return F.unix_date(F.col("ts").cast("date")).cast("bigint")
+def ship_term() -> Column:
+    """Rises with the transaction order and spreads a block over many terms; most blocks lie in one or two."""
+    return bucket_of(F.unix_date(F.col("ts").cast("date")).cast("bigint"), 128)
 
 
 def indexed(spark: SparkSession, folder: str, **measures: Column) -> DataFrame:
@@ -113,8 +113,9 @@ def indexed(spark: SparkSession, folder: str, **measures: Column) -> DataFrame:
         transactions(spark, folder),
         "block",
         TX_ORDER,
-        ship_day(),
+        ship_term(),
         {"trx_index": F.lit(1).cast("bigint"), **measures},
+        ["hash"],
     )
     return ranked.withColumn("trx_index", F.col("trx_index") - 1)
 

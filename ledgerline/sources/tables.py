@@ -16,12 +16,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerline import constants as K
+from ledgerline.functions.hexes import packed, unpacked
 from ledgerline.operators.scans import batch_range
 from ledgerline.session import shared_folder
 
 BLOCK_ORDER = ("segment", "block_num")
 TRANSACTION_ORDER = ("segment", "block", "trx_index")
 ROWS_PER_FILE = 5_000_000
+COMPRESSION = "zstd"  # halves hex text
+#: Columns that are mostly hex and never part of an order; shuffled as bytes.
+HEX = ("hash", "block_hash", "evm_hash", "evm_prev_hash", "native_hash", "receipts_root", "transactions_root", "logs_bloom")
 _REPLACE = "_replace-"
 
 
@@ -34,7 +38,7 @@ def staged(df: DataFrame):
     """
     spark = df.sparkSession
     folder = f"{shared_folder(spark)}/staged-{uuid.uuid4().hex}"
-    df.write.parquet(folder)
+    df.write.option("compression", COMPRESSION).parquet(folder)
     try:
         yield spark.read.schema(df.schema).parquet(folder)
     finally:
@@ -120,6 +124,12 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFram
     return spark.read.schema(schema).parquet(path)
 
 
+def hex_columns(df: DataFrame, others: Sequence[str]) -> list[str]:
+    """Columns of hex text that aren't among ``others``, the columns compared or ordered by."""
+    texts = [field.name for field in df.schema.fields if isinstance(field.dataType, T.StringType)]
+    return [name for name in texts if name in HEX and name not in others]
+
+
 def write_table(
     df: DataFrame, path: str, order: Sequence[str], mode: str = "append", files: int | None = None
 ) -> None:
@@ -128,10 +138,13 @@ def write_table(
     Rows are range partitioned on the full order: a segment, or a block, that holds
     most of the batch is still written by many tasks.
     """
-    ordered = df.repartitionByRange(files, *order) if files else df.repartitionByRange(*order)
+    hexes = hex_columns(df, order)
+    rows = packed(df, hexes)
+    ordered = rows.repartitionByRange(files, *order) if files else rows.repartitionByRange(*order)
     (
-        ordered.sortWithinPartitions(*order)
+        unpacked(ordered.sortWithinPartitions(*order), hexes)
         .write.mode(mode)
+        .option("compression", COMPRESSION)
         .option("maxRecordsPerFile", ROWS_PER_FILE)
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("segment")
@@ -150,7 +163,8 @@ def key_clashes(new: DataFrame, target: DataFrame, key: str | Sequence[str]) ->
 def new_rows(new: DataFrame, target: DataFrame, key: str | Sequence[str]) -> DataFrame:
     """Rows of ``new`` whose key is not stored yet (for re-sent blocks)."""
     keys = [key] if isinstance(key, str) else list(key)
-    return new.join(target.select(*keys), keys, "left_anti")
+    hexes = hex_columns(new, keys)
+    return unpacked(packed(new, hexes).join(target.select(*keys), keys, "left_anti"), hexes)
 
 
 def append_create_only(
