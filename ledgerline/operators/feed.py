@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline import constants as K
-from ledgerline.functions.hexes import add_0x, long_to_hex, num_to_hex
+from ledgerline.functions.hexes import add_0x, long_to_hex, num_to_hex, packed, unpacked
 from ledgerline.functions.text import epoch_seconds
 from ledgerline.sources.documents import document
 
@@ -22,7 +22,8 @@ def head_messages(blocks: DataFrame, txs: DataFrame | None = None) -> DataFrame:
         last = txs.groupBy(F.col("block").alias("evm_block_num")).agg(
             F.max_by("gasusedblock", "trx_index").alias("_gas")
         )
-        source = blocks.join(last, "evm_block_num", "left")
+        hexes = ["native_hash", "evm_hash", "evm_prev_hash", "receipts_root", "transactions_root", "logs_bloom"]
+        source = unpacked(packed(blocks, hexes).join(last, "evm_block_num", "left"), hexes)
     head = F.struct(
         F.lit("0x0").alias("difficulty"),
         add_0x(F.col("native_hash")).alias("extraData"),

@@ -64,3 +64,19 @@ def test_streams_in_and_out(spark, folder):
         os.remove(f"{folder}/checkpoint-in/commits/{name}")
     assert advance([5]) == [1, 2, 3, 4, 5]
     assert [json.load(open(f"{sent}/batches/{b}.json"))["rows"] for b in Outbox(sent).committed()] == [3, 1, 1]
+
+
+def test_heads_meet_their_gas_with_hashes_as_bytes(spark):
+    """Hashes went through the shuffle as text, twice as long."""
+    from pyspark.sql import functions as F
+
+    from ledgerline.operators import feed
+
+    names = ("native_hash", "evm_hash", "evm_prev_hash", "receipts_root", "transactions_root", "logs_bloom")
+    texts = ["ab", "AB", "0xab", "", "abc", "00"]
+    blocks = spark.createDataFrame([(1, *texts), (2, *texts[::-1])], "evm_block_num bigint, " + ", ".join(f"{n} string" for n in names))
+    blocks = blocks.withColumn("ts", F.lit(0).cast("timestamp")).withColumn("gas_used", F.lit(7))
+    txs = spark.createDataFrame([(1, 0, 3), (1, 1, 7), (2, 0, 7)], "block bigint, trx_index bigint, gasusedblock bigint")
+    joined = feed.head_messages(blocks, txs)
+    assert sorted(map(tuple, joined.collect())) == sorted(map(tuple, feed.head_messages(blocks).collect()))
+    assert "unhex" in joined._jdf.queryExecution().optimizedPlan().toString()
