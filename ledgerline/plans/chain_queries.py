@@ -657,8 +657,11 @@ HEAD_JSON = """'{"type":"head","data":{"difficulty":"0x0","extraData":"0x' || b.
 )
 def head_feed(spark, folder):
     blocks = V.blocks(spark, folder).withColumn("logs_bloom", F.lit("0" * 512))
-    txs = V.indexed(spark, folder, gasusedblock=F.col("gasused"))
-    messages = feed.head_feed(blocks, txs.select("block", "trx_index", "hash", "gasusedblock"))
+    ranked = V.indexed(spark, folder, gasusedblock=F.col("gasused")).select("block", "trx_index", "hash", "gasusedblock")
+    # Messages and heads both read the ranked transactions: written once, they are ranked once.
+    path = f"{shared_folder(spark)}/query-{uuid.uuid4().hex}"
+    ranked.write.option("compression", tables.COMPRESSION).parquet(path)
+    messages = feed.head_feed(blocks, spark.read.schema(ranked.schema).parquet(path))
     return messages.withColumn("trx_index", F.coalesce("trx_index", F.lit(-1)))
 
 

@@ -102,9 +102,15 @@ V_TX = f"""v_tx AS (
         FROM lineitem))"""
 
 
+def ship_day() -> Column:
+    """Rises with the transaction order and spreads a block over many days."""
+    return F.unix_date(F.col("ts").cast("date")).cast("bigint")
+
+
 def ship_term() -> Column:
-    """Rises with the transaction order and spreads a block over many terms; most blocks lie in one or two."""
-    return bucket_of(F.unix_date(F.col("ts").cast("date")).cast("bigint"), 128)
+    """Of 128 days: most blocks lie in one or two. Only for measures that are never NULL, since a sum is NULL where its
+    bucket has held only NULLs so far."""
+    return bucket_of(ship_day(), 128)
 
 
 def indexed(spark: SparkSession, folder: str, **measures: Column) -> DataFrame:
@@ -113,7 +119,7 @@ def indexed(spark: SparkSession, folder: str, **measures: Column) -> DataFrame:
         transactions(spark, folder),
         "block",
         TX_ORDER,
-        ship_term(),
+        ship_day() if measures else ship_term(),
         {"trx_index": F.lit(1).cast("bigint"), **measures},
         ["hash"],
     )

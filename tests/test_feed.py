@@ -80,3 +80,25 @@ def test_heads_meet_their_gas_with_hashes_as_bytes(spark):
     joined = feed.head_messages(blocks, txs)
     assert sorted(map(tuple, joined.collect())) == sorted(map(tuple, feed.head_messages(blocks).collect()))
     assert "unhex" in joined._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_transactions_are_ranked_once(spark, small):
+    """Messages and heads each ranked all transactions anew."""
+    from ledgerline.plans import chain_queries
+
+    made = chain_queries.head_feed(spark, small)
+    assert "lineitem" not in made._jdf.queryExecution().executedPlan().toString()
+    tables = [spark.read.parquet(f"{small}/{name}.parquet").count() for name in ("lineitem", "orders")]
+    assert made.count() == sum(tables)
+
+
+def test_gas_of_nothing_but_nulls_stays_null(spark, folder):
+    """As ever, a running gas is NULL where its day has held only NULLs so far."""
+    from ledgerline.plans import views
+
+    names = "l_orderkey bigint, l_shipdate timestamp, l_linenumber int, l_partkey bigint, l_suppkey bigint, l_extendedprice double, l_quantity double"
+    rows = [(1, f"2020-01-0{d}", n, 1, 1, 1.0, q) for d, n, q in ((1, 1, 2.0), (2, 2, None), (2, 3, 3.0))]
+    text = spark.createDataFrame(rows, names.replace("timestamp", "string"))
+    text.withColumn("l_shipdate", text.l_shipdate.cast("timestamp")).write.parquet(f"{folder}/lineitem.parquet")
+    made = views.indexed(spark, folder, total=views.F.col("gasused")).orderBy("trx_index").collect()
+    assert [(r.trx_index, r.total) for r in made] == [(0, 2000), (1, None), (2, 5000)]
