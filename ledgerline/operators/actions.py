@@ -9,6 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ledgerline import constants as K
+from ledgerline.operators.ordered import bucket_of
 
 DEPOSIT, WITHDRAW, RAW = "deposit", "withdraw", "raw"
 
@@ -52,6 +53,15 @@ def dedup_actions(actions: DataFrame) -> DataFrame:
     return actions.withColumn("_copy", F.row_number().over(first)).where("_copy = 1").drop("_copy")
 
 
+def in_several_parts(actions: DataFrame, width: int) -> DataFrame:
+    """All actions of the blocks that are ranked in more than one part of ``width``; mostly there are none, and no row is read."""
+    part = F.coalesce(bucket_of(F.col("action_seq").cast("bigint"), width), F.lit(-(2**63)))
+    spans = actions.groupBy("block_num").agg(F.min(part).alias("_first"), F.max(part).alias("_last"), F.count(F.lit(1)).alias("_rows"))
+    blocks = spans.where((F.col("_first") < F.col("_last")) | (F.col("_rows") > width)).select("block_num")
+    some = blocks.select(F.count(F.lit(1)) > 0).scalar()
+    return actions.where(some).join(blocks, "block_num", "left_semi")
+
+
 def unique_accounts(accounts: DataFrame) -> DataFrame:
     """Accounts with exactly one row; ambiguous ones do not resolve."""
     return (

@@ -26,7 +26,13 @@ def bucket_of(position: Column, width: int) -> Column:
 
 
 def running_totals(
-    df: DataFrame, by: str, order: Sequence[str], spread: Column, measures: dict[str, Column], hexes: Sequence[str] = ()
+    df: DataFrame,
+    by: str,
+    order: Sequence[str],
+    spread: Column,
+    measures: dict[str, Column],
+    hexes: Sequence[str] = (),
+    several: DataFrame | None = None,
 ) -> DataFrame:
     """Inclusive running sum of each measure per ``by``, in ``order``.
 
@@ -34,13 +40,16 @@ def running_totals(
     buckets are summed in parallel; a bucket that isn't the first of its key starts
     from the total of those before it. Most keys are one bucket and get no offset row.
     Columns of ``hexes``, which the order and the measures don't need, are shuffled as bytes.
+    ``several`` are all rows of each key that may have more than one bucket, so that ``df`` isn't worked out a second time
+    for the offsets.
     """
     cut = packed(df.withColumn(_BUCKET, spread.cast("bigint")), hexes)
     inner = W.partitionBy(by, _BUCKET).orderBy(*order).rowsBetween(W.unboundedPreceding, W.currentRow)
     local = cut.withColumns({name: F.sum(value).over(inner) for name, value in measures.items()})
 
     sums = {name: f"_sum_{name}" for name in measures}
-    parts = cut.groupBy(by, _BUCKET).agg(*[F.sum(value).alias(sums[name]) for name, value in measures.items()])
+    summed = cut if several is None else several.withColumn(_BUCKET, spread.cast("bigint"))
+    parts = summed.groupBy(by, _BUCKET).agg(*[F.sum(value).alias(sums[name]) for name, value in measures.items()])
     before = W.partitionBy(by).orderBy(_BUCKET).rowsBetween(W.unboundedPreceding, -1)
     place = F.row_number().over(W.partitionBy(by).orderBy(_BUCKET))
     offsets = parts.select(by, _BUCKET, place.alias("_place"), *[F.sum(s).over(before).alias(s) for s in sums.values()])

@@ -16,22 +16,28 @@ CARRIED = ("evm_hash", "evm_prev_hash", "receipts_root", "transactions_root")
 
 
 def with_tx_index(
-    actions: DataFrame, by: str = "block_num", position: str = "action_seq", width: int = K.BLOCK_PART
+    actions: DataFrame,
+    by: str = "block_num",
+    position: str = "action_seq",
+    width: int = K.BLOCK_PART,
+    several: DataFrame | None = None,
 ) -> DataFrame:
     """``trx_index``: 0-based rank of an accepted action in its block.
 
     ``position`` is the action's unique place among all actions of its block; blocks of more
-    than ``width`` actions are ranked in parts.
+    than ``width`` actions are ranked in parts. ``several`` as for ``running_totals``.
     """
     spread = bucket_of(F.col(position).cast("bigint"), width)
-    ranked = running_totals(actions, by, [position], spread, {"trx_index": F.lit(1).cast("bigint")})
+    ranked = running_totals(actions, by, [position], spread, {"trx_index": F.lit(1).cast("bigint")}, several=several)
     return ranked.withColumn("trx_index", F.col("trx_index") - 1)
 
 
-def with_running_gas(txs: DataFrame, by: str = "block", gas: str = "gasused", width: int = K.BLOCK_PART) -> DataFrame:
+def with_running_gas(
+    txs: DataFrame, by: str = "block", gas: str = "gasused", width: int = K.BLOCK_PART, several: DataFrame | None = None
+) -> DataFrame:
     """``gasusedblock``: gas of the block up to and including the transaction."""
     spread = bucket_of(F.col("trx_index").cast("bigint"), width)
-    totals = running_totals(txs, by, ["trx_index"], spread, {"gasusedblock": F.col(gas)})
+    totals = running_totals(txs, by, ["trx_index"], spread, {"gasusedblock": F.col(gas)}, several=several)
     return totals.withColumn("gasusedblock", F.col("gasusedblock").cast(txs.schema[gas].dataType))
 
 

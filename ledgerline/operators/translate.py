@@ -16,6 +16,7 @@ from ledgerline.operators.actions import (
     WITHDRAW,
     classify_actions,
     dedup_actions,
+    in_several_parts,
     with_address,
 )
 from ledgerline.operators.totals import with_running_gas, with_tx_index
@@ -36,7 +37,14 @@ def parse_receipt(console: Column) -> Column:
         S.RECEIPT,
         {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"},
     )
-    return F.when(parsed["_corrupt"].isNull(), parsed)
+    # as the element of an array it is parsed once for both
+    return F.transform(F.array(parsed), lambda one: F.when(one["_corrupt"].isNull(), one))[0]
+
+
+def worked_out(df: DataFrame, name: str, column: Column) -> DataFrame:
+    """Adds a costly column so that it is worked out once a row. As a mere column it would be copied into each place of a
+    later filter that names it."""
+    return df.withColumn(name, F.explode(F.array(column)))
 
 
 def with_trimmed_itxs(itxs: Column) -> Column:
@@ -73,10 +81,10 @@ def translate(actions: DataFrame, accounts: DataFrame, delta: int) -> DataFrame:
     )
     resolved = with_address(looked_up, "_account", accounts)
 
-    parsed = resolved.withColumns(
+    read = worked_out(resolved, "_receipt", F.when(is_raw, parse_receipt(F.col("console"))))
+    parsed = read.withColumns(
         {
             "_asset": F.when(~is_raw, X.parse_asset(F.col("data.quantity"))),
-            "_receipt": F.when(is_raw, parse_receipt(F.col("console"))),
             "_tx": codec.decode_legacy(F.when(is_raw, F.col("data.tx"))),
             "_sender": F.when(is_raw, H.add_0x(F.lower("data.sender"))),
         }
@@ -259,8 +267,12 @@ def raw_transactions(actions: DataFrame, accounts: DataFrame, delta: int, fail_f
 
 def accepted(actions: DataFrame, exclude_senders=(), width: int = K.BLOCK_PART) -> DataFrame:
     """Filtered, first copies only, and with their index in the block."""
-    first = dedup_actions(classify_actions(actions, exclude_senders))
-    return with_tx_index(first, width=width)
+    kept = classify_actions(actions, exclude_senders)
+    return _indexed(kept, in_several_parts(kept, width), width)
+
+
+def _indexed(kept: DataFrame, cut: DataFrame, width: int) -> DataFrame:
+    return with_tx_index(dedup_actions(kept), width=width, several=dedup_actions(cut))
 
 
 def translate_actions(
@@ -273,9 +285,11 @@ def translate_actions(
     width: int = K.BLOCK_PART,
 ) -> tuple[DataFrame, DataFrame]:
     """The whole way from native actions to (transactions with running gas, errors)."""
-    translated = translate(accepted(actions, exclude_senders, width), accounts, delta)
-    good, bad = split_errors(translated, fail_fast, per_segment)
-    txs = with_running_gas(good, width=width)
+    kept = classify_actions(actions, exclude_senders)
+    cut = in_several_parts(kept, width)
+    good, bad = split_errors(translate(_indexed(kept, cut, width), accounts, delta), fail_fast, per_segment)
+    several, _ = split_errors(translate(_indexed(cut, cut, width), accounts, delta), fail_fast, per_segment)
+    txs = with_running_gas(good, width=width, several=several)
     return txs.withColumn("segment", X.segment_of(F.col("block_num"), per_segment)), bad
 
 

@@ -203,6 +203,24 @@ def test_very_large_blocks_give_the_same_result(spark):
     assert max(r[1] for r in pick(cut)) == 119
 
 
+def test_odd_positions_in_cut_blocks(spark):
+    seqs = {50: [None, None, 0, 1, 4, 7, 8], 51: [5] * 7, 52: [0, 1], 53: [0, 9], 54: [-1, 0]}
+    rows = [transfer(i, block=block) for block, own in seqs.items() for i in range(len(own))]
+    places = F.create_map(*[F.lit(x) for block, own in seqs.items() for i, seq in enumerate(own) for x in (f"{block} {i}", seq)])
+    df = frame(spark, rows).withColumn("action_seq", places[F.concat_ws(" ", "block_num", "action_seq")].cast("bigint"))
+    parts = A.in_several_parts(A.classify_actions(df), 3).groupBy("block_num").count().collect()
+    assert {tuple(r) for r in parts} == {(50, 7), (51, 7), (53, 2), (54, 2)}
+    good, _ = T.translate_actions(df, accounts(spark), 2, width=3)
+    got = sorted((r.block_num, r.trx_index, int(r.gasusedblock)) for r in good.collect())
+    assert got == [(block, i, 21000 * (i + 1)) for block, own in seqs.items() for i in range(len(own))]
+
+
+def test_a_receipt_is_parsed_once(spark):
+    good, _ = T.translate_actions(frame(spark, [action(0, "eosio.evm", "raw", tx="00", console=receipt())]), accounts(spark), 2)
+    plan = good.select("block_num", "trx_index", "gasusedblock")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json") == 2  # the blocks, and those of several parts
+
+
 def test_block_assembly_and_reindex(spark):
     rows = [transfer(i) for i in range(3)]
     txs, _ = T.translate_actions(frame(spark, rows), accounts(spark), 2)
