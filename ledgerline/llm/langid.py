@@ -19,6 +19,7 @@ from __future__ import annotations
 import bisect
 import math
 import re
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -103,12 +104,22 @@ class Model:
                     letters[script(gram)] = letters.get(script(gram), 0) + n
             self.contexts[lang] = contexts
             self.scripts[lang] = {s for s, n in letters.items() if n >= SCRIPT_SHARE * sum(letters.values())}
+        self.share_rows = {w: i for i, w in enumerate(sorted(set().union(*self.words.values())), 1)}
+        self.shares = np.zeros((len(self.share_rows) + 1, len(self.languages)))  # the first row is of unknown words
+        for x, lang in enumerate(self.languages):
+            for word, n in self.words[lang].items():
+                self.shares[self.share_rows[word], x] = n / max(1, self.totals[lang])
+        self.uses = np.array([[name in self.scripts[x] for x in self.languages] for name in NAMES], bool)
         self.clear()
+        self.forget_spelling()
 
     def clear(self) -> None:
         self.places: dict[str, int] = {}
         self.scores = np.zeros((0, len(self.languages)), np.float32)
-        self.spelling: dict[str, int] = {}
+        self.sizes = np.zeros(0, np.int64)
+
+    def forget_spelling(self) -> None:
+        self.spelling: dict[int, int] = {}
         self.gram_scores = np.zeros((0, len(self.languages)))
 
     def _gram(self, lang: str, gram: str) -> float:
@@ -123,27 +134,37 @@ class Model:
         """Score words not met before."""
         if len(self.places) > REMEMBERED:
             self.clear()
+        if len(self.spelling) > REMEMBERED:
+            self.forget_spelling()
         new = [w for w in words if w not in self.places]
         if not new:
             return
-        grams = [p[i : i + 3] for p in [BEGIN * 2 + w + END for w in new] for i in range(len(p) - 2)]
-        fresh = list(set(grams) - self.spelling.keys())
+        points = np.frombuffer("".join([BEGIN * 2 + w + END for w in new]).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.int64)
+        sizes = np.fromiter(map(len, new), np.int64, len(new))
+        ends = np.cumsum(sizes + 3)
+        within = np.ones(len(points), bool)  # places where a trigram begins that doesn't reach into the next word
+        within[ends - 1] = within[ends - 2] = False
+        # a trigram is one number: 21 bits a character
+        grams = ((points[:-2] << 42) | (points[1:-1] << 21) | points[2:])[within[:-2]]
+        grams = pa.array(grams).dictionary_encode()
+        each = grams.dictionary.to_pylist()
+        fresh = [g for g in each if g not in self.spelling]
         if fresh:
             self.spelling.update(zip(fresh, range(len(self.spelling), len(self.spelling) + len(fresh)), strict=True))
-            rows = np.array([[self._gram(lang, g) for lang in self.languages] for g in fresh])
+            texts = ["".join(chr(g >> bits & 0x1FFFFF) for bits in (42, 21, 0)) for g in fresh]
+            rows = np.array([[self._gram(lang, g) for lang in self.languages] for g in texts])
             self.gram_scores = np.concatenate([self.gram_scores, rows])
-        sizes = np.fromiter((len(w) + 1 for w in new), np.int64, len(new))
-        at = np.fromiter(map(self.spelling.__getitem__, grams), np.int64, len(grams))
-        spelled = np.add.reduceat(self.gram_scores[at], np.cumsum(sizes) - sizes)
-        shares = np.array([[self.words[x].get(w, 0) / max(1, self.totals[x]) for x in self.languages] for w in new])
+        at = np.fromiter(map(self.spelling.__getitem__, each), np.int64, len(each))[grams.indices.to_numpy()]
+        spelled = np.add.reduceat(self.gram_scores[at], np.cumsum(sizes + 1) - sizes - 1)
+        row = self.share_rows.get
+        shares = self.shares[np.fromiter([row(w, 0) for w in new], np.int64, len(new))]
         scores = np.maximum(np.log(0.5 * shares + 0.5 * np.exp(spelled) + 1e-300), NOT_A_CANDIDATE)
-        kinds = [script(w[0]) for w in new]
-        uses = {kind: [kind in self.scripts[x] for x in self.languages] for kind in set(kinds)}
-        may = np.array([uses[kind] for kind in kinds])
+        may = self.uses[np.searchsorted(STARTS, points[ends - sizes - 1], "right") - 1]
         scores = np.where(may, scores, NOT_A_CANDIDATE)
         scores[~may.any(1)] = 0
         self.places.update(zip(new, range(len(self.places), len(self.places) + len(new)), strict=True))
         self.scores = np.concatenate([self.scores, scores.astype(np.float32)])
+        self.sizes = np.concatenate([self.sizes, sizes])
 
     def label(self, texts: list[str]):
         """For each text: language, score, and spans ``(first word, words, language)``."""
@@ -154,21 +175,23 @@ class Model:
         for at, words in enumerate(found):
             if words and not any(c.isalpha() for w in words for c in w):
                 found[at] = []  # other numerals only
-        self._learn(set().union(*found))
-        at = self.places.__getitem__
-        ids = [np.fromiter(map(at, words), np.int64, len(words)) for words in found]
-        labels = viterbi([self.scores[i] for i in ids], SWITCH)
-        for words, own, i in zip(found, labels, ids, strict=True):
-            if not words:
+        flat = list(chain.from_iterable(found))
+        self._learn(set(flat))
+        ids = np.fromiter(map(self.places.__getitem__, flat), np.int64, len(flat))
+        scores, sizes = self.scores[ids], self.sizes[ids]
+        counted = np.where(scores.any(1), sizes, 0)
+        ends = np.cumsum([len(words) for words in found]).tolist()
+        cut = [slice(end - len(words), end) for words, end in zip(found, ends, strict=True)]
+        labels = viterbi([scores[c] for c in cut], SWITCH)
+        for own, c in zip(labels, cut, strict=True):
+            if not len(own):
                 yield UNKNOWN, 0.0, []
                 continue
-            sizes = np.fromiter(map(len, words), np.int64, len(words))
-            known = self.scores[i].any(1)
-            letters = np.bincount(own, np.where(known, sizes, 0), len(self.languages))
+            letters = np.bincount(own, counted[c], len(self.languages))
             best = int(letters.argmax())
             cuts = np.flatnonzero(np.diff(own, prepend=-1))
             spans = zip(cuts.tolist(), np.diff(cuts, append=len(own)).tolist(), own[cuts].tolist(), strict=True)
-            yield self.languages[best], float(letters[best] / sizes.sum()), [(a, n, self.languages[x]) for a, n, x in spans]
+            yield self.languages[best], float(letters[best] / sizes[c].sum()), [(a, n, self.languages[x]) for a, n, x in spans]
 
 
 def viterbi(scores: list[np.ndarray], switch: float) -> list[np.ndarray]:
@@ -189,28 +212,30 @@ def viterbi(scores: list[np.ndarray], switch: float) -> list[np.ndarray]:
     place = [offsets[:n] + rank for rank, n in enumerate(sorted_lengths.tolist())]
     for rank, text in enumerate(order.tolist()):
         flat[place[rank]] = scores[text]
-    came = np.empty((total, size), np.int16)
+    stayed, came = np.empty((total, size), bool), np.empty(total, np.int16)  # whether a label came from itself, and the best one before
     value = flat[: running[0]].copy()
-    own = np.arange(size)
     final = np.zeros(len(scores), np.int64)
-    for t in range(len(running)):
-        n = running[t]
+    running, offsets, places = running.tolist(), offsets.tolist(), np.arange(len(scores))
+    for t, n in enumerate(running):
         if t:
-            ended = slice(n, running[t - 1])
-            final[ended] = value[ended].argmax(1)
-            value = value[:n]
-            best = value.argmax(1)
-            moved = value[np.arange(n), best] - switch
-            stay = value >= moved[:, None]
-            came[offsets[t] : offsets[t + 1]] = np.where(stay, own, best[:, None])
-            value = np.where(stay, value, moved[:, None]) + flat[offsets[t] : offsets[t + 1]]
+            if n < running[t - 1]:
+                final[n : running[t - 1]] = value[n:].argmax(1)
+                value = value[:n]
+            here = slice(offsets[t], offsets[t + 1])
+            moved = value.max(1, keepdims=True) - switch
+            came[here] = value.argmax(1)
+            np.greater_equal(value, moved, out=stayed[here])
+            value = np.maximum(value, moved)
+            value += flat[here]
     final[: running[-1]] = value.argmax(1)
     chosen = np.empty(total, np.int64)
     for t in range(len(running) - 1, -1, -1):
-        n = running[t]
-        chosen[offsets[t] : offsets[t + 1]] = final[:n]
+        n, begin = running[t], offsets[t]
+        own = final[:n]
+        chosen[begin : begin + n] = own
         if t:
-            final[:n] = came[offsets[t] : offsets[t + 1]][np.arange(n), final[:n]]
+            rows = slice(begin, begin + n)
+            own[:] = np.where(stayed[rows][places[:n], own], own, came[rows])
     out: list[np.ndarray] = [np.zeros(0, np.int64)] * len(scores)
     for rank, text in enumerate(order.tolist()):
         out[text] = chosen[place[rank]]

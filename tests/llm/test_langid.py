@@ -46,6 +46,19 @@ def test_viterbi_is_the_best_path():
         assert value(path) == pytest.approx(max(map(value, itertools.product(range(3), repeat=len(scores)))), abs=1e-4)
 
 
+def test_spelling_outlives_forgotten_words(model, monkeypatch):
+    calls = []
+    plain = langid.Model._gram
+    monkeypatch.setattr(langid.Model, "_gram", lambda self, lang, gram: calls.append(gram) or plain(self, lang, gram))
+    own = langid.Model(model.words, model.totals, model.grams)
+    texts = ["the and für \U00020000x", "der thing ouvement the"]
+    first = list(own.label(texts))
+    own.places.update((str(n), 0) for n in range(langid.REMEMBERED + 1))
+    met = len(calls)
+    assert met and list(own.label(texts)) == first
+    assert len(own.places) < 10 and len(calls) == met
+
+
 def test_odd_rows(spark, model):
     texts = [None, "", "123 !? ²", "日本語の文", "the the", "x" * 50_000, "the of and " * 20_000]
     docs = spark.createDataFrame(list(enumerate(texts)) + [(None, "the")], "doc_id long, text string").selectExpr("*", "'q' as lang_pred", "1 as SCORE")
