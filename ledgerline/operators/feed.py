@@ -8,9 +8,12 @@ from pyspark.sql import functions as F
 from ledgerline import constants as K
 from ledgerline.functions.hexes import add_0x, long_to_hex, num_to_hex, packed, unpacked
 from ledgerline.functions.text import epoch_seconds
+from ledgerline.operators.ordered import bucket_of
 from ledgerline.sources.documents import document
 
 HEAD, RAW = "head", "raw"
+#: Blocks that are shuffled together: a header follows its parent, so the link to it takes little room on disk.
+TOGETHER = 64
 
 
 def head_messages(blocks: DataFrame, txs: DataFrame | None = None) -> DataFrame:
@@ -19,11 +22,13 @@ def head_messages(blocks: DataFrame, txs: DataFrame | None = None) -> DataFrame:
     if txs is None:
         source = blocks.withColumn("_gas", F.col("gas_used"))
     else:
-        last = txs.groupBy(F.col("block").alias("evm_block_num")).agg(
-            F.max_by("gasusedblock", "trx_index").alias("_gas")
-        )
+        last = txs.groupBy(F.col("block").alias("_block")).agg(F.max_by("gasusedblock", "trx_index").alias("_gas"))
+        place = lambda number: bucket_of(F.col(number).cast("bigint"), TOGETHER)
+        same = (F.col("_place") == F.col("_its_place")) & F.col("evm_block_num").between(F.col("_block"), F.col("_block"))
+        last = last.withColumn("_its_place", place("_block"))
         hexes = ["native_hash", "evm_hash", "evm_prev_hash", "receipts_root", "transactions_root", "logs_bloom"]
-        source = unpacked(packed(blocks, hexes).join(last, "evm_block_num", "left"), hexes)
+        placed = packed(blocks, hexes).withColumn("_place", place("evm_block_num"))
+        source = unpacked(placed.join(last, same, "left"), hexes)
     head = F.struct(
         F.lit("0x0").alias("difficulty"),
         add_0x(F.col("native_hash")).alias("extraData"),

@@ -17,6 +17,8 @@ from ledgerline import constants as K
 from ledgerline.functions.hexes import packed, unpacked
 
 _BUCKET = "_bucket"
+#: Cells that rows are counted by before their keys are.
+_CELLS = 65_536
 
 
 def bucket_of(position: Column, width: int) -> Column:
@@ -25,6 +27,18 @@ def bucket_of(position: Column, width: int) -> Column:
     return F.call_function("div", shifted, F.lit(width).cast("bigint"))
 
 
+def large_keys(df: DataFrame, by: str, width: int = K.BLOCK_PART) -> DataFrame:
+    """Keys of more than ``width`` rows, few enough to be broadcast. NULL isn't one of them.
+
+    Rows are counted by cells of many keys first, which little is shuffled for, and by keys only in cells of more than
+    ``width`` rows: mostly in none.
+    """
+    keys = df.where(F.col(by).isNotNull()).select(by, F.pmod(F.hash(by), F.lit(_CELLS)).alias("_cell"))
+    cells = keys.groupBy("_cell").count().where(F.col("count") > width)
+    counts = keys.join(F.broadcast(cells), "_cell", "left_semi").groupBy(by).count()
+    return counts.where(F.col("count") > width).select(by)
+
+
 def running_totals(
     df: DataFrame,
     by: str,
@@ -33,6 +47,7 @@ def running_totals(
     measures: dict[str, Column],
     hexes: Sequence[str] = (),
     several: DataFrame | None = None,
+    stretch: Column | None = None,
 ) -> DataFrame:
     """Inclusive running sum of each measure per ``by``, in ``order``.
 
@@ -42,10 +57,17 @@ def running_totals(
     Columns of ``hexes``, which the order and the measures don't need, are shuffled as bytes.
     ``several`` are all rows of each key that may have more than one bucket, so that ``df`` isn't worked out a second time
     for the offsets.
+    ``stretch`` is a LONG that never falls along the order and is worked out after the shuffle: a sum is NULL where its
+    stretch has held only NULLs so far. Without it, buckets take that part.
     """
     cut = packed(df.withColumn(_BUCKET, spread.cast("bigint")), hexes)
     inner = W.partitionBy(by, _BUCKET).orderBy(*order).rowsBetween(W.unboundedPreceding, W.currentRow)
-    local = cut.withColumns({name: F.sum(value).over(inner) for name, value in measures.items()})
+    local = {name: F.sum(value).over(inner) for name, value in measures.items()}
+    if stretch is not None:
+        cut = cut.repartition(by, _BUCKET).withColumn("_stretch", F.coalesce(stretch, F.lit(-(2**63))))
+        held = {name: F.max(F.when(value.isNotNull(), F.col("_stretch"))).over(inner) for name, value in measures.items()}
+        local = {name: F.when(held[name] == F.col("_stretch"), total) for name, total in local.items()}
+    local = cut.withColumns(local).drop("_stretch")
 
     sums = {name: f"_sum_{name}" for name in measures}
     summed = cut if several is None else several.withColumn(_BUCKET, spread.cast("bigint"))

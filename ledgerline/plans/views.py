@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.functions import codec
 from ledgerline.functions.text import segment_of
-from ledgerline.operators.ordered import bucket_of, running_totals
+from ledgerline.operators.ordered import bucket_of, large_keys, running_totals
 from ledgerline.session import use_utc
 
 DELTA = 36
@@ -114,16 +114,16 @@ def ship_term() -> Column:
 
 
 def indexed(spark: SparkSession, folder: str, **measures: Column) -> DataFrame:
-    """Transactions with their index, and running totals in the same pass."""
-    ranked = running_totals(
-        transactions(spark, folder),
-        "block",
-        TX_ORDER,
-        ship_day() if measures else ship_term(),
-        {"trx_index": F.lit(1).cast("bigint"), **measures},
-        ["hash"],
-    )
-    return ranked.withColumn("trx_index", F.col("trx_index") - 1)
+    """Transactions with their index, and running totals in the same pass. With measures, only large blocks, and the rows
+    without one, are cut by days; a total is NULL where its day has held only NULLs so far."""
+    txs, spread, several, stretch = transactions(spark, folder), ship_term(), None, None
+    if measures:
+        large = large_keys(txs, "block").withColumn("_large", F.lit(True))
+        txs, stretch = txs.join(F.broadcast(large), "block", "left"), ship_day()
+        spread, several = F.when(F.col("_large") | F.col("block").isNull(), stretch), txs.where("_large")
+    counted = {"trx_index": F.lit(1).cast("bigint"), **measures}
+    ranked = running_totals(txs, "block", TX_ORDER, spread, counted, ["hash"], several, stretch)
+    return ranked.withColumn("trx_index", F.col("trx_index") - 1).drop("_large")
 
 
 def arrivals(spark: SparkSession, folder: str) -> DataFrame:

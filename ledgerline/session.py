@@ -4,9 +4,14 @@ from __future__ import annotations
 
 import os
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
+#: Whether what a query has shuffled goes when the query ends, not when the driver happens to collect its garbage.
+SHUFFLES_GO = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def session(app: str = "ledgerline", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the settings the operators rely on.
@@ -53,3 +58,17 @@ def shared_folder(spark: SparkSession) -> str:
     folder = os.path.join(tempfile.mkdtemp(prefix="ledgerline-"), "shared")
     spark.conf.set("spark.checkpoint.dir", folder)
     return folder
+
+
+@contextmanager
+def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """Frees the disk that a query run inside has shuffled to as soon as it ends; for queries whose result is stored."""
+    before = spark.conf.get(SHUFFLES_GO, None)
+    spark.conf.set(SHUFFLES_GO, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(SHUFFLES_GO)
+        else:
+            spark.conf.set(SHUFFLES_GO, before)

@@ -102,3 +102,79 @@ def test_gas_of_nothing_but_nulls_stays_null(spark, folder):
     text.withColumn("l_shipdate", text.l_shipdate.cast("timestamp")).write.parquet(f"{folder}/lineitem.parquet")
     made = views.indexed(spark, folder, total=views.F.col("gasused")).orderBy("trx_index").collect()
     assert [(r.trx_index, r.total) for r in made] == [(0, 2000), (1, None), (2, 5000)]
+
+
+def lineitem(spark, folder, rows):
+    """Rows of block, day of January or None, line, quantity."""
+    names = "l_orderkey bigint, l_shipdate string, l_linenumber int, l_quantity double, l_partkey bigint, l_suppkey bigint, l_extendedprice double"
+    text = spark.createDataFrame([(b, d and f"2020-01-{d:02}", n, q, 1, 1, 1.0) for b, d, n, q in rows], names)
+    text.withColumn("l_shipdate", text.l_shipdate.cast("timestamp")).write.parquet(f"{folder}/lineitem.parquet")
+
+
+def shuffled(spark):
+    env = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get()
+    files = env.blockManager().diskBlockManager().getAllFiles()
+    return {name for i in range(files.size()) if (name := files.apply(i).getName()).startswith("shuffle_")}
+
+
+def test_what_was_shuffled_for_the_ranking_is_gone_before_the_feed_is_read(spark, small):
+    """It stayed on disk beside the ranked transactions until the driver collected its garbage."""
+    import time
+
+    from ledgerline import session
+    from ledgerline.plans import chain_queries
+
+    before = shuffled(spark)
+    made = chain_queries.head_feed(spark, small)
+    until = time.time() + 20
+    while (left := shuffled(spark) - before) and time.time() < until:
+        time.sleep(0.2)
+    assert not left
+    assert spark.conf.get(session.SHUFFLES_GO, "false") == "false"
+    assert made.where("type = 'raw'").count() == spark.read.parquet(f"{small}/lineitem.parquet").count()
+
+
+def test_only_large_blocks_are_cut_by_days(spark, folder, monkeypatch):
+    """Every block was cut by days, and each of its days was shuffled three times more. The totals are the same."""
+    import random
+
+    from ledgerline.operators import ordered
+    from ledgerline.plans import views
+
+    random.seed(5)
+    odd = [(None, 1, 1, 2.0), (None, 1, 2, 3.0), (None, 2, 1, None), (9, None, 1, None), (9, None, 2, 4.0), (9, 3, 3, None)]
+    lines = [(b, random.choice([None, *range(1, 6)]), n, random.choice([None, 1.0, 2.0])) for b in range(6) for n in range(3 * b)]
+    lineitem(spark, folder, odd + lines)
+    found = {}
+    for width in (0, 5, 10**6):  # all blocks are large, some, none
+        monkeypatch.setattr(views, "large_keys", lambda df, by, width=width: ordered.large_keys(df, by, width))
+        made = views.indexed(spark, folder, total=views.F.col("gasused")).select("block", "ts", "line", "trx_index", "total")
+        found[width] = sorted(map(repr, made.collect()))
+    assert found[0] == found[5] == found[10**6] and len(found[0]) == len(odd + lines)
+
+    sums, order = {}, lambda r: (r.ts is not None, str(r.ts), r.line)
+    for r in sorted((r for r in made.collect() if r.block is not None), key=order):
+        (index, total, day, held) = sums.get(r.block, (0, 0, "none yet", False))
+        gas = next(q for b, d, n, q in odd + lines if (b, n) == (r.block, r.line))
+        held = gas is not None or (held and day == r.ts)
+        total += int(1000 * (gas or 0))
+        assert (r.trx_index, r.total) == (index, total if held else None)
+        sums[r.block] = (index + 1, total, r.ts, held)
+
+
+def test_heads_of_any_number_find_their_gas(spark):
+    """Blocks are joined by cells of 64: at their edges, below 0, twice, without a number or without transactions."""
+    from pyspark.sql import functions as F
+
+    from ledgerline.operators import feed
+
+    names = ("native_hash", "evm_hash", "evm_prev_hash", "receipts_root", "transactions_root", "logs_bloom")
+    numbers = [-65, -64, -1, 0, 63, 64, 64, 65, 127, 128, 2**40, None]
+    blocks = spark.createDataFrame([(n,) for n in numbers], "evm_block_num bigint")
+    blocks = blocks.withColumns({n: F.lit("ab") for n in names} | {"ts": F.lit(0).cast("timestamp")})
+    txs = [(n, i, 1000 + n % 1000 + i) for n in sorted({*numbers[:-1], 62, 129} - {65}) for i in (1, 0, 2)] + [(None, 0, 5)]
+    heads = feed.head_messages(blocks, spark.createDataFrame(txs, "block bigint, trx_index bigint, gasusedblock bigint"))
+    gas = {b: g for b, i, g in txs if i == 2}
+    want = [(n, hex(gas.get(n, 0))) for n in numbers]
+    got = [(r.block, json.loads(r.message)["data"]["gasUsed"]) for r in heads.collect()]
+    assert sorted(got, key=str) == sorted(want, key=str)

@@ -59,3 +59,12 @@ def test_explode_range_in_chunks(spark):
     df = spark.createDataFrame([(5, 5), (10, 45), (3, 2)], "a bigint, b bigint")
     got = O.explode_range(df, F.col("a"), F.col("b"), "n", chunk=10).select("n").collect()
     assert sorted(r.n for r in got) == [5, *range(10, 46)]
+
+
+@pytest.mark.parametrize("cells", [1, 65_536])
+def test_large_keys_are_those_of_more_rows_than_the_width(spark, monkeypatch, cells):
+    monkeypatch.setattr(O, "_CELLS", cells)
+    rows = [(k,) for k in range(-5, 12) for _ in range(abs(k))] + [(None,)] * 50
+    df = spark.createDataFrame(rows, "k bigint")
+    assert sorted(r.k for r in O.large_keys(df, "k", 8).collect()) == [9, 10, 11]
+    assert O.large_keys(df, "k", 11).collect() == []
