@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -16,9 +18,12 @@ HEAD, RAW = "head", "raw"
 TOGETHER = 64
 
 
-def head_messages(blocks: DataFrame, txs: DataFrame | None = None) -> DataFrame:
+def head_messages(blocks: DataFrame, txs: DataFrame | None = None, slices: int = 1) -> DataFrame:
     """Block headers. Gas is the running gas of the block's last transaction if the
-    transactions are given, else the stored total, which is the same number."""
+    transactions are given, else the stored total, which is the same number.
+
+    Headers are wide: with ``slices``, a task that reads many of them holds only those of one slice to shuffle them.
+    """
     if txs is None:
         source = blocks.withColumn("_gas", F.col("gas_used"))
     else:
@@ -28,7 +33,12 @@ def head_messages(blocks: DataFrame, txs: DataFrame | None = None) -> DataFrame:
         last = last.withColumn("_its_place", place("_block"))
         hexes = ["native_hash", "evm_hash", "evm_prev_hash", "receipts_root", "transactions_root", "logs_bloom"]
         placed = packed(blocks, hexes).withColumn("_place", place("evm_block_num"))
-        source = unpacked(placed.join(last, same, "left"), hexes)
+        slice_of = lambda place: F.coalesce(F.pmod(F.col(place), F.lit(slices)), F.lit(0))
+        joined = [
+            placed.where(slice_of("_place") == n).join(last.where(slice_of("_its_place") == n), same, "left")
+            for n in range(slices)
+        ]
+        source = unpacked(reduce(DataFrame.unionByName, joined), hexes)
     head = F.struct(
         F.lit("0x0").alias("difficulty"),
         add_0x(F.col("native_hash")).alias("extraData"),
@@ -65,9 +75,10 @@ def raw_messages(txs: DataFrame, documents: bool = False) -> DataFrame:
     )
 
 
-def head_feed(blocks: DataFrame, txs: DataFrame, documents: bool = False) -> DataFrame:
-    """All messages. ``documents`` asks for whole rows of the transaction table. Sort by ``block``, ``trx_index`` with NULL last to send them in order."""
-    return raw_messages(txs, documents).unionByName(head_messages(blocks, txs))
+def head_feed(blocks: DataFrame, txs: DataFrame, documents: bool = False, slices: int = 1) -> DataFrame:
+    """All messages. ``documents`` asks for whole rows of the transaction table. Sort by ``block``, ``trx_index`` with NULL last to send them in order.
+    ``slices`` as for ``head_messages``."""
+    return raw_messages(txs, documents).unionByName(head_messages(blocks, txs, slices))
 
 
 def in_sending_order(feed: DataFrame) -> DataFrame:

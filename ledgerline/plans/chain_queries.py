@@ -665,7 +665,7 @@ def head_feed(spark, folder):
     with shuffles_dropped(spark):
         for n in range(2):
             ranked.where(half == n).write.mode("append").option("compression", tables.COMPRESSION).parquet(path)
-    messages = feed.head_feed(blocks, spark.read.schema(ranked.schema).parquet(path))
+    messages = feed.head_feed(blocks, spark.read.schema(ranked.schema).parquet(path), slices=4)
     return messages.withColumn("trx_index", F.coalesce("trx_index", F.lit(-1)))
 
 

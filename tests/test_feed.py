@@ -173,8 +173,10 @@ def test_heads_of_any_number_find_their_gas(spark):
     blocks = spark.createDataFrame([(n,) for n in numbers], "evm_block_num bigint")
     blocks = blocks.withColumns({n: F.lit("ab") for n in names} | {"ts": F.lit(0).cast("timestamp")})
     txs = [(n, i, 1000 + n % 1000 + i) for n in sorted({*numbers[:-1], 62, 129} - {65}) for i in (1, 0, 2)] + [(None, 0, 5)]
-    heads = feed.head_messages(blocks, spark.createDataFrame(txs, "block bigint, trx_index bigint, gasusedblock bigint"))
+    txs_df = spark.createDataFrame(txs, "block bigint, trx_index bigint, gasusedblock bigint")
     gas = {b: g for b, i, g in txs if i == 2}
     want = [(n, hex(gas.get(n, 0))) for n in numbers]
-    got = [(r.block, json.loads(r.message)["data"]["gasUsed"]) for r in heads.collect()]
-    assert sorted(got, key=str) == sorted(want, key=str)
+    for slices in (1, 3):
+        heads = feed.head_messages(blocks, txs_df, slices).collect()
+        got = [(r.block, json.loads(r.message)["data"]["gasUsed"]) for r in heads]
+        assert sorted(got, key=str) == sorted(want, key=str)
